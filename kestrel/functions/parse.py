@@ -42,10 +42,13 @@ def parse_delimited(df: DataFrame, value_col: str,
     if isinstance(fields, T.StructType):
         fields = [(f.name, f.dataType) for f in fields.fields]
     pattern = "\\Q" + sep + "\\E"
-    parts = F.split(F.col(value_col).cast("string"), pattern)
+    # split once into an array column, then project the items from it
+    split = df.select(*[F.col(k) for k in keep],
+                      F.split(F.col(value_col).cast("string"), pattern).alias("__parts"))
+    parts = F.col("__parts")
     cols = [F.col(k) for k in keep]
     cols += [_field(parts, i, n, t, trim_strings) for i, (n, t) in enumerate(fields)]
-    return df.select(*cols)
+    return split.select(*cols)
 
 
 def render_delimited(df: DataFrame, columns: Sequence[str], out_col: str = "value",

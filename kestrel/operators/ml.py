@@ -2,6 +2,13 @@
 
 Faithful defaults: frequency-ordered string indexes (ties alphabetical),
 numeric features only, invalid feature rows skipped, RandomForest defaults.
+
+Invalid (NULL/NaN) feature rows are removed by an explicit per-column filter
+before the assembler rather than by ``VectorAssembler(handleInvalid='skip')``:
+the latter adds one ``atleastnnonnulls(all features)`` predicate, and when the
+features are parsed expressions (a stream of text lines) Catalyst's constraint
+inference substitutes every alias into it, which grows as 2^columns.  A
+conjunction of per-column predicates infers linearly.
 Differences that fix known failures are parameters: unseen categorical values
 are kept (``handleInvalid='keep'``) rather than failing a stream, and the
 label decoder never collides with an existing column.
@@ -18,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kestrel.operators.filters import drop_nan_rows
 from kestrel.operators.metrics import binary_metrics
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
@@ -58,15 +66,26 @@ def build_pipeline(df: DataFrame, label_col: str = "category",
     features = numeric_feature_columns(df, exclude=[label_col, *exclude, *present_cats])
     if use_categoricals:
         features += [f"{c}_new" for c in present_cats]
-    stages.append(VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip"))
+    stages.append(VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep"))
     clf = classifier or RandomForestClassifier(featuresCol="features",
                                                labelCol=f"{label_col}_new", seed=seed)
     stages.append(clf)
     return Pipeline(stages=stages)
 
 
+def raw_feature_columns(stages) -> list[str]:
+    """Input columns of the assembler that are not produced by an indexer."""
+    assembler = [s for s in stages if isinstance(s, VectorAssembler)][0]
+    return [c for c in assembler.getInputCols() if not c.endswith("_new")]
+
+
+def skip_invalid(df: DataFrame, stages) -> DataFrame:
+    return drop_nan_rows(df, [c for c in raw_feature_columns(stages) if c in df.columns])
+
+
 def train_model(df: DataFrame, label_col: str = "category", **kw) -> PipelineModel:
-    return build_pipeline(df, label_col=label_col, **kw).fit(df)
+    pipeline = build_pipeline(df, label_col=label_col, **kw)
+    return pipeline.fit(skip_invalid(df, pipeline.getStages()))
 
 
 def save_model(model: PipelineModel, path: str) -> None:
@@ -88,7 +107,7 @@ def predict(model: PipelineModel, df: DataFrame, out_col: str = "category",
     stages = model.stages
     label_indexer = stages[0]
     scorer = PipelineModel(stages=stages[1:])
-    scored = scorer.transform(df.drop(out_col))
+    scored = scorer.transform(skip_invalid(df.drop(out_col), stages))
     decoded = IndexToString(inputCol="prediction", outputCol=out_col,
                             labels=label_indexer.labels).transform(scored)
     work = [c for c in decoded.columns if c.endswith("_new")]

@@ -1,0 +1,110 @@
+"""Connection-log fixtures: CSV scan, label cleaning, mapping, constant columns."""
+
+import os
+import tempfile
+
+from pyspark.sql import functions as F
+
+from kestrel.functions.categorize import category_of, map_categories
+from kestrel.functions.text import normalize_label, strip_chars
+from kestrel.operators.columns import column_profile, constant_columns, drop_constant_columns
+from kestrel.operators.dedup import drop_duplicates
+from kestrel.operators.filters import exclude_values
+from kestrel.schemas import ATTACK_CATEGORIES, ATTACK_CATEGORIES_FIXED, CONNECTION_FIELDS, RARE_ATTACKS
+from kestrel.sources.files import read_connections_csv
+
+
+def _line(label, duration="0", service="http", num_root="0", extra=None, n=42):
+    vals = [duration, "tcp", service, "SF"] + ["0"] * 11 + [num_root] + ["0"] * 25 + [label]
+    vals = vals[:n]
+    if extra:
+        vals.append(extra)
+    return ",".join(vals)
+
+
+def _write(lines):
+    d = tempfile.mkdtemp(prefix="kestrel-test-")
+    p = os.path.join(d, "log.csv")
+    with open(p, "w") as f:
+        f.write("\n".join(lines) + "\n")
+    return p
+
+
+def test_csv_scan_permissive(spark):
+    lines = [
+        _line("normal."), _line("normal."),              # exact duplicates
+        _line("smurf"),                                   # no dot
+        _line("  NePtune.\t"),                            # blanks, tab, upper case
+        _line("unknownattack."),                          # unmapped
+        _line("normal.", n=10),                           # short row
+        _line("back.", duration="abc"),                   # malformed number
+        _line("pod.", extra="surplus"),                   # extra field
+        _line("", num_root="7"),                          # empty label
+    ]
+    df = read_connections_csv(spark, _write(lines))
+    assert len(df.columns) == 42 and df.columns == [n for n, _ in CONNECTION_FIELDS]
+    rows = df.collect()
+    assert len(rows) == 9
+    short = [r for r in rows if r["attack"] is None and r["num_root"] is None]
+    assert len(short) == 1 and short[0]["duration"] == 0.0
+    bad = [r for r in rows if r["attack"] == "back."][0]
+    assert bad["duration"] is None and bad["protocol_type"] == "tcp"
+    extra = [r for r in rows if r["attack"] == "pod."][0]
+    assert extra["dst_host_srv_rerror_rate"] == 0.0
+    assert drop_duplicates(df).count() == 8
+
+
+def test_label_clean_and_map(spark):
+    df = spark.createDataFrame(
+        [("normal.",), ("  NePtune.\t",), ("smurf",), ("unknown.",), (None,), ("loadmodule.",),
+         ("\nPORTSWEEP. ",)], "attack string")
+    cleaned = df.withColumn("attack", strip_chars("attack", ".", "translate"))
+    out = cleaned.select("attack", category_of("attack", ATTACK_CATEGORIES).alias("c")).collect()
+    got = {r["attack"]: r["c"] for r in out}
+    assert got["normal"] == "normal"
+    assert got["  NePtune\t"] == "dos_attacks"
+    assert got["smurf"] == "dos_attacks"
+    assert got["unknown"] is None
+    assert got[None] is None                      # NULL label -> NULL, not a crash
+    assert got["loadmodule"] is None              # misspelt in the faithful preset
+    assert got["\nPORTSWEEP "] == "probe_attacks"
+    fixed = cleaned.select(category_of("attack", ATTACK_CATEGORIES_FIXED).alias("c"))
+    assert "privilege_attacks" in [r["c"] for r in fixed.collect()]
+    mapped = map_categories(cleaned, "attack", ATTACK_CATEGORIES)
+    assert mapped.count() == 4                    # unmapped and NULL dropped
+
+
+def test_regexp_and_translate_agree(spark):
+    df = spark.createDataFrame([("a.b.c.",), ("...",), (None,), ("x",)], "s string")
+    r = df.select(strip_chars("s", ".", "translate").alias("t"),
+                  strip_chars("s", ".", "regexp").alias("r")).collect()
+    assert all(x["t"] == x["r"] for x in r)
+    assert [x["t"] for x in r][:2] == ["abc", ""]
+
+
+def test_normalize_label_whitespace(spark):
+    df = spark.createDataFrame([(" a \n",), ("\tB\r",), (None,)], "s string")
+    assert [r[0] for r in df.select(normalize_label("s")).collect()] == ["a", "b", None]
+
+
+def test_exclude_rare_drops_nulls(spark):
+    df = spark.createDataFrame([("perl",), ("normal",), (None,), ("spy",)], "attack string")
+    assert [r[0] for r in exclude_values(df, "attack", RARE_ATTACKS).collect()] == ["normal"]
+    kept = exclude_values(df, "attack", RARE_ATTACKS, keep_nulls=True).collect()
+    assert sorted([r[0] or "" for r in kept]) == ["", "normal"]
+
+
+def test_constant_columns_null_rules(spark):
+    df = spark.createDataFrame(
+        [(1, 5, None, "x", 1.0), (2, 5, None, "x", None), (3, None, None, "x", 2.0)],
+        "id int, five_or_null int, all_null string, const string, mixed double")
+    prof = {r["column_name"]: r for r in column_profile(df).collect()}
+    assert not prof["five_or_null"]["is_constant"]
+    assert prof["five_or_null"]["is_constant_ignoring_null"]
+    assert prof["all_null"]["is_constant"] and prof["all_null"]["is_constant_ignoring_null"]
+    assert prof["const"]["is_constant"]
+    assert not prof["id"]["is_constant"] and not prof["mixed"]["is_constant_ignoring_null"]
+    assert sorted(constant_columns(df)) == ["all_null", "const"]
+    # two or more constant columns really are dropped (not one joined name)
+    assert drop_constant_columns(df).columns == ["id", "five_or_null", "mixed"]
+    assert drop_constant_columns(df, null_is_value=False).columns == ["id", "mixed"]

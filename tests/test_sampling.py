@@ -1,0 +1,98 @@
+"""Capping / head-tail / rebalance against brute force on skewed data."""
+
+import random
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from kestrel.functions.hashing import hash_key
+from kestrel.operators.sampling import (cap_value, cap_values, first_n, hash_split, last_n,
+                                        rebalance, relabel_first)
+
+
+def _skewed(spark, n=3000, seed=1):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        # one label holds a third of all rows, one is a singleton, some NULL
+        r = rng.random()
+        lab = "hot" if r < 0.34 else ("rare" if i == 17 else (None if r > 0.97 else f"l{rng.randrange(6)}"))
+        rows.append((i, lab, rng.randrange(1000)))
+    return spark.createDataFrame(rows, "id long, label string, score long")
+
+
+@pytest.mark.parametrize("salt", [1, 3, 16])
+def test_first_n_exact(spark, salt):
+    df = _skewed(spark)
+    pdf = df.toPandas()
+    got = first_n(df, 25, ["score", "id"], salt_buckets=salt).toPandas()
+    exp = pdf.sort_values(["score", "id"]).head(25)
+    assert list(got.sort_values(["score", "id"])["id"]) == list(exp["id"])
+    got_desc = last_n(df, 40, ["score", "id"], salt_buckets=salt).toPandas()
+    exp_desc = pdf.sort_values(["score", "id"], ascending=False).head(40)
+    assert set(got_desc["id"]) == set(exp_desc["id"])
+
+
+@pytest.mark.parametrize("keep", [1, 10, 2000])
+def test_cap_values_exact(spark, keep):
+    df = _skewed(spark)
+    pdf = df.toPandas()
+    got = cap_values(df, "label", keep, ["score", "id"], salt_buckets=4).toPandas()
+    exp = (pdf.sort_values(["score", "id"]).groupby("label", dropna=False, sort=False).head(keep))
+    assert sorted(got["id"]) == sorted(exp["id"])
+
+
+def test_cap_value_keeps_others_drops_null(spark):
+    df = _skewed(spark)
+    pdf = df.toPandas()
+    got = cap_value(df, "label", "hot", 30, ["score", "id"]).toPandas()
+    others = pdf[pdf["label"].notna() & (pdf["label"] != "hot")]
+    hot = pdf[pdf["label"] == "hot"].sort_values(["score", "id"]).head(30)
+    assert sorted(got["id"]) == sorted(list(others["id"]) + list(hot["id"]))
+    with_nulls = cap_value(df, "label", "hot", 30, ["score", "id"], keep_nulls=True).count()
+    assert with_nulls == len(got) + int(pdf["label"].isna().sum())
+
+
+def test_relabel_deterministic_and_uniformish(spark):
+    df = spark.range(0, 6000).withColumn("label", F.lit("normal"))
+    a = relabel_first(df, "label", "normal", 3000, ["x", "y", "z"], ["id"], ["id"], seed=3)
+    b = relabel_first(df.repartition(7), "label", "normal", 3000, ["x", "y", "z"], ["id"], ["id"], seed=3)
+    pa, pb = a.toPandas().sort_values("id"), b.toPandas().sort_values("id")
+    assert list(pa["label"]) == list(pb["label"])          # same on any partitioning
+    assert list(pa["id"]) == list(range(3000))
+    counts = pa["label"].value_counts()
+    assert set(counts.index) == {"x", "y", "z"} and counts.min() > 850
+
+
+def test_rebalance_scopes(spark):
+    rows = [(i, "normal" if i % 3 else "attack") for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, category string")
+    allp = rebalance(df, "category", "normal", 50, 40, ["a", "b"], ["id"], ["id"], tail_scope="all").toPandas()
+    rest = rebalance(df, "category", "normal", 50, 40, ["a", "b"], ["id"], ["id"],
+                     tail_scope="majority_rest").toPandas()
+    assert len(allp) == 100 + 50 + 40 and len(rest) == 190
+    assert rest["id"].is_unique                       # disjoint parts
+    normal_ids = sorted(i for i, c in rows if c == "normal")
+    assert sorted(rest[rest["category"] == "normal"]["id"]) == normal_ids[-40:]
+    assert set(allp[allp["id"] >= 260]["id"]) == set(range(260, 300))
+    assert not allp["id"].is_unique                   # faithful: tail overlaps other parts
+    # majority smaller than head + tail: the rest is everything not relabelled
+    small = rebalance(df, "category", "normal", 150, 100, ["a"], ["id"], ["id"],
+                      tail_scope="majority_rest").toPandas()
+    assert len(small) == 100 + 150 + 50 and small["id"].is_unique
+
+
+def test_hash_split_reproducible(spark):
+    df = spark.range(0, 20000)
+    a = hash_split(df, [0.75, 0.25], ["id"], names=["train", "valid"]).toPandas()
+    b = hash_split(df.repartition(5), [0.75, 0.25], ["id"], names=["train", "valid"]).toPandas()
+    m = a.merge(b, on="id")
+    assert (m["split_x"] == m["split_y"]).all()
+    share = (a["split"] == "train").mean()
+    assert 0.73 < share < 0.77
+
+
+def test_hash_key_non_negative(spark):
+    vals = spark.range(0, 1000).select(hash_key(7, "id").alias("h")).toPandas()["h"]
+    assert (vals >= 0).all() and vals.is_unique

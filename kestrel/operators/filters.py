@@ -44,7 +44,7 @@ def rare_values(df: DataFrame, column: str, min_count: int | None = None,
     Threshold is ``min_count`` rows, or ``min_share`` of all rows (data-scaled).
     The count is a partial (map-side) aggregate, so a hot value costs one row
     per map task in the shuffle.  The total for ``min_share`` is a scalar
-    subquery over the (small) counts table.
+    subquery (a global row count).
     """
     if (min_count is None) == (min_share is None):
         raise ValueError("give exactly one of min_count / min_share")
@@ -52,7 +52,8 @@ def rare_values(df: DataFrame, column: str, min_count: int | None = None,
     if min_count is not None:
         threshold = F.lit(min_count)
     else:
-        total = counts.select(F.sum("_n")).scalar()
+        # a plain row count: partial counts per task, no column read, no regroup
+        total = df.select(F.count(F.lit(1))).scalar()
         threshold = F.lit(float(min_share)) * total
     return counts.where(F.col("_n") < threshold).select(column)
 

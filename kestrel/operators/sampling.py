@@ -4,14 +4,30 @@ Every pick is deterministic: callers give an order key (which must be total,
 i.e. end in a unique column) and a seed; nothing relies on LIMIT without
 ORDER BY, on row ids or on an unseeded ``rand()``.
 
-Scale design for the "first n rows by order" primitive (``first_n``): the rows
-are spread over ``salt_buckets`` buckets by a hash of the order key, the first
-n of each bucket are kept (a window per bucket; Spark adds a map-side
-``WindowGroupLimit`` when n <= spark.sql.optimizer.windowGroupLimitThreshold),
-and the global first n are taken from the at most ``salt_buckets * n``
-survivors.  The result is exact (any global top-n row is a top-n row of its
-bucket), a hot value is split over all buckets instead of one task, and the
-final merge is bounded by the parameters, not by the data.
+Scale design of the "first n rows by order" primitive (``first_n``), which all
+caps, heads, tails and relabels use:
+
+1. Cutoff (global top-n on an integral first order column, e.g. the seeded
+   hash key or an id): a histogram of a monotone log-linear bucket code of
+   the key (``key_bucket``) is built with a partial aggregate (one key column
+   read, one row per populated bucket shuffled); the buckets up to the one
+   holding the n-th row are found with a running sum over that small
+   histogram and applied with a broadcast left-semi join (the bucket table is
+   bounded by the code space).  Bucketing is monotone in the key, so the
+   survivors contain every top-n row: the cut is exact.  With hash keys the
+   survivors are about n plus one bucket's rows (rows / 2^12 at worst for a
+   descending cut), however many rows share the capped value.
+2. Salted two-stage top-n on what survives: rows are spread over
+   ``salt_buckets`` buckets by a hash of the order key, the first n of each
+   bucket are kept (Spark adds a map-side ``WindowGroupLimit`` when n <=
+   spark.sql.optimizer.windowGroupLimitThreshold), and the first n are taken
+   from the at most ``salt_buckets * n`` survivors.  Exact (any top-n row is a
+   top-n row of its bucket); a hot value is split over all buckets instead of
+   one task; the final merge is bounded by the parameters, not the data.
+
+Per-group caps (``partition_by``) use stage 2 only: stage 1 runs per
+(group, salt) so a group holding a third of all rows is spread over
+``salt_buckets`` tasks, and stage 2 per group sees at most salt_buckets * n rows.
 """
 
 from __future__ import annotations
@@ -20,9 +36,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kestrel.functions.hashing import hash_key, hash_pick
 
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
 def _order(order_by: Sequence[str], ascending: bool) -> list[Column]:
     return [F.col(c).asc() if ascending else F.col(c).desc() for c in order_by]
 
@@ -33,15 +53,82 @@ def _salt_buckets(df: DataFrame, salt_buckets: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def key_bucket(col: str, ascending: bool = True, mantissa_bits: int = 12) -> Column:
+    """Monotone log-linear bucket of an integral key (no min/max pass needed).
+
+    For x >= 0 with bit length L: x itself when L <= mantissa_bits, else
+    ``(L - m) * 2^m + (x >> (L - m))``, i.e. the top m bits plus the exponent,
+    so a bucket spans at most 2^-(m-1) of its key's magnitude.  Negative keys
+    mirror below zero.  Descending order negates the code.  NULL keys get a
+    sentinel that sorts where Spark puts NULLs (first ascending, last
+    descending).  The code space has fewer than 64 * 2^m values.
+    """
+    m = mantissa_bits
+    k = F.col(col).cast("bigint")
+
+    def code(x: Column) -> Column:
+        shift = F.greatest(F.length(F.bin(x)) - F.lit(m), F.lit(0))
+        return (shift.cast("bigint") * F.lit(1 << m)
+                + F.call_function("shiftright", x, shift.cast("int")))
+
+    b = F.when(k >= 0, code(k)).otherwise(-code(-(k + F.lit(1))) - F.lit(1))
+    if not ascending:
+        b = -b - F.lit(1)
+    return F.coalesce(b, F.lit(-(1 << 62) if ascending else (1 << 62)))
+
+
+def _cutoff_filter(df: DataFrame, n: int, key: str, ascending: bool, mantissa_bits: int) -> DataFrame:
+    """Rows in buckets at or before the bucket of the n-th row (stage 1).
+
+    The histogram is a partial aggregate of one key column; the buckets that
+    hold at least one top-n row (running count before them < n) form a table
+    bounded by the bucket code space (< 64 * 2^mantissa_bits ints), so
+    broadcasting it for a left-semi join is size-proven.  One plan, no
+    subquery: upstream exchanges are shared by both branches.
+    """
+    b = key_bucket(key, ascending, mantissa_bits)
+    hist = df.select(b.alias("__b")).groupBy("__b").agg(F.count(F.lit(1)).alias("__c"))
+    before = F.sum("__c").over(Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1))
+    allowed = (hist.withColumn("__before", F.coalesce(before, F.lit(0)))
+               .where(F.col("__before") < F.lit(n)).select("__b"))
+    return (df.withColumn("__b", b)
+            .join(F.broadcast(allowed), on="__b", how="left_semi")
+            .drop("__b"))
+
+
+PREFILTER_MIN_BYTES = 256 << 20
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of ``df`` (file sizes through the plan), or
+    None when the session does not expose it."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - e.g. Spark Connect
+        return None
+
+
 def first_n(df: DataFrame, n: int, order_by: Sequence[str], ascending: bool = True,
-            partition_by: Sequence[str] = (), salt_buckets: int | None = None) -> DataFrame:
+            partition_by: Sequence[str] = (), salt_buckets: int | None = None,
+            mantissa_bits: int | None = 12, prefilter: bool | None = None) -> DataFrame:
     """The first ``n`` rows by ``order_by`` (per ``partition_by`` group if given).
 
-    Exact, skew-safe two-stage top-n; see module docstring.  ``order_by`` are
-    column names and must form a total order (end in a unique key).
+    Exact and skew-safe; see module docstring.  ``order_by`` are column names
+    and must form a total order (end in a unique key).
+
+    ``prefilter``: True/False forces the cutoff pre-filter on or off; None
+    (default) uses it when the optimizer estimates the input above
+    ``PREFILTER_MIN_BYTES`` (small inputs are cheaper in one pass; the
+    pre-filter's two extra small jobs pay off once the input is large).
     """
     order = _order(order_by, ascending)
     groups = [F.col(g) for g in partition_by]
+    if prefilter is None:
+        size = estimated_bytes(df)
+        prefilter = size is None or size >= PREFILTER_MIN_BYTES
+    if (prefilter and mantissa_bits and not groups
+            and isinstance(df.schema[order_by[0]].dataType, _INTEGRAL)):
+        df = _cutoff_filter(df, n, order_by[0], ascending, mantissa_bits)
     buckets = _salt_buckets(df, salt_buckets)
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in order_by]), F.lit(buckets))
     w1 = Window.partitionBy(*groups, salt).orderBy(*order)

@@ -63,11 +63,11 @@ def compare_pairs(ledger: DataFrame, pairs: Sequence[tuple[str, str]],
     bounded by it and broadcast.
     """
     spark = ledger.sparkSession
-    pf = spark.createDataFrame([(a, b) for a, b in pairs], "method_a string, method_b string")
-    long = pf.select("method_a", "method_b", F.explode(F.array(
-        F.struct(F.lit("a").alias("side"), F.col("method_a").alias("name")),
-        F.struct(F.lit("b").alias("side"), F.col("method_b").alias("name")))).alias("s"))
-    long = long.select("method_a", "method_b", "s.side", "s.name")
+    # one literal row per (pair, side): built JVM-side, size = 2 x len(pairs)
+    long = spark.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(a).alias("method_a"), F.lit(b).alias("method_b"),
+                 F.lit(side).alias("side"), F.lit(name).alias("name"))
+        for a, b in pairs for side, name in (("a", a), ("b", b))])))
     joined = ledger.join(F.broadcast(long), ledger[name_col] == long["name"], "inner")
     agg = joined.groupBy("method_a", "method_b").agg(
         F.sum(F.when(F.col("side") == "a", F.col(time_col))).alias("time_a"),

@@ -26,10 +26,11 @@ def _skewed(spark, n=3000, seed=1):
 def test_first_n_exact(spark, salt):
     df = _skewed(spark)
     pdf = df.toPandas()
-    got = first_n(df, 25, ["score", "id"], salt_buckets=salt).toPandas()
+    got = first_n(df, 25, ["score", "id"], salt_buckets=salt, prefilter=salt > 1).toPandas()
     exp = pdf.sort_values(["score", "id"]).head(25)
     assert list(got.sort_values(["score", "id"])["id"]) == list(exp["id"])
-    got_desc = last_n(df, 40, ["score", "id"], salt_buckets=salt).toPandas()
+    got_desc = first_n(df, 40, ["score", "id"], ascending=False, salt_buckets=salt,
+                       prefilter=salt != 3).toPandas()
     exp_desc = pdf.sort_values(["score", "id"], ascending=False).head(40)
     assert set(got_desc["id"]) == set(exp_desc["id"])
 
@@ -96,3 +97,26 @@ def test_hash_split_reproducible(spark):
 def test_hash_key_non_negative(spark):
     vals = spark.range(0, 1000).select(hash_key(7, "id").alias("h")).toPandas()["h"]
     assert (vals >= 0).all() and vals.is_unique
+
+
+def test_key_bucket_monotone(spark):
+    from kestrel.operators.sampling import key_bucket
+    vals = sorted({0, 1, -1, 2, 3, 4095, 4096, 4097, 8191, 8192, 10**6, 10**6 + 1, 2**40 - 1,
+                   2**40, 2**59 + 12345, 2**62, 2**63 - 1, -(2**63), -2, -4097, -(10**9), None}
+                  - {None}) + [None]
+    df = spark.createDataFrame([(v,) for v in vals], "k long")
+    for asc in (True, False):
+        got = [r[0] for r in df.select(key_bucket("k", asc).alias("b")).collect()]
+        body = got[:-1]
+        assert body == sorted(body) if asc else body == sorted(body, reverse=True)
+        assert got[-1] < min(body) if asc else got[-1] > min(body)
+
+
+def test_first_n_cutoff_matches_plain(spark):
+    df = spark.range(0, 50000).select(
+        F.col("id"), (hash_key(5, "id") % 1000).alias("lowcard"), hash_key(9, "id").alias("h"))
+    for key in (["h", "id"], ["lowcard", "id"], ["id"]):
+        for asc in (True, False):
+            a = first_n(df, 777, key, ascending=asc, prefilter=True).select("id").toPandas()
+            b = first_n(df, 777, key, ascending=asc, prefilter=False).select("id").toPandas()
+            assert sorted(a["id"]) == sorted(b["id"]) and len(a) == 777

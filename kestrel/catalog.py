@@ -670,3 +670,48 @@ SELECT event_id, event_type, category, value FROM (
 for _gen in ("v1", "v2", "explore"):
     register(f"etl_{_gen}", _etl_sql(_gen))(
         (lambda g: lambda spark, sf_dir: _etl(spark, sf_dir, g))(_gen))
+
+
+# ------------------------------------------------------- report / model files
+
+@register("counts_report_csv", """
+SELECT event_type, count(event_type) AS n FROM events GROUP BY event_type
+""")
+def counts_report_csv_q(spark, sf_dir):
+    """Counts per label written as ONE headed CSV file (after aggregation, so
+    the coalesce(1) only gathers one row per label), then read back."""
+    from kestrel.sources.files import write_single_csv
+    counts = value_counts(_events(spark, sf_dir), "event_type", count_rows=False, ordered=True)
+    path = scratch_path(spark, "counts-report")
+    write_single_csv(counts, path, header=True)
+    return spark.read.schema("event_type string, n bigint").option("header", True).csv(path)
+
+
+@register("model_save_load_score")
+def model_save_load_score_q(spark, sf_dir):
+    """Train on the full table, save the model, load it back and score."""
+    from kestrel.operators.ml import load_model, save_model
+    ev = _ml_events(spark, sf_dir)
+    model = train_model(ev, label_col="category", exclude=["event_id"])
+    path = scratch_path(spark, "model")
+    save_model(model, path)
+    return predict(load_model(path), ev.drop("category"), out_col="category")
+
+
+@register("drop_invalid_features", """
+SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax FROM (
+  SELECT l_orderkey, l_linenumber, l_quantity, nullif(l_discount, 0.0) AS l_discount,
+         CASE WHEN l_tax = 0.0 THEN CAST('NaN' AS DOUBLE) ELSE l_tax END AS l_tax
+  FROM lineitem) t
+WHERE l_quantity IS NOT NULL AND NOT isnan(l_quantity)
+  AND l_discount IS NOT NULL AND NOT isnan(l_discount)
+  AND l_tax IS NOT NULL AND NOT isnan(l_tax)
+""")
+def drop_invalid_features_q(spark, sf_dir):
+    """Rows with a NULL or NaN feature removed (the assembler's skip rule)."""
+    from kestrel.operators.filters import drop_nan_rows
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity",
+        F.nullif(F.col("l_discount"), F.lit(0.0)).alias("l_discount"),
+        F.when(F.col("l_tax") == 0.0, F.lit(float("nan"))).otherwise(F.col("l_tax")).alias("l_tax"))
+    return drop_nan_rows(li, ["l_quantity", "l_discount", "l_tax"])

@@ -25,9 +25,11 @@ caps, heads, tails and relabels use:
    top-n row of its bucket); a hot value is split over all buckets instead of
    one task; the final merge is bounded by the parameters, not the data.
 
-Per-group caps (``partition_by``) use stage 2 only: stage 1 runs per
-(group, salt) so a group holding a third of all rows is spread over
-``salt_buckets`` tasks, and stage 2 per group sees at most salt_buckets * n rows.
+Per-group caps (``partition_by``) run stage 1 per (group, bucket) (the
+bucket table then grows with the number of groups, so AQE decides from its
+measured size whether to broadcast it) and stage 2 per (group, salt), so a
+group holding a third of all rows is spread over ``salt_buckets`` tasks; the
+final per-group window sees at most salt_buckets * n rows.
 """
 
 from __future__ import annotations
@@ -77,23 +79,35 @@ def key_bucket(col: str, ascending: bool = True, mantissa_bits: int = 12) -> Col
     return F.coalesce(b, F.lit(-(1 << 62) if ascending else (1 << 62)))
 
 
-def _cutoff_filter(df: DataFrame, n: int, key: str, ascending: bool, mantissa_bits: int) -> DataFrame:
-    """Rows in buckets at or before the bucket of the n-th row (stage 1).
+def _cutoff_filter(df: DataFrame, n: int, key: str, ascending: bool, mantissa_bits: int,
+                   groups: Sequence[str] = ()) -> DataFrame:
+    """Rows in buckets at or before the bucket of the n-th row (stage 1),
+    per group when ``groups`` are given.
 
-    The histogram is a partial aggregate of one key column; the buckets that
-    hold at least one top-n row (running count before them < n) form a table
-    bounded by the bucket code space (< 64 * 2^mantissa_bits ints), so
-    broadcasting it for a left-semi join is size-proven.  One plan, no
-    subquery: upstream exchanges are shared by both branches.
+    The histogram is a partial aggregate of the key (and group) columns; the
+    buckets that hold at least one top-n row (running count before them < n)
+    form a table of at most (code space) rows per group.  Without groups that
+    bound is fixed (< 64 * 2^mantissa_bits ints), so broadcasting it for the
+    left-semi join is size-proven; with groups it scales with the number of
+    groups and AQE decides from the measured size.  One plan, no subquery:
+    upstream exchanges are shared by both branches.
     """
     b = key_bucket(key, ascending, mantissa_bits)
-    hist = df.select(b.alias("__b")).groupBy("__b").agg(F.count(F.lit(1)).alias("__c"))
-    before = F.sum("__c").over(Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1))
-    allowed = (hist.withColumn("__before", F.coalesce(before, F.lit(0)))
-               .where(F.col("__before") < F.lit(n)).select("__b"))
-    return (df.withColumn("__b", b)
-            .join(F.broadcast(allowed), on="__b", how="left_semi")
-            .drop("__b"))
+    gcols = [F.col(g) for g in groups]
+    hist = df.select(*gcols, b.alias("__b")).groupBy(*groups, "__b").agg(
+        F.count(F.lit(1)).alias("__c"))
+    w = Window.partitionBy(*gcols).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    allowed = (hist.withColumn("__before", F.coalesce(F.sum("__c").over(w), F.lit(0)))
+               .where(F.col("__before") < F.lit(n)).select(*groups, "__b"))
+    rows = df.withColumn("__b", b)
+    if not groups:
+        return rows.join(F.broadcast(allowed), on="__b", how="left_semi").drop("__b")
+    allowed = allowed.select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(groups)],
+                             F.col("__b").alias("__ab"))
+    cond = F.col("__b") == F.col("__ab")
+    for i, g in enumerate(groups):
+        cond = cond & F.col(g).eqNullSafe(F.col(f"__g{i}"))
+    return rows.join(allowed, cond, "left_semi").drop("__b")
 
 
 PREFILTER_MIN_BYTES = 256 << 20
@@ -126,9 +140,9 @@ def first_n(df: DataFrame, n: int, order_by: Sequence[str], ascending: bool = Tr
     if prefilter is None:
         size = estimated_bytes(df)
         prefilter = size is None or size >= PREFILTER_MIN_BYTES
-    if (prefilter and mantissa_bits and not groups
+    if (prefilter and mantissa_bits
             and isinstance(df.schema[order_by[0]].dataType, _INTEGRAL)):
-        df = _cutoff_filter(df, n, order_by[0], ascending, mantissa_bits)
+        df = _cutoff_filter(df, n, order_by[0], ascending, mantissa_bits, partition_by)
     buckets = _salt_buckets(df, salt_buckets)
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in order_by]), F.lit(buckets))
     w1 = Window.partitionBy(*groups, salt).orderBy(*order)

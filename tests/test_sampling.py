@@ -39,8 +39,12 @@ def test_first_n_exact(spark, salt):
 def test_cap_values_exact(spark, keep):
     df = _skewed(spark)
     pdf = df.toPandas()
-    got = cap_values(df, "label", keep, ["score", "id"], salt_buckets=4).toPandas()
     exp = (pdf.sort_values(["score", "id"]).groupby("label", dropna=False, sort=False).head(keep))
+    for pre in (False, True):
+        got = first_n(df, keep, ["score", "id"], partition_by=["label"], salt_buckets=4,
+                      prefilter=pre).toPandas()
+        assert sorted(got["id"]) == sorted(exp["id"])
+    got = cap_values(df, "label", keep, ["score", "id"], salt_buckets=4).toPandas()
     assert sorted(got["id"]) == sorted(exp["id"])
 
 

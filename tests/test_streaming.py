@@ -5,6 +5,7 @@ import random
 import tempfile
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kestrel.functions.parse import parse_delimited
 from kestrel.operators.ml import train_model
@@ -98,3 +99,26 @@ def test_score_stream_unseen_service(spark):
     got = spark.read.parquet(out).collect()
     assert len(got) == 2 and {r["category"] for r in got} <= {"normal", "dos_attacks"}
     assert "features" not in spark.read.parquet(out).columns
+
+
+def test_append_sink_restart_is_exactly_once(spark):
+    d = tempfile.mkdtemp(prefix="kestrel-replay-")
+    with open(os.path.join(d, "a.txt"), "w") as f:
+        f.write("x,1\ny,2\n")
+    out, ckpt = scratch_path(spark, "t-replay"), scratch_path(spark, "t-replay-ckpt")
+
+    def run():
+        rows = parse_delimited(text_lines_stream(spark, d), "value",
+                               [("name", T.StringType()),
+                                ("v", T.IntegerType())])
+        run_append_by_batch(rows, out, ckpt)
+        return spark.read.parquet(out)
+
+    first = run()
+    assert first.count() == 2
+    again = run()                       # restart on the same checkpoint: nothing new
+    assert again.count() == 2
+    with open(os.path.join(d, "b.txt"), "w") as f:
+        f.write("z,3\n")
+    third = run()
+    assert third.count() == 3 and third.select("batch_id").distinct().count() == 2

@@ -715,3 +715,51 @@ def drop_invalid_features_q(spark, sf_dir):
         F.nullif(F.col("l_discount"), F.lit(0.0)).alias("l_discount"),
         F.when(F.col("l_tax") == 0.0, F.lit(float("nan"))).otherwise(F.col("l_tax")).alias("l_tax"))
     return drop_nan_rows(li, ["l_quantity", "l_discount", "l_tax"])
+
+
+# ------------------------------------------------- faithful stream rate forms
+
+@register("bucket_rate_stream", """
+SELECT time_stamp, count(time_stamp) AS rate FROM (
+  SELECT CASE WHEN event_type = 'error' THEN NULL ELSE CAST(day(ts) AS INTEGER) END AS time_stamp
+  FROM events) t
+GROUP BY time_stamp
+""")
+def bucket_rate_stream_q(spark, sf_dir):
+    """The rate job as the source ran it: each message is a CSV line whose last
+    field is the producer's bucket number (here the day of month; error events
+    carry none, so they form the NULL bucket with rate 0), parsed and counted
+    per bucket in Complete mode."""
+    from kestrel.session import table_path
+    from kestrel.streaming.rate import bucket_rate
+    src = parquet_table_stream(spark, table_path(sf_dir, "events"))
+    msg = src.select(F.concat_ws(
+        ",", F.col("event_id").cast("string"), F.col("user_id").cast("string"),
+        F.col("event_type"), F.concat(F.col("value").cast("string"), F.lit("\n")),
+        F.when(F.col("event_type") != "error", F.dayofmonth("ts").cast("string"))).alias("value"))
+    fields = [("event_id", T.LongType()), ("user_id", T.LongType()), ("event_type", T.StringType()),
+              ("value", T.DoubleType()), ("time_stamp", T.IntegerType())]
+    agg = bucket_rate(parse_delimited(msg, "value", fields), "time_stamp")
+    out = scratch_path(spark, "bucket-rate-out")
+    run_complete_overwrite(agg, out, scratch_path(spark, "bucket-rate-ckpt"))
+    return spark.read.parquet(out)
+
+
+@register("latest_bucket_stream", f"""
+WITH r AS ({_rate_sql(3600)})
+SELECT window_start, rate FROM r WHERE window_start = (SELECT max(window_start) FROM r)
+""")
+def latest_bucket_stream_q(spark, sf_dir):
+    """Complete-mode hourly rates; each micro-batch keeps only the latest
+    window before overwriting the sink (the commented-out join, inside
+    foreachBatch where the aggregate is a bounded batch frame)."""
+    from kestrel.session import table_path
+    src = parquet_table_stream(spark, table_path(sf_dir, "events"))
+    agg = window_rate(src, "ts", "1 hour")
+    out = scratch_path(spark, "latest-out")
+
+    def write_latest(batch: DataFrame, path: str) -> None:
+        latest_only(batch, "window_start").write.mode("overwrite").parquet(path)
+
+    run_complete_overwrite(agg, out, scratch_path(spark, "latest-ckpt"), writer=write_latest)
+    return spark.read.parquet(out)

@@ -24,7 +24,8 @@ from kestrel.functions.categorize import map_categories
 from kestrel.functions.text import strip_chars
 from kestrel.operators.dedup import drop_duplicates
 from kestrel.operators.filters import exclude_values
-from kestrel.operators.sampling import cap_value, rebalance
+from kestrel.operators.sampling import PREFILTER_MIN_BYTES, cap_value, estimated_bytes, rebalance
+from kestrel.session import checkpoint_root
 from kestrel.schemas import ATTACK_CATEGORIES, RARE_ATTACKS, RELABEL_TARGETS
 
 
@@ -64,8 +65,18 @@ def row_hash(df: DataFrame, seed: int | str = 7) -> F.Column:
 def prepare(df: DataFrame, preset: str | EtlPreset = "v2", label_col: str = "attack",
             category_col: str = "category", order_by: Sequence[str] | None = None,
             key_cols: Sequence[str] | None = None, seed: int = 7,
-            salt_buckets: int | None = None, **overrides) -> DataFrame:
-    """Run the ETL preset (fields of ``EtlPreset`` can be overridden)."""
+            salt_buckets: int | None = None, materialize: bool | None = None,
+            **overrides) -> DataFrame:
+    """Run the ETL preset (fields of ``EtlPreset`` can be overridden).
+
+    ``materialize``: the rebalance reads the cleaned, mapped rows three times
+    (non-majority, head, tail), and each branch would otherwise repeat the
+    dedup shuffle under its own pushed filter.  When True the cleaned rows are
+    written once with a reliable ``checkpoint()`` into the shared
+    ``spark.checkpoint.dir`` (it also survives executor loss), and the three
+    branches scan that.  None (default) does so when the optimizer estimates
+    the input above ``PREFILTER_MIN_BYTES``.
+    """
     p = PRESETS[preset] if isinstance(preset, str) else preset
     if overrides:
         p = replace(p, **overrides)
@@ -93,6 +104,12 @@ def prepare(df: DataFrame, preset: str | EtlPreset = "v2", label_col: str = "att
     if not p.cap_before_map:
         out = cap(out)
     if p.rebalance:
+        if materialize is None:
+            size = estimated_bytes(df)
+            materialize = size is None or size >= PREFILTER_MIN_BYTES
+        if materialize:
+            checkpoint_root(out.sparkSession)
+            out = out.checkpoint(eager=True)
         out = rebalance(out, category_col, p.majority, p.relabel_n, p.tail_n, p.targets,
                         order_by, key_cols, seed=seed, tail_scope=p.tail_scope,
                         salt_buckets=salt_buckets)

@@ -124,3 +124,17 @@ def test_first_n_cutoff_matches_plain(spark):
             a = first_n(df, 777, key, ascending=asc, prefilter=True).select("id").toPandas()
             b = first_n(df, 777, key, ascending=asc, prefilter=False).select("id").toPandas()
             assert sorted(a["id"]) == sorted(b["id"]) and len(a) == 777
+
+
+def test_etl_materialized_equals_lazy(spark):
+    import __spark_entry__ as entry
+    from kestrel.catalog import SEED, _event_preset, _with_h, _events
+    from kestrel.plans.etl import prepare
+    ev = _with_h(_events(spark, "/root/testdata/sf0.001"))
+    outs = []
+    for mat in (False, True):
+        out = prepare(ev, _event_preset("v2"), label_col="event_type", order_by=["__h", "event_id"],
+                      key_cols=["event_id"], seed=SEED, materialize=mat)
+        outs.append(out.select("event_id", "category").toPandas().sort_values(["event_id", "category"]))
+    assert outs[0].values.tolist() == outs[1].values.tolist() and len(outs[0]) > 0
+    assert entry is not None

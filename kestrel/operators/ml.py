@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
@@ -84,8 +85,21 @@ def skip_invalid(df: DataFrame, stages) -> DataFrame:
 
 
 def train_model(df: DataFrame, label_col: str = "category", **kw) -> PipelineModel:
+    """Fit the pipeline.  The fit scans its input several times (one pass per
+    indexer, then the forest's setup passes) before the forest caches its own
+    binned copy, so only the columns the stages read are persisted for the
+    duration of the fit (MEMORY_AND_DISK; a lost block is recomputed from
+    lineage) and released afterwards."""
     pipeline = build_pipeline(df, label_col=label_col, **kw)
-    return pipeline.fit(skip_invalid(df, pipeline.getStages()))
+    stages = pipeline.getStages()
+    needed = [label_col] + [s.getInputCol() for s in stages if isinstance(s, StringIndexer)]
+    needed += raw_feature_columns(stages)
+    data = skip_invalid(df, stages).select(*dict.fromkeys(needed))
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return pipeline.fit(data)
+    finally:
+        data.unpersist()
 
 
 def save_model(model: PipelineModel, path: str) -> None:

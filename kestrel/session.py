@@ -38,14 +38,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts, stream checkpoints and written tables.
 
-    Reads ``spark.checkpoint.dir`` from the session; only when it is unset
-    (tests) a fresh temporary folder is created and registered.
+    Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset
+    AND the master is local (tests, the local bench) is a fresh temporary
+    folder created and registered; on a cluster an unset value is an error.
     """
     root = spark.conf.get(_CKPT_KEY, None)
     if not root:
         sc_dir = spark.sparkContext.getCheckpointDir()
         if sc_dir:
             return sc_dir.rstrip("/")
+        if not spark.sparkContext.master.startswith("local"):
+            # a machine-local folder would vanish with the executor that wrote it
+            raise RuntimeError(f"set {_CKPT_KEY} to a shared folder (HDFS/object store) "
+                               "for checkpoints, stream state and scratch tables")
         root = tempfile.mkdtemp(prefix="kestrel-ckpt-")
         spark.conf.set(_CKPT_KEY, root)
     spark.sparkContext.setCheckpointDir(root)

@@ -60,3 +60,19 @@ def test_relabel_uses_targets(spark):
 
 def test_presets_are_data():
     assert PRESETS["v2"].rare_labels and PRESETS["explore"].cap_before_map is False
+
+
+def test_train_save_score_plans(spark):
+    """PIP4 + PIP6: ETL -> write processed -> fit -> save; load -> score."""
+    from kestrel.plans.training import batch_score, train_on_full_data
+    from kestrel.session import scratch_path
+    raw = _log(spark)
+    model_path, processed = scratch_path(spark, "t-model"), scratch_path(spark, "t-processed")
+    train_on_full_data(raw, model_path, preset="v2", processed_path=processed,
+                       cap_keep=200, relabel_n=150, tail_n=100)
+    assert spark.read.parquet(processed).count() > 0
+    unlabelled = raw.drop("attack").limit(20)
+    scored = batch_score(model_path, unlabelled)
+    got = scored.toPandas()
+    assert len(got) == 20 and got["category"].notna().all()
+    assert not {"features", "prediction", "probability", "rawPrediction"} & set(scored.columns)

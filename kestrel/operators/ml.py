@@ -33,18 +33,42 @@ _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
             T.DoubleType, T.DecimalType, T.BooleanType)
 
 
+def global_index(df: DataFrame, order: list, out_col: str = "idx") -> DataFrame:
+    """0-based position of each row in a total ``order``, computed without
+    gathering rows into one task.
+
+    The sort is range-partitioned (distributed); each row's id from
+    ``monotonically_increasing_id`` encodes its sorted partition and its local
+    position; the per-partition row counts (one row per partition, bounded by
+    the partition count, so the broadcast is size-proven) give each
+    partition's offset.  The order must be total for the result to be
+    deterministic.
+    """
+    mid = F.monotonically_increasing_id()
+    ranked = df.orderBy(*order).withColumn("__mid", mid).withColumns({
+        "__part": F.shiftright(F.col("__mid"), 33),
+        "__local": F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))})
+    counts = ranked.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    w = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("__part", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
+    return (ranked.join(F.broadcast(offsets), on="__part")
+            .withColumn(out_col, F.col("__off") + F.col("__local"))
+            .drop("__mid", "__part", "__local", "__off"))
+
+
 def string_index_table(df: DataFrame, column: str, out_col: str = "idx",
                        count_col: str = "n") -> DataFrame:
     """The index ``StringIndexer(stringOrderType='frequencyDesc')`` assigns:
-    ``row_number() over (order by count desc, value) - 1``.
+    position in (count desc, value asc), as a double.
 
-    The window has no partition key, but it runs over the distinct-values
-    table (one row per category), which StringIndexer also brings to the
-    driver; counting is a partial aggregate, so skew does not matter.
+    Counting is a partial aggregate (skew-safe); the ranking is a distributed
+    global index over the distinct values (``global_index``), so even a
+    high-cardinality column is never gathered into one task.
     """
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias(count_col))
-    w = Window.orderBy(F.col(count_col).desc(), F.col(column).asc())
-    return counts.withColumn(out_col, (F.row_number().over(w) - 1).cast("double"))
+    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(
+        F.count(F.lit(1)).alias(count_col))
+    ranked = global_index(counts, [F.col(count_col).desc(), F.col(column).asc()], "__i")
+    return ranked.withColumn(out_col, F.col("__i").cast("double")).drop("__i")
 
 
 def numeric_feature_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:

@@ -9,6 +9,7 @@ session has none (local tests), and then under a fresh ``mktemp`` folder.
 from __future__ import annotations
 
 import tempfile
+from contextlib import contextmanager
 import uuid
 
 from pyspark.sql import SparkSession
@@ -69,3 +70,21 @@ def table_path(sf_dir: str, name: str) -> str:
 def read_table(spark: SparkSession, sf_dir: str, name: str):
     """One of the driver's parquet tables (columnar scan, pushdown, pruning)."""
     return spark.read.parquet(table_path(sf_dir, name))
+
+
+@contextmanager
+def cached(df, level=None):
+    """Persist ``df`` for the block and release it afterwards (the surveyed
+    jobs cached intermediates and never unpersisted them).  Default level
+    MEMORY_AND_DISK: a lost block is recomputed from lineage."""
+    from pyspark import StorageLevel
+    kept = df.persist(level or StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
+def clear_caches(spark: SparkSession) -> None:
+    """Drop every cached table and frame of the session."""
+    spark.catalog.clearCache()

@@ -48,3 +48,14 @@ def test_ledger_recorder(spark):
         pass
     df = led.frame(spark)
     assert df.count() == 1 and df.first()["time_taken"] >= 0
+
+
+def test_cached_scope(spark):
+    from kestrel.session import cached, clear_caches
+    df = spark.range(0, 100)
+    with cached(df) as c:
+        assert c.count() == 100 and c.is_cached
+    assert not df.is_cached
+    df.cache().count()
+    clear_caches(spark)
+    assert spark.range(0, 100).count() == 100

@@ -47,3 +47,22 @@ def test_string_index_matches_stringindexer(spark):
     model = StringIndexer(inputCol="s", outputCol="i").fit(df)
     theirs = {lab: float(i) for i, lab in enumerate(model.labels)}
     assert ours == theirs
+
+
+def test_global_index_many_partitions(spark):
+    from pyspark.sql import functions as F
+    from kestrel.operators.ml import global_index
+    df = spark.range(0, 5000).select((F.col("id") * 7919 % 5000).alias("k")).repartition(13)
+    got = global_index(df, [F.col("k").desc()]).toPandas().sort_values("idx")
+    assert list(got["idx"]) == list(range(5000))
+    assert list(got["k"]) == sorted(got["k"], reverse=True)
+
+
+def test_string_index_high_cardinality(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(0, 3000).select((F.col("id") % 1200).cast("string").alias("s"))
+    got = string_index_table(df, "s").toPandas()
+    exp = (df.toPandas().value_counts("s").rename("n").reset_index()
+           .sort_values(["n", "s"], ascending=[False, True]).reset_index(drop=True))
+    got = got.sort_values("idx").reset_index(drop=True)
+    assert list(got["s"]) == list(exp["s"]) and list(got["idx"]) == [float(i) for i in range(1200)]

@@ -108,3 +108,30 @@ def test_constant_columns_null_rules(spark):
     # two or more constant columns really are dropped (not one joined name)
     assert drop_constant_columns(df).columns == ["id", "five_or_null", "mixed"]
     assert drop_constant_columns(df, null_is_value=False).columns == ["id", "mixed"]
+
+
+def test_jdbc_align_columns(spark):
+    """Schema drift fix for appends: target order, missing nullable -> NULL, extra dropped."""
+    from kestrel.sources.jdbc import align_columns
+    df = spark.createDataFrame([(1.0, "tcp", "x")], "duration double, protocol_type string, extra string")
+    out = align_columns(df, [("protocol_type", "string"), ("duration", "float"),
+                             ("num_outbound_cmds", "bigint")])
+    assert out.columns == ["protocol_type", "duration", "num_outbound_cmds"]
+    r = out.first()
+    assert r["protocol_type"] == "tcp" and r["duration"] == 1.0 and r["num_outbound_cmds"] is None
+    assert dict(out.dtypes)["num_outbound_cmds"] == "bigint"
+
+
+def test_exploration_report(spark):
+    from kestrel.plans.report import exploration_report
+    df = spark.createDataFrame(
+        [("normal", "normal", 1.0, 0.0), ("smurf", "dos_attacks", 3.0, None), ("smurf", "dos_attacks", 5.0, 1.0)],
+        "attack string, category string, duration double, su_attempted double")
+    rep = exploration_report(df)
+    assert rep["shape"].first()["n_rows"] == 3
+    lab = {r["attack"]: r["n"] for r in rep["label_counts"].collect()}
+    assert lab == {"normal": 1, "smurf": 2}
+    att = {r["category"]: r["nonnull_su_attempted"] for r in rep["attempts_by_category"].collect()}
+    assert att == {"normal": 1, "dos_attacks": 1}
+    dur = {r["category"]: r["avg_duration"] for r in rep["duration_by_category"].collect()}
+    assert dur["dos_attacks"] == 4.0

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kestrel.functions.categorize import map_categories
+from kestrel.functions.categorize import category_of, map_categories
 from kestrel.functions.hashing import hash_key, hash_pick
 from kestrel.functions.parse import parse_delimited, render_delimited
 from kestrel.functions.text import strip_chars
@@ -763,3 +763,57 @@ def latest_bucket_stream_q(spark, sf_dir):
 
     run_complete_overwrite(agg, out, scratch_path(spark, "latest-ckpt"), writer=write_latest)
     return spark.read.parquet(out)
+
+
+# ----------------------------------------------- survey-named query variants
+
+def _constant_sql() -> str:
+    parts = []
+    for c in _F_ORDERS_COLS:
+        nd = f"count(DISTINCT {c})"
+        has_null = f"max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END)"
+        parts.append(f"SELECT '{c}' AS column_name, true AS null_is_value, "
+                     f"({nd} + {has_null}) = 1 AS is_constant FROM f")
+        parts.append(f"SELECT '{c}' AS column_name, false AS null_is_value, "
+                     f"{nd} <= 1 AS is_constant FROM f")
+    return f"WITH f AS {_F_ORDERS_SQL}\n" + "\nUNION ALL\n".join(parts)
+
+
+@register("constant_columns", _constant_sql())
+def constant_columns_q(spark, sf_dir):
+    """Long form (column, null rule, constant?) for both NULL rules, from the
+    one-pass profile."""
+    prof = column_profile(_f_orders(spark, sf_dir))
+    return prof.select("column_name", F.inline(F.array(
+        F.struct(F.lit(True).alias("null_is_value"), F.col("is_constant").alias("is_constant")),
+        F.struct(F.lit(False).alias("null_is_value"),
+                 F.col("is_constant_ignoring_null").alias("is_constant")))))
+
+
+@register("binary_metrics_events", f"""
+WITH p AS (
+  SELECT CASE WHEN value > {POSITIVE_THRESHOLD} THEN 'conversion' ELSE 'engagement' END AS predicted,
+         {sql_category('event_type')} AS category
+  FROM events),
+c AS (
+  SELECT count_if(predicted != 'engagement' AND category != 'engagement') AS tp,
+         count_if(predicted != 'engagement' AND category = 'engagement') AS fp,
+         count_if(predicted = 'engagement' AND category = 'engagement') AS tn,
+         count_if(predicted = 'engagement' AND category != 'engagement') AS fn
+  FROM p WHERE predicted IS NOT NULL AND category IS NOT NULL)
+SELECT tp, fp, tn, fn,
+  CASE WHEN fp + tn > 0 THEN round(fp / (fp + tn), 6) END AS false_positive_rate,
+  CASE WHEN tp + fp > 0 THEN round(tp / (tp + fp), 6) ELSE 0.0 END AS precision,
+  CASE WHEN tp + fn > 0 THEN round(tp / (tp + fn), 6) END AS recall,
+  CASE WHEN tp + fp + tn + fn > 0 THEN round((tp + tn) / (tp + fp + tn + fn), 6) END AS accuracy
+FROM c
+""")
+def binary_metrics_events_q(spark, sf_dir):
+    """String labels: a threshold rule's prediction against the mapped
+    category; 'engagement' is the negative class, unmapped labels are NULL
+    and not counted."""
+    ev = _events(spark, sf_dir).select(
+        F.when(F.col("value") > POSITIVE_THRESHOLD, F.lit("conversion"))
+         .otherwise(F.lit("engagement")).alias("predicted"),
+        category_of("event_type", EVENT_CATEGORIES).alias("category"))
+    return binary_metrics(ev, "predicted", "category", negative="engagement")

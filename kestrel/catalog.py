@@ -678,12 +678,13 @@ for _gen in ("v1", "v2", "explore"):
 SELECT event_type, count(event_type) AS n FROM events GROUP BY event_type
 """)
 def counts_report_csv_q(spark, sf_dir):
-    """Counts per label written as ONE headed CSV file (after aggregation, so
-    the coalesce(1) only gathers one row per label), then read back."""
+    """Counts per label written as ONE headed CSV file, sorted by label (after
+    aggregation, so the single task only sees one row per label), then read
+    back."""
     from kestrel.sources.files import write_single_csv
-    counts = value_counts(_events(spark, sf_dir), "event_type", count_rows=False, ordered=True)
+    counts = value_counts(_events(spark, sf_dir), "event_type", count_rows=False, ordered=False)
     path = scratch_path(spark, "counts-report")
-    write_single_csv(counts, path, header=True)
+    write_single_csv(counts, path, header=True, order_by=["event_type"])
     return spark.read.schema("event_type string, n bigint").option("header", True).csv(path)
 
 

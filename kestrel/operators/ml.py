@@ -43,11 +43,19 @@ def global_index(df: DataFrame, order: list, out_col: str = "idx") -> DataFrame:
     the partition count, so the broadcast is size-proven) give each
     partition's offset.  The order must be total for the result to be
     deterministic.
+
+    The numbered rows are written once with a reliable ``checkpoint()``
+    (eager, into the shared ``spark.checkpoint.dir``) before they feed both
+    the counts and the rows: the range bounds come from sampling rows in
+    arrival order, so two separately planned sorts could split partitions
+    differently, and offsets from one would then not fit the other.
     """
+    from kestrel.session import checkpoint_root
+    checkpoint_root(df.sparkSession)
     mid = F.monotonically_increasing_id()
     ranked = df.orderBy(*order).withColumn("__mid", mid).withColumns({
         "__part": F.shiftright(F.col("__mid"), 33),
-        "__local": F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))})
+        "__local": F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))}).checkpoint(eager=True)
     counts = ranked.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
     w = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__part", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
@@ -113,12 +121,21 @@ def train_model(df: DataFrame, label_col: str = "category", **kw) -> PipelineMod
     indexer, then the forest's setup passes) before the forest caches its own
     binned copy, so only the columns the stages read are persisted for the
     duration of the fit (MEMORY_AND_DISK; a lost block is recomputed from
-    lineage) and released afterwards."""
+    lineage) and released afterwards.
+
+    Every pass of the fit runs one task per persisted partition.  An input
+    with fewer partitions than the cluster's default parallelism (a single
+    unsplittable file, a gzip log) is spread round-robin before persisting,
+    so the passes use every core; a large input already has many partitions
+    and is persisted as it is, with no extra shuffle."""
     pipeline = build_pipeline(df, label_col=label_col, **kw)
     stages = pipeline.getStages()
     needed = [label_col] + [s.getInputCol() for s in stages if isinstance(s, StringIndexer)]
     needed += raw_feature_columns(stages)
     data = skip_invalid(df, stages).select(*dict.fromkeys(needed))
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    if data.rdd.getNumPartitions() < parallelism:
+        data = data.repartition(parallelism)
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return pipeline.fit(data)

@@ -51,13 +51,21 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool =
     w.csv(path)
 
 
-def write_single_csv(df: DataFrame, path: str, header: bool = True) -> None:
-    """A small report (e.g. counts per label) as ONE headed CSV file.
-
-    ``coalesce(1)`` collapses upstream parallelism, so only use it on an
-    already-aggregated frame.
+def write_single_csv(df: DataFrame, path: str, header: bool = True,
+                     order_by: list[str] | None = None) -> None:
+    """A small report (e.g. counts per label) as ONE headed CSV file, rows in
+    ``order_by`` order.
+
+    Only for an already-aggregated frame.  ``repartition(1)`` rather than
+    ``coalesce(1)``: coalesce is a narrow dependency and would pull the
+    aggregate's final stage into the single task too, while the extra shuffle
+    moves only the aggregated rows.  The order is set inside that one
+    partition, since a shuffle drops any earlier sort.
     """
-    df.coalesce(1).write.mode("overwrite").option("header", header).csv(path)
+    one = df.repartition(1)
+    if order_by:
+        one = one.sortWithinPartitions(*order_by)
+    one.write.mode("overwrite").option("header", header).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",

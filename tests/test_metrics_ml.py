@@ -66,3 +66,25 @@ def test_string_index_high_cardinality(spark):
            .sort_values(["n", "s"], ascending=[False, True]).reset_index(drop=True))
     got = got.sort_values("idx").reset_index(drop=True)
     assert list(got["s"]) == list(exp["s"]) and list(got["idx"]) == [float(i) for i in range(1200)]
+
+
+def test_global_index_without_exchange_reuse(spark):
+    """Offsets must fit the rows even when the sort is not shared between the
+    counts and the rows (no AQE stage cache, no exchange reuse)."""
+    from pyspark.sql import functions as F
+    from kestrel.operators.ml import global_index
+    keys = ("spark.sql.exchange.reuse", "spark.sql.adaptive.enabled")
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "false")
+        df = (spark.range(0, 20000).repartition(7)
+              .groupBy((F.col("id") % 3000).alias("k")).agg(F.count("id").alias("n")))
+        got = global_index(df, [F.col("n").desc(), F.col("k").asc()]).toPandas()
+        got = got.sort_values("idx")
+        assert list(got["idx"]) == list(range(3000))
+        expected = sorted(zip(got["n"], got["k"]), key=lambda t: (-t[0], t[1]))
+        assert list(zip(got["n"], got["k"])) == expected
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

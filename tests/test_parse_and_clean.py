@@ -135,3 +135,21 @@ def test_exploration_report(spark):
     assert att == {"normal": 1, "dos_attacks": 1}
     dur = {r["category"]: r["avg_duration"] for r in rep["duration_by_category"].collect()}
     assert dur["dos_attacks"] == 4.0
+
+
+def test_single_csv_report_is_one_sorted_file(spark, tmp_path):
+    import os
+    from pyspark.sql import functions as F
+    from kestrel.operators.stats import value_counts
+    from kestrel.sources.files import write_single_csv
+    df = spark.range(0, 5000).repartition(9).select(
+        F.concat(F.lit("v"), (F.col("id") * 37 % 50).cast("string")).alias("label"))
+    counts = value_counts(df, "label", ordered=False)
+    out = str(tmp_path / "report")
+    write_single_csv(counts, out, header=True, order_by=["label"])
+    parts = [f for f in os.listdir(out) if f.startswith("part-")]
+    assert len(parts) == 1
+    back = spark.read.option("header", True).csv(out).collect()
+    labels = [r["label"] for r in back]
+    assert labels == sorted(labels) and len(labels) == 50
+    assert sum(int(r["n"]) for r in back) == 5000

@@ -170,11 +170,24 @@ def predict(model: PipelineModel, df: DataFrame, out_col: str = "category",
 
 
 def holdout_metrics(df: DataFrame, label_col: str = "category", negative: str = "normal",
-                    train_fraction: float = 0.75, seed: int = 7, **kw) -> DataFrame:
+                    train_fraction: float = 0.75, seed: int = 7,
+                    split_keys: Sequence[str] | None = None, **kw) -> DataFrame:
     """Split, fit on train, score validation, report binary metrics with every
     class other than ``negative`` collapsed to positive.  Compares label
-    *strings*, so it does not depend on which index the negative class got."""
-    train, valid = df.randomSplit([train_fraction, 1 - train_fraction], seed=seed)
+    *strings*, so it does not depend on which index the negative class got.
+
+    The split is ``randomSplit`` as in the surveyed code (its rows depend on
+    the input's partitioning); with ``split_keys`` it is a seeded hash of
+    those columns instead, so the same rows land in each side on any cluster
+    layout (no shuffle either way)."""
+    if split_keys:
+        from kestrel.operators.sampling import hash_split
+        tagged = hash_split(df, [train_fraction, 1 - train_fraction], split_keys, seed=seed,
+                            names=["train", "valid"], out_col="__split")
+        train = tagged.where(F.col("__split") == "train").drop("__split")
+        valid = tagged.where(F.col("__split") == "valid").drop("__split")
+    else:
+        train, valid = df.randomSplit([train_fraction, 1 - train_fraction], seed=seed)
     model = train_model(train, label_col=label_col, seed=seed, **kw)
     scored = predict(model, valid.withColumnRenamed(label_col, "__truth"),
                      out_col="__pred", label_col=label_col)

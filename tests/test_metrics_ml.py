@@ -88,3 +88,20 @@ def test_global_index_without_exchange_reuse(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_holdout_hash_split_scores_exactly_the_valid_side(spark):
+    from pyspark.sql import functions as F
+    from kestrel.operators.ml import holdout_metrics
+    from kestrel.operators.sampling import hash_split
+    df = spark.range(0, 600).select(
+        "id", (F.col("id") % 7).cast("double").alias("x"),
+        (F.col("id") % 5).cast("double").alias("y"),
+        F.when(F.col("id") % 7 < 3, "attack").otherwise("normal").alias("category"))
+    m = holdout_metrics(df, negative="normal", split_keys=["id"], exclude=["id"]).first()
+    valid = hash_split(df, [0.75, 0.25], ["id"], seed=7, names=["t", "v"]).where(
+        F.col("split") == "v").count()
+    assert m["tp"] + m["fp"] + m["tn"] + m["fn"] == valid
+    again = holdout_metrics(df.repartition(5), negative="normal", split_keys=["id"],
+                            exclude=["id"]).first()
+    assert again["tp"] + again["fp"] + again["tn"] + again["fn"] == valid

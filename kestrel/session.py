@@ -36,6 +36,37 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     )
 
 
+def size_for_input(spark: SparkSession, input_bytes: int,
+                   scan_partition_bytes: int = 256 << 20,
+                   shuffle_partition_bytes: int = 512 << 20,
+                   max_shuffle_partitions: int = 100_000) -> dict[str, str]:
+    """Size scans and shuffles for an input of ``input_bytes`` (for example
+    ``operators.sampling.estimated_bytes(df)`` of the job's source) and
+    return the settings made.
+
+    Scan splits of ``scan_partition_bytes``; an initial shuffle width of one
+    partition per ``shuffle_partition_bytes`` of input (at least the cluster's
+    default parallelism, at most ``max_shuffle_partitions`` so the map x
+    reduce block count stays manageable), which AQE then coalesces towards
+    half of that per partition, or splits where a key is skewed.  Call once
+    per job, before building the plans.
+    """
+    parallelism = spark.sparkContext.defaultParallelism
+    width = -(-int(input_bytes) // shuffle_partition_bytes)
+    width = max(parallelism, min(max_shuffle_partitions, width))
+    settings = {
+        "spark.sql.files.maxPartitionBytes": str(scan_partition_bytes),
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    return settings
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts, stream checkpoints and written tables.
 

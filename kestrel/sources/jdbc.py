@@ -33,15 +33,33 @@ def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None
     return spark.read.jdbc(url, table, properties=properties or {})
 
 
+def jdbc_bounds(spark: SparkSession, url: str, table: str, column: str,
+                properties: dict | None = None) -> tuple:
+    """``(min, max)`` of a numeric column, computed by the database (the
+    aggregate runs there through the ``query`` option; one row comes back)."""
+    row = (spark.read.format("jdbc").option("url", url)
+           .option("query", f"SELECT min({column}) AS lo, max({column}) AS hi FROM {table}")
+           .options(**(properties or {})).load().first())
+    return row["lo"], row["hi"]
+
+
 def read_jdbc_partitioned(spark: SparkSession, url: str, table: str, column: str,
-                          lower_bound: int, upper_bound: int, num_partitions: int,
-                          properties: dict | None = None,
+                          lower_bound: int | None = None, upper_bound: int | None = None,
+                          num_partitions: int = 10, properties: dict | None = None,
                           predicates: Sequence[str] | None = None) -> DataFrame:
     """Parallel read: range slices of ``column`` (bounds only set the stride,
-    rows outside them go to the first/last slice), or explicit predicates."""
+    rows outside them go to the first/last slice), or explicit predicates.
+    Missing bounds are taken from the table itself (``jdbc_bounds``) instead
+    of a hard-coded row count; an empty table is read in one slice."""
     props = properties or {}
     if predicates:
         return spark.read.jdbc(url, table, predicates=list(predicates), properties=props)
+    if lower_bound is None or upper_bound is None:
+        lo, hi = jdbc_bounds(spark, url, table, column, props)
+        if lo is None:
+            return spark.read.jdbc(url, table, properties=props)
+        lower_bound = int(lo) if lower_bound is None else lower_bound
+        upper_bound = int(hi) + 1 if upper_bound is None else upper_bound
     return spark.read.jdbc(url, table, column=column, lowerBound=lower_bound,
                            upperBound=upper_bound, numPartitions=num_partitions,
                            properties=props)

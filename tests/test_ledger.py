@@ -59,3 +59,21 @@ def test_cached_scope(spark):
     df.cache().count()
     clear_caches(spark)
     assert spark.range(0, 100).count() == 100
+
+
+def test_size_for_input(spark):
+    from kestrel.session import size_for_input
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        par = spark.sparkContext.defaultParallelism
+        assert size_for_input(spark, 10 << 20)["spark.sql.shuffle.partitions"] == str(par)
+        big = size_for_input(spark, 100 << 40)                  # 100 TiB
+        assert big["spark.sql.shuffle.partitions"] == "100000"
+        mid = size_for_input(spark, 1 << 40)                    # 1 TiB -> 2048 x 512 MiB
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "2048"
+        assert mid["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(256 << 20)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

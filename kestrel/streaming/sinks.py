@@ -22,12 +22,37 @@ def _trigger(writer, available_now: bool, processing_time: str | None):
     return writer
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb_state(spark) -> None:
+    """Keep streaming aggregation state in RocksDB (off-heap, spilled to local
+    disk, snapshotted to the checkpoint) instead of executor heap maps, so
+    state that grows with the number of keys (one row per bucket or window)
+    does not exhaust executor memory.  Changelog checkpointing uploads only
+    each batch's changes.  The provider is recorded in the checkpoint on the
+    first run; a restart keeps the one it started with."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
 def run_complete_overwrite(agg: DataFrame, out_path: str, checkpoint: str,
                            available_now: bool = True, processing_time: str | None = None,
                            writer: Callable[[DataFrame, str], None] | None = None,
-                           timeout: float | None = None):
+                           timeout: float | None = None, state_store: str | None = None):
     """Complete-mode aggregate; each micro-batch replaces the whole result
-    (naturally idempotent).  ``writer(df, path)`` may target JDBC instead."""
+    (naturally idempotent).  ``writer(df, path)`` may target JDBC instead.
+
+    ``state_store='rocksdb'`` selects the RocksDB state store (see
+    ``use_rocksdb_state``) for aggregates keyed by something that grows with
+    the data.  None (default) keeps the session's choice: the rate queries
+    hold one state row per time bucket, which grows with the stream's time
+    span (about 3.2 M ten-second windows a year), not with its volume, and
+    in-heap state was about 2 s faster per run locally."""
+    if state_store == "rocksdb":
+        use_rocksdb_state(agg.sparkSession)
+    elif state_store is not None:
+        raise ValueError(f"unknown state_store {state_store!r}")
     def write(batch: DataFrame, batch_id: int) -> None:
         if writer is not None:
             writer(batch, out_path)

@@ -138,10 +138,20 @@ def test_rate_state_in_rocksdb_restarts(spark):
         run_complete_overwrite(agg, out, ckpt, state_store="rocksdb")
         return {r["time_stamp"]: r["rate"] for r in spark.read.parquet(out).collect()}
 
-    with open(os.path.join(d, "a.txt"), "w") as f:
-        f.write("a,1\nb,1\nc,2\n")
-    assert run() == {1: 2, 2: 1}
-    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == ROCKSDB_PROVIDER
-    with open(os.path.join(d, "b.txt"), "w") as f:
-        f.write("d,2\ne,3\n")
-    assert run() == {1: 2, 2: 2, 3: 1}
+    keys = ("spark.sql.streaming.stateStore.providerClass",
+            "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        with open(os.path.join(d, "a.txt"), "w") as f:
+            f.write("a,1\nb,1\nc,2\n")
+        assert run() == {1: 2, 2: 1}
+        assert spark.conf.get(keys[0]) == ROCKSDB_PROVIDER
+        with open(os.path.join(d, "b.txt"), "w") as f:
+            f.write("d,2\ne,3\n")
+        assert run() == {1: 2, 2: 2, 3: 1}
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

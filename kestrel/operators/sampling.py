@@ -8,15 +8,18 @@ Scale design of the "first n rows by order" primitive (``first_n``), which all
 caps, heads, tails and relabels use:
 
 1. Cutoff (global top-n on an integral first order column, e.g. the seeded
-   hash key or an id): a histogram of a monotone log-linear bucket code of
-   the key (``key_bucket``) is built with a partial aggregate (one key column
-   read, one row per populated bucket shuffled); the buckets up to the one
-   holding the n-th row are found with a running sum over that small
-   histogram and applied with a broadcast left-semi join (the bucket table is
-   bounded by the code space).  Bucketing is monotone in the key, so the
-   survivors contain every top-n row: the cut is exact.  With hash keys the
-   survivors are about n plus one bucket's rows (rows / 2^12 at worst for a
-   descending cut), however many rows share the capped value.
+   hash key or an id), in two histogram rounds.  Round 1: a histogram of a
+   monotone log-linear bucket code of the key (``key_bucket``) is built with
+   a partial aggregate (one key column read, one row per populated bucket
+   shuffled); a running sum over it finds the buckets up to the one holding
+   the n-th row.  Round 2: the same over a finer code (``sub_bucket``) of
+   the rows of that one bucket only.  The result is applied with one
+   broadcast left-semi join (the tables are bounded by the code space).
+   Both codes are monotone in the key, so the survivors contain every top-n
+   row: the cut is exact.  With hash keys the survivors are about n plus
+   rows / 2^24 at worst (a descending cut; round 1 alone would leave
+   rows / 2^12, which at 10^12 rows is far too many for the final merge),
+   however many rows share the capped value.
 2. Salted two-stage top-n on what survives: rows are spread over
    ``salt_buckets`` buckets by a hash of the order key, the first n of each
    bucket are kept (Spark adds a map-side ``WindowGroupLimit`` when n <=
@@ -79,35 +82,99 @@ def key_bucket(col: str, ascending: bool = True, mantissa_bits: int = 12) -> Col
     return F.coalesce(b, F.lit(-(1 << 62) if ascending else (1 << 62)))
 
 
+def sub_bucket(col: str, ascending: bool = True, mantissa_bits: int = 12,
+               sub_bits: int = 12) -> Column:
+    """Position of an integral key inside its ``key_bucket``: the next
+    ``sub_bits`` bits below the bucket's top ``mantissa_bits`` (0 where the
+    bucket holds a single key value).  Monotone in the key among keys of one
+    bucket, in the same direction as ``key_bucket``; NULL keys get 0."""
+    m, s2 = mantissa_bits, sub_bits
+    k = F.col(col).cast("bigint")
+
+    def pos(x: Column) -> Column:
+        shift = F.greatest(F.length(F.bin(x)) - F.lit(m), F.lit(0)).cast("int")
+        low = F.call_function("shiftleft", F.lit(1).cast("bigint"), shift) - F.lit(1)
+        return F.call_function("shiftright", x.bitwiseAND(low),
+                               F.greatest(shift - F.lit(s2), F.lit(0)).cast("int"))
+
+    p = F.when(k >= 0, pos(k)).otherwise(-pos(-(k + F.lit(1))))
+    if not ascending:
+        p = -p
+    return F.coalesce(p, F.lit(0))
+
+
+# Sub-bucket marker of a bucket that lies wholly inside the first n rows
+# (outside the range of sub_bucket for any sub_bits <= 30).
+_WHOLE = -(1 << 40)
+
+
+def _group_eq(groups: Sequence[str], prefix: str) -> Column:
+    cond = F.lit(True)
+    for i, g in enumerate(groups):
+        cond = cond & F.col(g).eqNullSafe(F.col(f"{prefix}{i}"))
+    return cond
+
+
+def _renamed(df: DataFrame, groups: Sequence[str], prefix: str, *cols: Column) -> DataFrame:
+    return df.select(*[F.col(g).alias(f"{prefix}{i}") for i, g in enumerate(groups)], *cols)
+
+
 def _cutoff_filter(df: DataFrame, n: int, key: str, ascending: bool, mantissa_bits: int,
-                   groups: Sequence[str] = ()) -> DataFrame:
-    """Rows in buckets at or before the bucket of the n-th row (stage 1),
-    per group when ``groups`` are given.
-
-    The histogram is a partial aggregate of the key (and group) columns; the
-    buckets that hold at least one top-n row (running count before them < n)
-    form a table of at most (code space) rows per group.  Without groups that
-    bound is fixed (< 64 * 2^mantissa_bits ints), so broadcasting it for the
-    left-semi join is size-proven; with groups it scales with the number of
-    groups and AQE decides from the measured size.  One plan, no subquery:
-    upstream exchanges are shared by both branches.
+                   groups: Sequence[str] = (), sub_bits: int | None = 12) -> DataFrame:
+    """Rows that can be among the first ``n`` (per group when ``groups`` are
+    given), found with two histogram rounds over the key.
+
+    Round 1: a partial-aggregate histogram of ``key_bucket`` codes (one key
+    column read, one row per populated bucket shuffled) and a running sum
+    over it give the buckets that hold a top-n row.  All but the last lie
+    wholly inside the first n; the last (at most one per group, the "cut"
+    bucket) also holds rows after the n-th.
+    Round 2 (skipped when ``sub_bits`` is None): a histogram of the
+    ``sub_bucket`` code over the cut bucket's rows only, and a running sum
+    continued from the count before it, give the sub-buckets still needed.
+    Both codes are monotone in the key, so the survivors hold every top-n
+    row: the cut is exact.  About n rows plus one sub-bucket survive (with
+    hash keys rows / 2^(mantissa_bits + sub_bits), instead of rows /
+    2^mantissa_bits after round 1 alone), however many rows share a group.
+
+    Without groups every table joined back is bounded by the code space
+    (< 64 * 2^mantissa_bits whole buckets, one cut bucket, < 2^(sub_bits+1)
+    sub-buckets), so broadcasting it is size-proven; with groups they grow
+    with the number of groups and AQE decides from their measured size.  The
+    rows are read once more in full width for the final semi-join.
     """
-    b = key_bucket(key, ascending, mantissa_bits)
-    gcols = [F.col(g) for g in groups]
-    hist = df.select(*gcols, b.alias("__b")).groupBy(*groups, "__b").agg(
-        F.count(F.lit(1)).alias("__c"))
+    gnames = list(groups)
+    gcols = [F.col(g) for g in gnames]
+    bcast = (lambda t: t) if gnames else F.broadcast
+    rows = df.withColumn("__b", key_bucket(key, ascending, mantissa_bits))
+    hist = rows.groupBy(*gnames, "__b").agg(F.count(F.lit(1)).alias("__c"))
     w = Window.partitionBy(*gcols).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    allowed = (hist.withColumn("__before", F.coalesce(F.sum("__c").over(w), F.lit(0)))
-               .where(F.col("__before") < F.lit(n)).select(*groups, "__b"))
-    rows = df.withColumn("__b", b)
-    if not groups:
-        return rows.join(F.broadcast(allowed), on="__b", how="left_semi").drop("__b")
-    allowed = allowed.select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(groups)],
-                             F.col("__b").alias("__ab"))
-    cond = F.col("__b") == F.col("__ab")
-    for i, g in enumerate(groups):
-        cond = cond & F.col(g).eqNullSafe(F.col(f"__g{i}"))
-    return rows.join(allowed, cond, "left_semi").drop("__b")
+    reach = (hist.withColumn("__before", F.coalesce(F.sum("__c").over(w), F.lit(0)))
+             .where(F.col("__before") < F.lit(n)))
+    if sub_bits is None:
+        allowed = _renamed(reach, gnames, "__g", F.col("__b").alias("__ab"))
+        return rows.join(bcast(allowed), (F.col("__b") == F.col("__ab")) & _group_eq(gnames, "__g"),
+                         "left_semi").drop("__b")
+    ends_inside = F.col("__before") + F.col("__c") <= F.lit(n)
+    whole = reach.where(ends_inside).select(*gnames, "__b", F.lit(_WHOLE).alias("__s"))
+    cut = _renamed(reach.where(~ends_inside), gnames, "__k",
+                   F.col("__b").alias("__cb"), F.col("__before").alias("__cbefore"))
+    tagged = rows.join(bcast(cut), (F.col("__b") == F.col("__cb")) & _group_eq(gnames, "__k"), "left")
+    tagged = tagged.withColumn("__s", F.when(F.col("__cb").isNotNull(),
+                                             sub_bucket(key, ascending, mantissa_bits, sub_bits))
+                               .otherwise(F.lit(_WHOLE)))
+    hist2 = (tagged.where(F.col("__cb").isNotNull())
+             .groupBy(*gnames, "__b", "__cbefore", "__s").agg(F.count(F.lit(1)).alias("__c")))
+    w2 = Window.partitionBy(*gcols).orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
+    subs = (hist2.withColumn("__before", F.col("__cbefore")
+                             + F.coalesce(F.sum("__c").over(w2), F.lit(0)))
+            .where(F.col("__before") < F.lit(n)).select(*gnames, "__b", "__s"))
+    allowed = _renamed(whole.unionByName(subs), gnames, "__g",
+                       F.col("__b").alias("__ab"), F.col("__s").alias("__as"))
+    cond = ((F.col("__b") == F.col("__ab")) & (F.col("__s") == F.col("__as"))
+            & _group_eq(gnames, "__g"))
+    work = ["__b", "__s", "__cb", "__cbefore", *[f"__k{i}" for i in range(len(gnames))]]
+    return tagged.join(bcast(allowed), cond, "left_semi").drop(*work)
 
 
 PREFILTER_MIN_BYTES = 256 << 20
@@ -124,7 +191,8 @@ def estimated_bytes(df: DataFrame) -> int | None:
 
 def first_n(df: DataFrame, n: int, order_by: Sequence[str], ascending: bool = True,
             partition_by: Sequence[str] = (), salt_buckets: int | None = None,
-            mantissa_bits: int | None = 12, prefilter: bool | None = None) -> DataFrame:
+            mantissa_bits: int | None = 12, prefilter: bool | None = None,
+            sub_bits: int | None = 12) -> DataFrame:
     """The first ``n`` rows by ``order_by`` (per ``partition_by`` group if given).
 
     Exact and skew-safe; see module docstring.  ``order_by`` are column names
@@ -133,7 +201,9 @@ def first_n(df: DataFrame, n: int, order_by: Sequence[str], ascending: bool = Tr
     ``prefilter``: True/False forces the cutoff pre-filter on or off; None
     (default) uses it when the optimizer estimates the input above
     ``PREFILTER_MIN_BYTES`` (small inputs are cheaper in one pass; the
-    pre-filter's two extra small jobs pay off once the input is large).
+    pre-filter's extra small jobs pay off once the input is large).
+    ``mantissa_bits`` / ``sub_bits`` set the resolution of its two rounds
+    (``sub_bits=None`` runs round 1 only).
     """
     order = _order(order_by, ascending)
     groups = [F.col(g) for g in partition_by]
@@ -142,7 +212,7 @@ def first_n(df: DataFrame, n: int, order_by: Sequence[str], ascending: bool = Tr
         prefilter = size is None or size >= PREFILTER_MIN_BYTES
     if (prefilter and mantissa_bits
             and isinstance(df.schema[order_by[0]].dataType, _INTEGRAL)):
-        df = _cutoff_filter(df, n, order_by[0], ascending, mantissa_bits, partition_by)
+        df = _cutoff_filter(df, n, order_by[0], ascending, mantissa_bits, partition_by, sub_bits)
     buckets = _salt_buckets(df, salt_buckets)
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in order_by]), F.lit(buckets))
     w1 = Window.partitionBy(*groups, salt).orderBy(*order)

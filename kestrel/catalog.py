@@ -518,9 +518,7 @@ def csv_roundtrip_q(spark, sf_dir):
     o = read_table(spark, sf_dir, "orders")
     path = scratch_path(spark, "orders-csv")
     fmt = "yyyy-MM-dd HH:mm:ss.SSSSSS"
-    (o.write.mode("overwrite").option("compression", "gzip")
-     .option("timestampNTZFormat", fmt).csv(path))
-    _ = write_csv  # same writer, shown with explicit options above
+    write_csv(o, path, compression="gzip", timestampNTZFormat=fmt)
     return read_csv(spark, path, o.schema, timestampNTZFormat=fmt)
 
 
@@ -567,17 +565,32 @@ _LEDGER_SQL = """(SELECT event_type AS file_name, 'user_' || CAST(user_id AS VAR
    'event ' || CAST(event_id AS VARCHAR) AS description, value AS time_taken FROM events)"""
 
 
-def _ledger(spark, sf_dir):
+def _ledger_lines(spark, sf_dir):
     """events rendered as ledger text lines (' file, function, desc, secs ',
-    with the blanks of the real ledger file) and parsed back."""
-    from kestrel.schemas import LEDGER_FIELDS
+    with the blanks of the real ledger file)."""
     ev = _events(spark, sf_dir)
-    lines = ev.select(F.concat_ws(
+    return ev.select(F.concat_ws(
         ", ", F.concat(F.lit(" "), F.col("event_type")),
         F.concat(F.lit("user_"), F.col("user_id").cast("string")),
         F.concat(F.lit("event "), F.col("event_id").cast("string")),
         F.concat(F.col("value").cast("string"), F.lit(" "))).alias("value"))
-    return parse_delimited(lines, "value", LEDGER_FIELDS, trim_strings=True)
+
+
+def _ledger(spark, sf_dir):
+    """The ledger lines parsed back in place (one split per line)."""
+    from kestrel.schemas import LEDGER_FIELDS
+    return parse_delimited(_ledger_lines(spark, sf_dir), "value", LEDGER_FIELDS,
+                           trim_strings=True)
+
+
+@register("ledger_csv_scan", f"SELECT * FROM {_LEDGER_SQL} l")
+def ledger_csv_scan(spark, sf_dir):
+    """The ledger lines written as a text file in the shared scratch area and
+    read back with the ledger CSV reader (declared schema, blanks trimmed)."""
+    from kestrel.sources.files import read_ledger_csv
+    path = scratch_path(spark, "ledger-csv")
+    _ledger_lines(spark, sf_dir).write.mode("overwrite").text(path)
+    return read_ledger_csv(spark, path)
 
 
 @register("ledger_top_stage", f"""

@@ -44,8 +44,8 @@ def read_ledger_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = False,
-              compression: str | None = None) -> None:
-    w = df.write.mode(mode).option("header", header)
+              compression: str | None = None, **options) -> None:
+    w = df.write.mode(mode).option("header", header).options(**options)
     if compression:
         w = w.option("compression", compression)
     w.csv(path)

@@ -113,6 +113,25 @@ def category_counts(spark, sf_dir):
     return mapped.groupBy("category").agg(F.count("category").alias("counts"))
 
 
+@register("category_counts_sql", f"""
+SELECT category, count(category) AS counts
+FROM (SELECT {sql_category('event_type')} AS category FROM (SELECT DISTINCT * FROM events) d) m
+WHERE category IS NOT NULL AND category != 'other'
+GROUP BY category
+""")
+def category_counts_sql(spark, sf_dir):
+    """The flagship's final count as the SQL statement the surveyed runbook
+    gives, run with ``spark.sql`` over a DataFrame reference (no global view
+    name) and a bound parameter (no value formatted into the SQL text).
+    Catalyst plans it exactly like the DataFrame form."""
+    ev = drop_duplicates(_events(spark, sf_dir))
+    mapped = map_categories(ev, "event_type", EVENT_CATEGORIES)
+    return spark.sql(
+        "SELECT category, count(category) AS counts FROM {m} "
+        "WHERE category IS NOT NULL AND category != :skip GROUP BY category",
+        args={"skip": "other"}, m=mapped)
+
+
 # ------------------------------------------------------------- value counts
 
 _NULLED_FLAG = "(SELECT nullif(l_returnflag, 'N') AS l_returnflag FROM lineitem) t"

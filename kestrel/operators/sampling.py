@@ -203,7 +203,11 @@ def first_n(df: DataFrame, n: int, order_by: Sequence[str], ascending: bool = Tr
     ``PREFILTER_MIN_BYTES`` (small inputs are cheaper in one pass; the
     pre-filter's extra small jobs pay off once the input is large).
     ``mantissa_bits`` / ``sub_bits`` set the resolution of its two rounds
-    (``sub_bits=None`` runs round 1 only).
+    (``sub_bits=None`` runs round 1 only).  Per group it pays off when groups
+    are few and large (capping a label column); with many groups of at most
+    ``n`` rows every row survives, and the semi-join against a per-group
+    table too large to broadcast is one more full shuffle: pass
+    ``prefilter=False`` there.
     """
     order = _order(order_by, ascending)
     groups = [F.col(g) for g in partition_by]

@@ -78,11 +78,12 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append",
                num_partitions: int | None = None) -> None:
     """Append / overwrite.  ``truncate=True`` keeps the table definition (keys,
     grants) on overwrite instead of drop-and-create.  ``num_partitions`` caps
-    the number of concurrent connections."""
+    the number of concurrent connections (the writer's own ``numPartitions``
+    option)."""
     out = align_columns(df, align_to) if align_to else df
-    if num_partitions:
-        out = out.coalesce(num_partitions)
     w = out.write.mode(mode)
     if truncate:
         w = w.option("truncate", "true")
+    if num_partitions:
+        w = w.option("numPartitions", str(num_partitions))
     w.jdbc(url, table, properties=properties or {})

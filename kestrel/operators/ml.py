@@ -176,10 +176,12 @@ def holdout_metrics(df: DataFrame, label_col: str = "category", negative: str =
     class other than ``negative`` collapsed to positive.  Compares label
     *strings*, so it does not depend on which index the negative class got.
 
-    The split is ``randomSplit`` as in the surveyed code (its rows depend on
-    the input's partitioning); with ``split_keys`` it is a seeded hash of
-    those columns instead, so the same rows land in each side on any cluster
-    layout (no shuffle either way)."""
+    The split is ``randomSplit`` as in the surveyed code: its rows depend on
+    the input's partitioning, and Spark puts a local sort on every column
+    under each side's sample to make it repeatable, i.e. two sorts of the
+    whole input.  With ``split_keys`` it is a seeded hash of those columns
+    instead: the same rows land in each side on any cluster layout, with no
+    sort and no shuffle (the form to use on large inputs)."""
     if split_keys:
         from kestrel.operators.sampling import hash_split
         tagged = hash_split(df, [train_fraction, 1 - train_fraction], split_keys, seed=seed,

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def keep_equal(df: DataFrame, column: str, value) -> DataFrame:
@@ -37,6 +38,15 @@ def drop_nulls(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNotNull())
 
 
+def _threshold(df: DataFrame, min_count: int | None, min_share: float | None) -> Column:
+    if (min_count is None) == (min_share is None):
+        raise ValueError("give exactly one of min_count / min_share")
+    if min_count is not None:
+        return F.lit(min_count)
+    # a plain row count: partial counts per task, no column read, no regroup
+    return F.lit(float(min_share)) * df.select(F.count(F.lit(1))).scalar()
+
+
 def rare_values(df: DataFrame, column: str, min_count: int | None = None,
                 min_share: float | None = None) -> DataFrame:
     """Values of ``column`` seen fewer than the threshold times.
@@ -46,31 +56,56 @@ def rare_values(df: DataFrame, column: str, min_count: int | None = None,
     per map task in the shuffle.  The total for ``min_share`` is a scalar
     subquery (a global row count).
     """
-    if (min_count is None) == (min_share is None):
-        raise ValueError("give exactly one of min_count / min_share")
+    threshold = _threshold(df, min_count, min_share)
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    if min_count is not None:
-        threshold = F.lit(min_count)
-    else:
-        # a plain row count: partial counts per task, no column read, no regroup
-        total = df.select(F.count(F.lit(1))).scalar()
-        threshold = F.lit(float(min_share)) * total
     return counts.where(F.col("_n") < threshold).select(column)
 
 
+def _hashable(df: DataFrame) -> list[Column]:
+    return [F.col(f.name) for f in df.schema.fields
+            if not isinstance(f.dataType, (T.MapType, T.VariantType)
+                              if hasattr(T, "VariantType") else T.MapType)]
+
+
 def drop_rare_values(df: DataFrame, column: str, min_count: int | None = None,
-                     min_share: float | None = None, keep_nulls: bool = False) -> DataFrame:
+                     min_share: float | None = None, keep_nulls: bool = False,
+                     salt_buckets: int | None = None, max_heavy: int = 1000) -> DataFrame:
     """Remove rows whose value is rarer than the threshold.
 
-    Left-anti join against the rare-value set.  That set has one row per
-    distinct rare value; AQE broadcasts it when its *measured* size is under
-    the broadcast threshold, else it stays a sort-merge anti join, whose
-    skewed (frequent) keys AQE splits.  NULL labels are dropped unless
-    ``keep_nulls`` (as ``NOT IN`` would).
+    Left-anti join against the rare-value set (one row per distinct rare
+    value).  When that set is small AQE broadcasts it from its measured size
+    and the rows are not shuffled at all.  Otherwise it is a sort-merge join
+    on the value, and a hot value would put all its rows into one task; AQE
+    cannot split that partition, because the rare side comes straight off an
+    aggregate on the same key and has no shuffle of its own.  So the join
+    key is (value, salt): values holding at least ``1 / max_heavy`` of all
+    rows (at most ``max_heavy`` of them, so broadcasting them is size-proven)
+    are tagged map-side and their rows spread over ``salt_buckets`` salts by
+    a row hash; all other rows, and the rare set, take salt 0.  A heavy value
+    is never rare (its count is at least the threshold), so the rare side
+    needs no replication.  NULL labels are dropped first unless
+    ``keep_nulls`` (as ``NOT IN`` would); kept NULL rows never match and are
+    spread like a heavy value.
     """
-    rare = rare_values(df, column, min_count, min_share)
-    out = df.join(rare, on=column, how="left_anti")
-    return out if keep_nulls else out.where(F.col(column).isNotNull())
+    c = F.col(column)
+    threshold = _threshold(df, min_count, min_share)
+    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    # salt 0, written as an expression of the data: a literal would be folded
+    # into the join condition and drop the salt from the join keys
+    rare = counts.where(F.col("_n") < threshold).select(
+        column, (F.col("_n") * F.lit(0)).cast("int").alias("_salt"))
+    total = df.select(F.count(F.lit(1))).scalar()
+    heavy = counts.where(c.isNotNull() & (F.col("_n") >= threshold)
+                         & (F.col("_n") >= total / F.lit(max_heavy))).select(
+        column, F.lit(True).alias("_heavy"))
+    rows = df if keep_nulls else df.where(c.isNotNull())
+    buckets = salt_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    tagged = rows.join(F.broadcast(heavy), on=column, how="left")
+    spread = F.col("_heavy").isNotNull() | c.isNull()
+    salted = tagged.withColumn("_salt", F.when(
+        spread, F.pmod(F.xxhash64(*_hashable(rows)), F.lit(buckets)).cast("int"))
+        .otherwise(F.lit(0)))
+    return salted.join(rare, on=[column, "_salt"], how="left_anti").select(*df.columns)
 
 
 def drop_nan_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -520,6 +520,25 @@ def rate_1h_stream(spark, sf_dir):
     return _rate_stream(spark, sf_dir, "1 hour")
 
 
+@register("rate_10s_stream_append", f"""
+WITH r AS ({_rate_sql(10)})
+SELECT window_start, rate FROM r WHERE window_start < (SELECT max(window_start) FROM r)
+""")
+def rate_10s_stream_append(spark, sf_dir):
+    """The rate as it should run on an endless stream: a watermark (no
+    allowed lateness here) lets Append mode emit each window once it closes
+    and drop its state, so state stays bounded by the open windows.  At the
+    end of the input the window holding the latest event is still open and
+    is not emitted; every other window is, exactly once (the sink is
+    idempotent by batch id)."""
+    from kestrel.session import table_path
+    src = parquet_table_stream(spark, table_path(sf_dir, "events"))
+    agg = window_rate(src, "ts", "10 seconds", watermark="0 seconds")
+    out = scratch_path(spark, "rate-append-out")
+    run_append_by_batch(agg, out, scratch_path(spark, "rate-append-ckpt"))
+    return spark.read.parquet(out).drop("batch_id")
+
+
 @register("latest_bucket", f"""
 WITH r AS ({_rate_sql(3600)})
 SELECT window_start, rate FROM r WHERE window_start = (SELECT max(window_start) FROM r)

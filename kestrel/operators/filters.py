@@ -61,10 +61,12 @@ def rare_values(df: DataFrame, column: str, min_count: int | None = None,
     return counts.where(F.col("_n") < threshold).select(column)
 
 
+_UNHASHABLE = (T.MapType, T.VariantType) if hasattr(T, "VariantType") else (T.MapType,)
+
+
 def _hashable(df: DataFrame) -> list[Column]:
-    return [F.col(f.name) for f in df.schema.fields
-            if not isinstance(f.dataType, (T.MapType, T.VariantType)
-                              if hasattr(T, "VariantType") else T.MapType)]
+    """Columns ``xxhash64`` accepts (maps and variants are not)."""
+    return [F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, _UNHASHABLE)]
 
 
 def drop_rare_values(df: DataFrame, column: str, min_count: int | None = None,

@@ -750,6 +750,14 @@ def model_save_load_score_q(spark, sf_dir):
     return predict(load_model(path), ev.drop("category"), out_col="category")
 
 
+def _features_with_gaps(spark, sf_dir):
+    """lineitem features with NULL (zero discount) and NaN (zero tax) gaps."""
+    return read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity",
+        F.nullif(F.col("l_discount"), F.lit(0.0)).alias("l_discount"),
+        F.when(F.col("l_tax") == 0.0, F.lit(float("nan"))).otherwise(F.col("l_tax")).alias("l_tax"))
+
+
 @register("drop_invalid_features", """
 SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax FROM (
   SELECT l_orderkey, l_linenumber, l_quantity, nullif(l_discount, 0.0) AS l_discount,
@@ -762,11 +770,27 @@ WHERE l_quantity IS NOT NULL AND NOT isnan(l_quantity)
 def drop_invalid_features_q(spark, sf_dir):
     """Rows with a NULL or NaN feature removed (the assembler's skip rule)."""
     from kestrel.operators.filters import drop_nan_rows
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_quantity",
-        F.nullif(F.col("l_discount"), F.lit(0.0)).alias("l_discount"),
-        F.when(F.col("l_tax") == 0.0, F.lit(float("nan"))).otherwise(F.col("l_tax")).alias("l_tax"))
-    return drop_nan_rows(li, ["l_quantity", "l_discount", "l_tax"])
+    return drop_nan_rows(_features_with_gaps(spark, sf_dir), ["l_quantity", "l_discount", "l_tax"])
+
+
+@register("invalid_feature_counts", """
+WITH t AS (
+  SELECT l_quantity, nullif(l_discount, 0.0) AS l_discount,
+         CASE WHEN l_tax = 0.0 THEN CAST('NaN' AS DOUBLE) ELSE l_tax END AS l_tax
+  FROM lineitem)
+SELECT count(*) AS n_rows,
+       count_if(l_quantity IS NULL OR isnan(l_quantity) OR l_discount IS NULL OR isnan(l_discount)
+                OR l_tax IS NULL OR isnan(l_tax)) AS n_invalid,
+       count_if(l_quantity IS NULL OR isnan(l_quantity)) AS invalid_l_quantity,
+       count_if(l_discount IS NULL OR isnan(l_discount)) AS invalid_l_discount,
+       count_if(l_tax IS NULL OR isnan(l_tax)) AS invalid_l_tax
+FROM t
+""")
+def invalid_feature_counts_q(spark, sf_dir):
+    """What the skip rule drops, reported per column and in total."""
+    from kestrel.operators.filters import invalid_feature_counts
+    return invalid_feature_counts(_features_with_gaps(spark, sf_dir),
+                                  ["l_quantity", "l_discount", "l_tax"])
 
 
 # ------------------------------------------------- faithful stream rate forms

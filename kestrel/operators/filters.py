@@ -120,6 +120,20 @@ def drop_nan_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.where(cond)
 
 
+def invalid_feature_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row: ``n_rows``, ``n_invalid`` (rows ``drop_nan_rows`` removes)
+    and ``invalid_<c>`` per column (rows NULL or NaN in it), all in one
+    aggregate pass, so a caller can report what the skip rule dropped."""
+    def bad(c: str) -> Column:
+        col = F.col(c)
+        return col.isNull() | F.isnan(col.cast("double"))
+    any_bad = F.lit(False)
+    for c in columns:
+        any_bad = any_bad | bad(c)
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(any_bad).alias("n_invalid"),
+                  *[F.count_if(bad(c)).alias(f"invalid_{c}") for c in columns])
+
+
 def collapse_to_binary(column: str, negative) -> Column:
     """``when(c != negative, 1.0).otherwise(c)``: every non-negative class -> 1.0."""
     c = F.col(column)

@@ -153,3 +153,13 @@ def test_single_csv_report_is_one_sorted_file(spark, tmp_path):
     labels = [r["label"] for r in back]
     assert labels == sorted(labels) and len(labels) == 50
     assert sum(int(r["n"]) for r in back) == 5000
+
+
+def test_invalid_feature_counts_match_the_skip_rule(spark):
+    from kestrel.operators.filters import drop_nan_rows, invalid_feature_counts
+    nan = float("nan")
+    df = spark.createDataFrame([(1.0, 2.0), (None, 2.0), (nan, 1.0), (1.0, None), (None, nan),
+                                (3.0, 4.0)], "a double, b double")
+    r = invalid_feature_counts(df, ["a", "b"]).first()
+    assert (r["n_rows"], r["n_invalid"], r["invalid_a"], r["invalid_b"]) == (6, 4, 3, 2)
+    assert drop_nan_rows(df, ["a", "b"]).count() == r["n_rows"] - r["n_invalid"]

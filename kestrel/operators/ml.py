@@ -90,7 +90,13 @@ def build_pipeline(df: DataFrame, label_col: str = "category",
                    exclude: Sequence[str] = ("attack",),
                    use_categoricals: bool = False, classifier=None,
                    handle_invalid: str = "keep", seed: int = 7) -> Pipeline:
-    """Label indexer, categorical indexers, assembler (skip invalid), classifier."""
+    """Label indexer, categorical indexers, assembler (skip invalid), classifier.
+
+    With ``use_categoricals`` the indexed columns carry nominal metadata, so
+    the forest needs ``maxBins`` at least the largest category count (plus
+    the index ``handleInvalid='keep'`` reserves for unseen values).  Those
+    counts come from one aggregate over the categorical columns (one row to
+    the driver) and raise the default of 32 where needed."""
     present_cats = [c for c in categorical if c in df.columns]
     stages = [StringIndexer(inputCol=label_col, outputCol=f"{label_col}_new",
                             handleInvalid="skip")]
@@ -100,8 +106,12 @@ def build_pipeline(df: DataFrame, label_col: str = "category",
     if use_categoricals:
         features += [f"{c}_new" for c in present_cats]
     stages.append(VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep"))
-    clf = classifier or RandomForestClassifier(featuresCol="features",
-                                               labelCol=f"{label_col}_new", seed=seed)
+    clf = classifier
+    if clf is None:
+        clf = RandomForestClassifier(featuresCol="features", labelCol=f"{label_col}_new", seed=seed)
+        if use_categoricals and present_cats:
+            sizes = df.agg(*[F.count_distinct(c) for c in present_cats]).first()
+            clf.setMaxBins(max(clf.getMaxBins(), max(sizes) + 1))
     stages.append(clf)
     return Pipeline(stages=stages)
 

@@ -105,3 +105,16 @@ def test_holdout_hash_split_scores_exactly_the_valid_side(spark):
     again = holdout_metrics(df.repartition(5), negative="normal", split_keys=["id"],
                             exclude=["id"]).first()
     assert again["tp"] + again["fp"] + again["tn"] + again["fn"] == valid
+
+
+def test_categoricals_wider_than_default_bins(spark):
+    """45 service values (+1 kept for unseen ones) exceed the default 32 bins;
+    the pipeline sizes maxBins and scores an unseen value."""
+    from kestrel.operators.ml import predict, train_model
+    rows = [(float(i % 7), f"svc{i % 45}", "tcp", "SF", "a" if i % 3 else "b") for i in range(2000)]
+    schema = "duration double, service string, protocol_type string, flag string, category string"
+    model = train_model(spark.createDataFrame(rows, schema), label_col="category",
+                        use_categoricals=True)
+    assert model.stages[-1].getMaxBins() >= 46
+    new = spark.createDataFrame([(1.0, "never_seen", "tcp", "SF", None)], schema).drop("category")
+    assert {r["category"] for r in predict(model, new).collect()} <= {"a", "b"}

@@ -179,6 +179,10 @@ def _cutoff_filter(df: DataFrame, n: int, key: str, ascending: bool, mantissa_bi
 
 PREFILTER_MIN_BYTES = 256 << 20
 
+# Largest parameter-bounded key set broadcast without a runtime size check
+# (a few tens of MB of keys).
+BROADCAST_MAX_ROWS = 1_000_000
+
 
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of ``df`` (file sizes through the plan), or
@@ -289,10 +293,14 @@ def rebalance(df: DataFrame, column: str, majority, relabel_n: int, tail_n: int,
     elif tail_scope == "majority_rest":
         # last tail_n of (majority minus head) == last tail_n of majority minus
         # head: if they overlap, the tail candidates already hold all the rest.
-        # Both sides are bounded by the parameters (tail_n, relabel_n rows), so
-        # the broadcast size is proven by construction.
+        # Both sides hold at most tail_n / relabel_n rows.  The head keys are
+        # broadcast only up to BROADCAST_MAX_ROWS (a size proven by the
+        # parameter); above that AQE decides from the measured size.
+        head_keys = head.select(*key_cols)
+        if relabel_n <= BROADCAST_MAX_ROWS:
+            head_keys = F.broadcast(head_keys)
         tail = last_n(majority_rows, tail_n, order_by, salt_buckets).join(
-            F.broadcast(head.select(*key_cols)), on=list(key_cols), how="left_anti")
+            head_keys, on=list(key_cols), how="left_anti")
     else:
         raise ValueError(f"unknown tail_scope {tail_scope!r}")
     return others.unionByName(relabelled).unionByName(tail)

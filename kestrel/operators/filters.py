@@ -89,6 +89,8 @@ def drop_rare_values(df: DataFrame, column: str, min_count: int | None = None,
     ``keep_nulls`` (as ``NOT IN`` would); kept NULL rows never match and are
     spread like a heavy value.
     """
+    if not 1 <= max_heavy <= 1_000_000:
+        raise ValueError("max_heavy bounds a broadcast: give 1 to 1,000,000")
     c = F.col(column)
     threshold = _threshold(df, min_count, min_share)
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))

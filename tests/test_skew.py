@@ -90,3 +90,9 @@ def test_drop_rare_values_share_and_nulls(spark, skewed, no_broadcast_skew_split
     exp = pdf[pdf["label"].isna() | ~pdf["label"].isin(rare)]
     assert len(got) == len(exp) and got["label"].isna().sum() == pdf["label"].isna().sum()
     assert list(got.columns) == ["k", "label"]
+
+
+def test_heavy_set_bound_is_checked(spark, skewed):
+    df, _ = skewed
+    with pytest.raises(ValueError):
+        drop_rare_values(df, "label", min_count=5, max_heavy=10**9)

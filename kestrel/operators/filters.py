@@ -57,8 +57,8 @@ def rare_values(df: DataFrame, column: str, min_count: int | None = None,
     subquery (a global row count).
     """
     threshold = _threshold(df, min_count, min_share)
-    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.where(F.col("_n") < threshold).select(column)
+    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("__n"))
+    return counts.where(F.col("__n") < threshold).select(column)
 
 
 _UNHASHABLE = (T.MapType, T.VariantType) if hasattr(T, "VariantType") else (T.MapType,)
@@ -93,23 +93,23 @@ def drop_rare_values(df: DataFrame, column: str, min_count: int | None = None,
         raise ValueError("max_heavy bounds a broadcast: give 1 to 1,000,000")
     c = F.col(column)
     threshold = _threshold(df, min_count, min_share)
-    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("__n"))
     # salt 0, written as an expression of the data: a literal would be folded
     # into the join condition and drop the salt from the join keys
-    rare = counts.where(F.col("_n") < threshold).select(
-        column, (F.col("_n") * F.lit(0)).cast("int").alias("_salt"))
+    rare = counts.where(F.col("__n") < threshold).select(
+        column, (F.col("__n") * F.lit(0)).cast("int").alias("__salt"))
     total = df.select(F.count(F.lit(1))).scalar()
-    heavy = counts.where(c.isNotNull() & (F.col("_n") >= threshold)
-                         & (F.col("_n") >= total / F.lit(max_heavy))).select(
-        column, F.lit(True).alias("_heavy"))
+    heavy = counts.where(c.isNotNull() & (F.col("__n") >= threshold)
+                         & (F.col("__n") >= total / F.lit(max_heavy))).select(
+        column, F.lit(True).alias("__heavy"))
     rows = df if keep_nulls else df.where(c.isNotNull())
     buckets = salt_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     tagged = rows.join(F.broadcast(heavy), on=column, how="left")
-    spread = F.col("_heavy").isNotNull() | c.isNull()
-    salted = tagged.withColumn("_salt", F.when(
+    spread = F.col("__heavy").isNotNull() | c.isNull()
+    salted = tagged.withColumn("__salt", F.when(
         spread, F.pmod(F.xxhash64(*_hashable(rows)), F.lit(buckets)).cast("int"))
         .otherwise(F.lit(0)))
-    return salted.join(rare, on=[column, "_salt"], how="left_anti").select(*df.columns)
+    return salted.join(rare, on=[column, "__salt"], how="left_anti").select(*df.columns)
 
 
 def drop_nan_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:

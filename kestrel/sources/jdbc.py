@@ -40,7 +40,7 @@ def jdbc_bounds(spark: SparkSession, url: str, table: str, column: str,
     row = (spark.read.format("jdbc").option("url", url)
            .option("query", f"SELECT min({column}) AS lo, max({column}) AS hi FROM {table}")
            .options(**(properties or {})).load().first())
-    return row["lo"], row["hi"]
+    return row[0], row[1]   # by position: some databases upper-case the aliases
 
 
 def read_jdbc_partitioned(spark: SparkSession, url: str, table: str, column: str,

@@ -9,11 +9,11 @@ from kestrel.plans.ledger import Ledger, compare_pairs, top_stages, total_time
 from kestrel.sources.files import read_ledger_csv
 
 LINES = [
-    "read_write_data, read_data_csv, Load dataframe from the input file, 2.5 ",
-    "process_data, drop_selected_data, Drop data, 1.5 ",
-    "run_training, training_model_full_data, Train, 900.0 ",
-    "process_data, dedup_a, Dedup A, 80.0",
-    "process_data, dedup_b, Dedup B, 40.0",
+    "loader, load_csv, Load the log file, 2.5 ",
+    "cleaner, cap_label, Cap one label, 1.5 ",
+    "trainer, fit_full, Train, 900.0 ",
+    "cleaner, dedup_a, Dedup A, 80.0",
+    "cleaner, dedup_b, Dedup B, 40.0",
 ]
 
 
@@ -27,16 +27,16 @@ def _ledger(spark):
 
 def test_scan_trims(spark):
     rows = _ledger(spark).collect()
-    assert rows[0]["function_name"] == "read_data_csv" and rows[0]["time_taken"] == 2.5
+    assert rows[0]["function_name"] == "load_csv" and rows[0]["time_taken"] == 2.5
 
 
 def test_top_total_pairs(spark):
     led = _ledger(spark)
     top = top_stages(led, n=1).first()
-    assert top["function_name"] == "training_model_full_data"
-    top_ex = top_stages(led, n=1, exclude_file="run_training").first()
+    assert top["function_name"] == "fit_full"
+    top_ex = top_stages(led, n=1, exclude_file="trainer").first()
     assert top_ex["function_name"] == "dedup_a"
-    tot = total_time(led, exclude_file="run_training").first()
+    tot = total_time(led, exclude_file="trainer").first()
     assert tot["total_time"] == pytest.approx(124.0) and tot["n_stages"] == 4
     pr = compare_pairs(led, [("dedup_a", "dedup_b")]).first()
     assert pr["ratio"] == 2.0 and pr["time_a"] == 80.0

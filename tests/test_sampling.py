@@ -159,3 +159,20 @@ def test_cutoff_second_round_narrows_survivors(spark):
         if not asc:
             assert len(one) > 1000           # ~ rows / 2^6
             assert len(two) < 400            # ~ 100 + rows / 2^12
+
+
+def test_sub_bucket_refines_key_bucket(spark):
+    """Along the key order, (key_bucket, sub_bucket) never decreases (never
+    increases for a descending code), for small and large, negative keys."""
+    from kestrel.operators.sampling import key_bucket, sub_bucket
+    vals = sorted(set(range(-300, 301)) | {2**40 + i * 2**33 for i in range(12)}
+                  | {2**40 + i * 2**20 for i in range(12)} | {-(2**40) - i * 2**20 for i in range(12)}
+                  | {2**63 - 1 - i for i in range(4)} | {-(2**63) + i for i in range(4)})
+    df = spark.createDataFrame([(v,) for v in vals], "k long")
+    for m, s in ((3, 2), (12, 12)):
+        for asc in (True, False):
+            pairs = [(r[0], r[1]) for r in df.select(
+                key_bucket("k", asc, m).alias("b"), sub_bucket("k", asc, m, s).alias("s")).collect()]
+            expect = sorted(pairs) if asc else sorted(pairs, reverse=True)
+            assert pairs == expect, (m, s, asc)
+            assert len(set(pairs)) > len({b for b, _ in pairs})   # it does refine

@@ -6,8 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kestrel.llm import chat, mixing, secrets
+from kestrel.llm import chat, decontam, embed_dedup, langid, minhash_dedup, mixing, quality, secrets, toxicity
 from kestrel.session import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +100,56 @@ SELECT doc_id, source, size, source_size, target,
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
+@query("op4_quality_classifier")
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    scored = quality.score_quality(docs, quality.fit(docs))
+    return scored.withColumn("keep", F.col("score") >= 0.5)
+
+
+@query("op5_embedding_near_dedup", """
+WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+ok AS (SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS s FROM v
+       WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+         AND list_dot_product(e, e) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id
+      AND list_dot_product(a.e, b.e) / (a.s * b.s) >= 0.98),
+r AS (WITH RECURSIVE c(a, b) AS (SELECT a, b FROM l UNION SELECT c.a, l.b FROM c JOIN l ON c.b = l.a)
+      SELECT a, least(a, min(b)) AS root FROM c GROUP BY a),
+n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT v.vec_id, coalesce(n_links, 0) AS n_links, coalesce(root, v.vec_id) AS component_id,
+       v.vec_id = coalesce(root, v.vec_id) AS kept
+FROM v LEFT JOIN r ON r.a = v.vec_id LEFT JOIN n ON n.a = v.vec_id""")
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicate_vectors(read_table(spark, sf_dir, "embeddings"), 0.98)
+
+
+@query("op6_minhash_near_dedup")
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents"), width=2, percent=80).drop("tie")
+
+
+@query("op7_benchmark_decontamination")
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contained_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@query("op8_language_id")
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = langid.fold(F.col("doc_id"), 4) == 2
+    model = langid.fit(docs.where(~held_out))
+    return (langid.identify(docs, model).withColumn("held_out", held_out)
+            .select("doc_id", "held_out", "lang_pred", "score", "accepted"))
+
+
+@query("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    held_out = langid.fold(F.col("doc_id"), 3) == 1
+    model = toxicity.fit(docs, labels.where(~held_out).select("doc_id", F.col("toxic").alias("y")))
+    return (toxicity.score_texts(docs, model)
+            .select("doc_id", held_out.alias("held_out"), "score",
+                    (F.col("score") >= 0.7).cast("int").alias("predicted")))

@@ -44,17 +44,17 @@ def utf8_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf[off[0]:off[-1]], off - off[0]
 
 
-def chunks(batch: pa.RecordBatch, column: str = "text",
-           max_bytes: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+def chunks(batch: pa.RecordBatch, column: str = "text", max_bytes: int = CHUNK_BYTES,
+           max_rows: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Split a batch into slices of at most ``max_bytes`` of text (one longer
-    text alone in its slice): (slice, bytes, offsets)."""
+    text alone in its slice) and ``max_rows`` rows: (slice, bytes, offsets)."""
     if not batch.num_rows:
         return
     buf, off = utf8_bytes(batch.column(batch.schema.get_field_index(column)))
     lo = 0
     while lo < batch.num_rows:
         hi = int(np.searchsorted(off, off[lo] + max_bytes, side="right")) - 1
-        hi = min(max(hi, lo + 1), batch.num_rows)
+        hi = min(max(hi, lo + 1), lo + max_rows, batch.num_rows)
         yield batch.slice(lo, hi - lo), buf[off[lo]:off[hi]], off[lo:hi + 1] - off[lo]
         lo = hi
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import chat, decontam, embed_dedup, langid, minhash_dedup, mixing, quality, secrets, toxicity
+from kestrel.llm import chat, decontam, embed_dedup, langid, minhash_dedup, mixing, quality, secrets, suffix_dedup, toxicity
 from kestrel.session import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -153,3 +153,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (toxicity.score_texts(docs, model)
             .select("doc_id", held_out.alias("held_out"), "score",
                     (F.col("score") >= 0.7).cast("int").alias("predicted")))
+
+
+@query("op1_suffix_dedup")
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))

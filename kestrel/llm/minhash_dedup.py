@@ -11,9 +11,10 @@
    centre; only (centre, member) pairs become candidates, so a bucket of m
    classes gives m - 1 pairs.  The pairs' full shingle sets are compared.
 4. Buckets whose members fell into one component are done.  In the others the
-   centre (now compared with everyone) leaves and the next centre is taken;
-   after ``star_rounds`` what is left is compared pair by pair in bounded
-   blocks, across components only.  No pair of one bucket is given up.
+   shingle sets of different components are intersected in bounded blocks (a
+   matrix product per block pair), and only pairs that reach the similarity
+   leave the block.  No pair of one bucket is given up for its bucket's size,
+   and none is emitted unseen.
 
 Links are exact (``confirm`` compares the shingles themselves); two documents
 that should be linked are missed only if no band agrees, at similarity 0.8 with
@@ -34,36 +35,39 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.graph import components
+from kestrel.llm.graph import components, shared_id_links
 from kestrel.llm.scratch import written
 from kestrel.llm.text import chunks, mix, per_document, shingles, words
 
 BLOCK_ROWS = 512
+#: so many ids and text hashes (16 bytes each) may be broadcast
+BROADCAST_IDS = 200_000
 _K1, _K2 = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 
 
-def one_permutation(hashes: np.ndarray, bins: int) -> np.ndarray:
-    """Densified one-permutation MinHash of sorted distinct hashes; ``bins`` is
-    a power of two."""
+def one_permutation(hashes: np.ndarray, doc: np.ndarray, n_docs: int, bins: int) -> np.ndarray:
+    """Densified one-permutation MinHash, a row per document: ``hashes`` are
+    distinct and sorted in each document; ``bins`` is a power of two.  Rows of
+    documents without hashes are zero."""
     shift = np.uint64(64 - (bins.bit_length() - 1))
-    bin_of = (hashes >> shift).astype(np.int64)
-    first = np.flatnonzero(np.concatenate(([True], bin_of[1:] != bin_of[:-1])))
-    sig = np.zeros(bins, np.uint64)
-    full = np.zeros(bins, bool)
-    sig[bin_of[first]], full[bin_of[first]] = hashes[first], True
-    if len(first) == 1:
-        sig[:] = hashes[first[0]]
-        return sig
-    empty, donor = np.flatnonzero(~full), full.copy()
+    sig, full = np.zeros(n_docs * bins, np.uint64), np.zeros(n_docs * bins, bool)
+    if not len(hashes):
+        return sig.reshape(n_docs, bins)
+    place = doc * bins + (hashes >> shift).astype(np.int64)
+    first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
+    sig[place[first]], full[place[first]] = hashes[first], True
+    any_full = full.reshape(n_docs, bins).any(axis=1)
+    empty = np.flatnonzero(~full & np.repeat(any_full, bins))
     attempt = 0
     while len(empty):
         attempt += 1
         salt = np.uint64(attempt * int(_K2) % 2**64)
-        source = (mix((empty.astype(np.uint64) + np.uint64(1)) * _K1 + salt) >> shift).astype(np.int64)
-        ok = donor[source]
+        donor = (mix(np.arange(1, bins + 1, dtype=np.uint64) * _K1 + salt) >> shift).astype(np.int64)
+        source = empty // bins * bins + donor[empty % bins]
+        ok = full[source]
         sig[empty[ok]] = sig[source[ok]]
         empty = empty[~ok]
-    return sig
+    return sig.reshape(n_docs, bins)
 
 
 def signatures(docs: DataFrame, width: int, bins: int, rows: int) -> DataFrame:
@@ -74,31 +78,96 @@ def signatures(docs: DataFrame, width: int, bins: int, rows: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, buf, off in chunks(batch):
+            for part, buf, off in chunks(batch, max_rows=4096):
                 word, doc, _ = words(buf, off)
                 hashes, owner = shingles(word, doc, width)
-                n = np.zeros(part.num_rows, np.int64)
-                sets = np.zeros((2, part.num_rows), np.uint64)
-                bands: list[np.ndarray | None] = [None] * part.num_rows
-                for i, h in enumerate(per_document(hashes, owner, part.num_rows)):
-                    if not len(h):
-                        continue
-                    h = np.unique(h)
-                    n[i], sets[0, i], sets[1, i] = len(h), mix(h ^ _K1).sum(), mix(h ^ _K2).sum()
-                    sig = one_permutation(h, bins)[:n_bands * rows].reshape(n_bands, rows)
-                    b = salt.copy()
-                    for k in range(rows):
-                        b = mix(b ^ sig[:, k])
-                    bands[i] = b.view(np.int64)
+                sets = [np.unique(h) for h in per_document(hashes, owner, part.num_rows)]
+                n = np.array([len(h) for h in sets], np.int64)
+                flat = np.concatenate([*sets, np.zeros(0, np.uint64)])
+                owner = np.repeat(np.arange(len(n)), n)
+                sums = []
+                for key in (_K1, _K2):
+                    upto = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(flat ^ key), dtype=np.uint64)))
+                    end = np.cumsum(n)
+                    sums.append((upto[end] - upto[end - n]).view(np.int64))
+                sig = one_permutation(flat, owner, len(n), bins)
+                band = np.broadcast_to(salt, (len(n), n_bands))
+                for k in range(rows):
+                    band = mix(band ^ sig[:, k:n_bands * rows:rows])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(n), pa.array(sets[0].view(np.int64)),
-                     pa.array(sets[1].view(np.int64)), pa.array(bands, pa.list_(pa.int64()))],
+                    [part.column(0), part.column(1), pa.array(n), *map(pa.array, sums),
+                     pa.array(list(band.view(np.int64)), pa.list_(pa.int64()))],
                     names=["doc_id", "tie", "n", "s1", "s2", "bands"])
 
     slim = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("tie"), "text")
     return slim.mapInArrow(run, "doc_id long, tie long, n long, s1 long, s2 long, bands array<long>")
 
 
+def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, t, text) of the rows named by ``ids`` (id, t: id and text hash).  Up
+    to ``BROADCAST_IDS`` of them are broadcast, so that other texts don't move;
+    beyond that the tables are joined by a shuffle."""
+    text = docs.where("doc_id is not null").select(
+        F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("t"),
+        F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    ids = written(ids.select("id", "t").distinct(), "ids")
+    return text.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, ["id", "t"], "left_semi")
+
+
+def _hash_sets(texts: DataFrame, width: int) -> DataFrame:
+    """(id, t, hashes): 32 bits of each distinct shingle's hash, packed."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, buf, off in chunks(batch):
+                word, doc, _ = words(buf, off)
+                hashes, owner = shingles(word, doc, width)
+                packed = [np.unique((h >> np.uint64(32)).astype(np.uint32)).tobytes()
+                          for h in per_document(hashes, owner, part.num_rows)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(packed, pa.binary())],
+                                                 names=["id", "t", "hashes"])
+    return texts.mapInArrow(run, "id long, t long, hashes binary")
+
+
+def overlaps(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """Sizes of all intersections, as products of incidence matrices over
+    ``columns`` shared elements at a time."""
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    flat = np.concatenate(sets)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    order = np.argsort(flat, kind="stable")
+    flat, row = flat[order], row[order]
+    new = np.concatenate(([True], flat[1:] != flat[:-1]))
+    element = np.cumsum(new) - 1
+    shared = np.bincount(element)[element] > 1
+    if not shared.any():
+        return out
+    row, element = row[shared], element[shared]
+    element = np.cumsum(np.concatenate(([0], (element[1:] != element[:-1]).astype(np.int64))))
+    for lo in range(0, int(element[-1]) + 1, columns):
+        a, b = np.searchsorted(element, (lo, lo + columns))
+        part = np.zeros((len(sets), min(columns, int(element[-1]) + 1 - lo)), np.float32)
+        part[row[a:b], element[a:b] - lo] = 1
+        out += part @ part.T
+    return out
+
+
+def _similar(percent: int):
+    """Pairs of a block, of different components, that reach ``percent``."""
+    def run(table: pa.Table) -> pa.Table:
+        one = lambda c: table.column(c).to_numpy()
+        ident, tie, root, mine, x, y = map(one, ("id", "t", "root", "own", "x", "y"))
+        sets = [np.frombuffer(s, np.uint32) for s in table.column("hashes").to_pylist()]
+        a = b = np.zeros(0, np.int64)
+        if len(np.unique(root)) > 1:
+            both = overlaps(sets).astype(np.int64)
+            n = np.array([len(s) for s in sets], np.int64)
+            ok = 100 * both >= percent * (n[:, None] + n[None, :] - both)
+            ok &= (root[:, None] != root[None, :]) & (mine == x)[:, None] & (mine == y)[None, :]
+            a, b = np.nonzero(np.triu(ok, 1) if x[0] == y[0] else ok)
+        return pa.table({"a": ident[a], "ta": tie[a], "b": ident[b], "tb": tie[b]})
+    return run
+
+
 def confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """(a, b) of those candidate pairs (a, ta, b, tb: ids and text hashes)
     whose full shingle sets A, B have 100 |A & B| >= percent |A | B|."""
@@ -120,9 +189,9 @@ def confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Data
                 ok[i] = 100 * both >= percent * (len(left) + len(kept) - both)
             yield pa.RecordBatch.from_arrays([a.filter(pa.array(ok)), b.filter(pa.array(ok))], names=["a", "b"])
 
-    text = docs.where("doc_id is not null").select(
-        F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("t"),
-        F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    pairs = written(pairs, "pairs")
+    ends = pairs.select(F.col("a").alias("id"), F.col("ta").alias("t")).union(pairs.select("b", "tb"))
+    text = _texts(docs, ends)
     left = text.toDF("a", "ta", "text_a")
     right = text.toDF("b", "tb", "text_b")
     return (pairs.join(left, ["a", "ta"]).join(right, ["b", "tb"])
@@ -134,13 +203,9 @@ def _close(x: str, y: str, percent: int):
     return F.least(x, y) * 100 >= F.greatest(x, y) * percent
 
 
-def _pairs(df: DataFrame) -> DataFrame:
-    return df.select("a", "ta", "b", "tb").distinct()
-
-
 def _open_buckets(members: DataFrame, roots: DataFrame) -> DataFrame:
     """Members, with their component, of buckets that hold several components."""
-    rooted = (members.drop("root").join(roots.withColumnRenamed("node", "id"), "id", "left")
+    rooted = (members.join(roots.withColumnRenamed("node", "id"), "id", "left")
               .withColumn("root", F.coalesce("root", "id")))
     rooted = written(rooted, "rooted")
     split = (rooted.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
@@ -149,53 +214,45 @@ def _open_buckets(members: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def duplicate_classes(docs: DataFrame, width: int = 5, percent: int = 80, bins: int = 128, rows: int = 4,
-                      star_rounds: int = 3, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
+                      block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
     """(signatures, classes): the per-row signatures and, for each class of
     equal shingle sets (s1, s2, n), its ``component_id``."""
     sig = written(signatures(docs, width, bins, rows), "signatures")
     classes = written(sig.where("n > 0 and doc_id is not null").groupBy("s1", "s2", "n")
                       .agg(F.min(F.struct("doc_id", "tie", "bands")).alias("rep"))
                       .select("s1", "s2", "n", F.col("rep.doc_id").alias("id"), F.col("rep.tie").alias("t"),
-                              F.col("rep.bands").alias("bands")), "classes")
+                              "rep.bands"), "classes")
     entries = classes.select("id", "t", "n", F.explode("bands").alias("band"))
     shared = written(entries.groupBy("band").agg(F.count("*").alias("m")).where("m > 1"), "shared")
     members = written(entries.join(shared, "band"), "members")
     degree = members.groupBy("id", "t").agg(F.sum(F.col("m") - 1).alias("degree"))
-    # a document that repeats an id in two classes joins them: they are one node
-    open_ = written(members.join(degree, ["id", "t"]).withColumn("root", F.col("id")), "open")
-    links = classes.select(F.col("id").alias("a"), F.col("id").alias("b")).where("false")
-    for step in range(star_rounds + 1):
-        if open_.isEmpty():
-            break
-        if step < star_rounds:
-            centre = open_.groupBy("band").agg(
-                F.max(F.struct("degree", (-F.col("id")).alias("low"), F.col("id").alias("b"),
-                               F.col("t").alias("tb"), F.col("n").alias("nb"), F.col("root").alias("rb"))).alias("c"))
-            starred = open_.join(centre.select("band", "c.b", "c.tb", "c.nb", "c.rb"), "band")
-            is_centre = (F.col("id") == F.col("b")) & (F.col("t") == F.col("tb"))
-            fresh = (F.col("root") != F.col("rb")) if step else F.lit(True)
-            found = _pairs(starred.where(~is_centre & fresh & _close("n", "nb", percent))
-                           .withColumnsRenamed({"id": "a", "t": "ta"}))
-            rest = written(starred.where(~is_centre).select(*open_.columns), "rest")
-        else:
-            blocks = F.ceil(F.col("m") / block_rows).cast("int")
-            own = open_.withColumn("x", F.pmod(F.xxhash64("id", "t"), blocks).cast("int"))
-            other = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("y")
-            a = own.select("band", "x", other, F.col("id").alias("a"), F.col("t").alias("ta"),
-                           F.col("n").alias("na"), F.col("root").alias("ra"))
-            b = (own.select("band", "x", other, F.col("id").alias("b"), F.col("t").alias("tb"),
-                            F.col("n").alias("nb"), F.col("root").alias("rb"))
-                 .withColumnsRenamed({"x": "y", "y": "x"}))
-            found = _pairs(a.join(b, ["band", "x", "y"])
-                           .where((F.col("ra") < F.col("rb")) & _close("na", "nb", percent)))
-            rest = None
-        links = written(links.union(confirm(found, docs, width, percent)).distinct(), "confirmed")
-        roots = written(components(links), "roots")
-        if rest is None:
-            break
-        open_ = _open_buckets(rest, roots)
-    if links.isEmpty():
-        roots = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    centre = (members.join(degree, ["id", "t"]).groupBy("band")
+              .agg(F.max(F.struct("degree", (-F.col("id")).alias("low"), F.col("id").alias("b"),
+                                  F.col("t").alias("tb"), F.col("n").alias("nb"))).alias("c"))
+              .select("band", "c.b", "c.tb", "c.nb"))
+    star = (members.join(written(centre, "centres"), "band")
+            .where(~((F.col("id") == F.col("b")) & (F.col("t") == F.col("tb"))) & _close("n", "nb", percent))
+            .select(F.col("id").alias("a"), F.col("t").alias("ta"), "b", "tb").distinct())
+    links = confirm(star, docs, width, percent)
+    several = written(sig.where("n > 0 and doc_id is not null").groupBy("doc_id")
+                      .agg(F.min("s1").alias("lo"), F.max("s1").alias("hi")).where("lo <> hi").select("doc_id"), "several")
+    if not several.isEmpty():      # an id with several texts: its classes belong together
+        own = sig.join(several, "doc_id", "left_semi").join(classes, ["s1", "s2", "n"])
+        links = links.union(shared_id_links(own.select(F.col("doc_id").alias("id"), F.col("id").alias("node"))))
+    links = written(links.distinct(), "star-links")
+    roots = written(components(links), "roots")
+    open_ = _open_buckets(members, roots)
+    blocks = F.ceil(F.col("m") / block_rows).cast("int")
+    dealt = (open_.join(_hash_sets(_texts(docs, open_), width), ["id", "t"])
+             .withColumn("own", F.pmod(F.xxhash64("id", "t"), blocks).cast("int"))
+             .withColumn("o", F.explode(F.sequence(F.lit(0), blocks - 1)))
+             .withColumns({"x": F.least("own", "o"), "y": F.greatest("own", "o")}))
+    rest = (dealt.groupBy("band", "x", "y").applyInArrow(_similar(percent), "a long, ta long, b long, tb long")
+            .select(*[F.when(F.col("a") < F.col("b"), F.col(p)).otherwise(F.col(q)).alias(p)
+                      for p, q in (("a", "b"), ("ta", "tb"), ("b", "a"), ("tb", "ta"))]).distinct())
+    more = written(confirm(rest, docs, width, percent).distinct(), "more-links")
+    if not more.isEmpty():
+        roots = written(components(links.union(more)), "roots")
     out = (classes.select("s1", "s2", "n", "id").join(roots.withColumnRenamed("node", "id"), "id", "left")
            .select("s1", "s2", "n", F.coalesce("root", "id").alias("component_id")))
     return sig, written(out, "class-components")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm.graph import components
+from kestrel.llm.graph import components, shared_id_links
 from kestrel.llm.scratch import written
 
 #: documented bound of the centroid fit; every vector is assigned and compared
@@ -190,14 +190,20 @@ def near_duplicate_vectors(vectors: DataFrame, least: float = 0.98, **options) -
     embedding, label): vectors of its label with a cosine of at least ``least``
     to it, the smallest id reachable over such links, and whether it is that."""
     classes, counts, stars = linked(vectors, least, **options)
+    v = F.transform(F.col("embedding").cast("array<double>"), lambda e: e + F.lit(0.0))
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label", v.alias("v"))
+    several = written(rows.groupBy("vec_id").agg(F.min(F.xxhash64("label", "v")).alias("lo"),
+                                                 F.max(F.xxhash64("label", "v")).alias("hi"))
+                      .where("lo <> hi").select("vec_id"), "several")
+    if not several.isEmpty():      # an id with several vectors: they belong together
+        own = rows.join(several, "vec_id", "left_semi").join(classes, ["label", "v"])
+        stars = stars.union(shared_id_links(own.select(F.col("vec_id").alias("id"), "node")))
     roots = components(stars)
     known = (classes.join(counts, "node", "left").join(roots, "node", "left")
              .select("label", "v", (F.coalesce("n_links", F.lit(0)) + F.col("rows") - 1).alias("n_links"),
                      F.coalesce("root", "node").alias("component_id")))
     known = written(known, "known")
-    v = F.transform(F.col("embedding").cast("array<double>"), lambda e: e + F.lit(0.0))
-    out = (vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label", v.alias("v"))
-           .join(known, ["label", "v"], "left"))
+    out = rows.join(known, ["label", "v"], "left")
     component = F.when(F.col("vec_id").isNotNull(), F.coalesce("component_id", "vec_id"))
     usable = F.col("component_id").isNotNull() & F.col("vec_id").isNotNull()
     return out.select("vec_id", F.when(usable, F.col("n_links")).otherwise(F.lit(0)).cast("long").alias("n_links"),

@@ -45,3 +45,10 @@ def components(links: DataFrame) -> DataFrame:
         links = written(_star(_star(links, True), False), "links")
     roots = links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return links.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)
+
+
+def shared_id_links(members: DataFrame) -> DataFrame:
+    """(a, b): links between the nodes of ``members`` (id, node) that share an id."""
+    several = (members.groupBy("id").agg(F.min("node").alias("b"), F.max("node").alias("high"))
+               .where("b <> high").select("id", "b"))
+    return members.join(several, "id").select(F.col("node").alias("a"), "b").where("a <> b").distinct()

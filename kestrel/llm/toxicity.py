@@ -85,21 +85,20 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _features(train: DataFrame) -> tuple[list[np.ndarray], np.ndarray]:
+def _features(train: DataFrame, sample_docs: int) -> tuple[list[np.ndarray], np.ndarray]:
     """Word buckets per sampled text, and its label."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, buf, off in chunks(batch):
                 doc, bucket = present(buf, off)
-                rows = list(per_document(bucket, doc, part.num_rows))
-                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int32())), part.column(1)],
-                                                 names=["at", "y"])
-    rows = train.select("text", "y").mapInArrow(run, "at array<int>, y int").collect()
-    return [np.array(r[0], np.int64) for r in rows], np.array([r[1] for r in rows], np.float64)
+                rows = [r.astype(np.int32).tobytes() for r in per_document(bucket, doc, part.num_rows)]
+                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), part.column(1)], names=["at", "y"])
+    rows = train.select("text", "y").mapInArrow(run, "at binary, y int").limit(sample_docs).collect()
+    return [np.frombuffer(r[0], np.int32) for r in rows], np.array([r[1] for r in rows], np.float64)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample_docs: int) -> DataFrame:
-    """(text, y) of at most ``sample_docs`` labelled texts."""
+    """(text, y) of ``sample_docs`` labels at most."""
     y = F.col("y").cast("int")
     chosen = labels.select("doc_id", y.alias("y")).where("doc_id is not null and y in (0, 1)").distinct()
     n = chosen.count()
@@ -108,7 +107,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample_docs: int) -> Dat
         chosen = chosen.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share).limit(sample_docs)
     # at most sample_docs ids and labels
     return (docs.select("doc_id", F.lower("text").alias("text")).join(F.broadcast(chosen), "doc_id")
-            .select("text", "y").limit(sample_docs))
+            .select("text", "y"))
 
 
 def fit_model(rows: list[np.ndarray], y: np.ndarray, groups: Sequence[Sequence[str]] = IDENTITY_TERMS,
@@ -124,7 +123,7 @@ def fit_model(rows: list[np.ndarray], y: np.ndarray, groups: Sequence[Sequence[s
     keep = sorted(seen.values())
     rows, y = [rows[i] for i in keep], y[keep]
     n1, n0 = y.sum(), len(y) - y.sum()
-    flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+    flat = np.concatenate(rows)
     label = np.repeat(y, [len(r) for r in rows])
     c1 = np.bincount(flat[label == 1], minlength=1 << BITS)
     c0 = np.bincount(flat[label == 0], minlength=1 << BITS)
@@ -171,7 +170,7 @@ def fit_model(rows: list[np.ndarray], y: np.ndarray, groups: Sequence[Sequence[s
 
 def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, **options) -> Model | None:
     """Model from ``docs`` (doc_id, text) and ``labels`` (doc_id, y)."""
-    return fit_model(*_features(labelled_sample(docs, labels, sample_docs)), **options)
+    return fit_model(*_features(labelled_sample(docs, labels, sample_docs), sample_docs), **options)
 
 
 def score_texts(docs: DataFrame, model: Model | None) -> DataFrame:

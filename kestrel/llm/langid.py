@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.llm.embed_dedup import fit_cells
+from kestrel.llm.scratch import written
 from kestrel.llm.text import chunks
 
 DIM = 4096
@@ -35,6 +36,8 @@ CENTROIDS = 4
 SAMPLE_DOCS = 4_000
 SAMPLE_PER_LANGUAGE = 400
 CHUNK_ROWS = 512
+#: a table of so many languages and counts is broadcast
+BROADCAST_LANGUAGES = 10_000
 
 _LETTER = np.full(256, 32, np.uint8)
 _LETTER[97:123] = np.arange(97, 123)
@@ -107,8 +110,10 @@ def _document_frequencies(train: DataFrame) -> tuple[np.ndarray, int]:
 def _sample(train: DataFrame, sample_docs: int, per_language: int) -> list[tuple[str, np.ndarray]]:
     """Hash-chosen training texts as counts, about ``per_language`` of each
     language and no more than ``sample_docs``."""
-    sizes = train.groupBy("lang").count()
+    sizes = written(train.groupBy("lang").count(), "languages")
     n_langs = sizes.count()
+    if n_langs <= BROADCAST_LANGUAGES:
+        sizes = F.broadcast(sizes)
     each = max(1, min(per_language, sample_docs // max(1, n_langs)))
     share = F.least(F.lit(1.0), F.lit(float(each)) / F.col("count"))
     unit = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
@@ -120,15 +125,15 @@ def _sample(train: DataFrame, sample_docs: int, per_language: int) -> list[tuple
                 counts = gram_counts(buf, off)
                 rows = [np.flatnonzero(c) for c in counts]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(rows, pa.list_(pa.int32())),
-                     pa.array([c[r] for c, r in zip(counts, rows)], pa.list_(pa.float32()))],
+                    [part.column(0), pa.array([r.astype(np.int16).tobytes() for r in rows], pa.binary()),
+                     pa.array([c[r].tobytes() for c, r in zip(counts, rows)], pa.binary())],
                     names=["lang", "at", "n"])
 
     out = []
-    for lang, at, n in (picked.mapInArrow(run, "lang string, at array<int>, n array<float>")
+    for lang, at, n in (picked.mapInArrow(run, "lang string, at binary, n binary")
                         .limit(sample_docs).collect()):
         row = np.zeros(DIM, np.float32)
-        row[at] = n
+        row[np.frombuffer(at, np.int16)] = np.frombuffer(n, np.float32)
         out.append((lang, row))
     return out
 

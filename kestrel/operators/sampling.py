@@ -7,44 +7,36 @@ ORDER BY, on row ids or on an unseeded ``rand()``.
 Scale design of the "first n rows by order" primitive (``first_n``), which all
 caps, heads, tails and relabels use:
 
-1. Cutoff (global top-n on an integral first order column, e.g. the seeded
-   hash key or an id), in two histogram rounds.  Round 1: a histogram of a
-   monotone log-linear bucket code of the key (``key_bucket``) is built with
-   a partial aggregate (one key column read, one row per populated bucket
-   shuffled); a running sum over it finds the buckets up to the one holding
-   the n-th row.  Round 2: the same over a finer code (``sub_bucket``) of
-   the rows of that one bucket only.  The result is applied with one
-   broadcast left-semi join (the tables are bounded by the code space).
-   Both codes are monotone in the key, so the survivors contain every top-n
-   row: the cut is exact.  With hash keys the survivors are about n plus
-   rows / 2^24 at worst (a descending cut; round 1 alone would leave
-   rows / 2^12, which at 10^12 rows is far too many for the final merge),
-   however many rows share the capped value.
-2. Salted two-stage top-n on what survives: rows are spread over
-   ``salt_buckets`` buckets by a hash of the order key, the first n of each
-   bucket are kept (Spark adds a map-side ``WindowGroupLimit`` when n <=
-   spark.sql.optimizer.windowGroupLimitThreshold), and the first n are taken
-   from the at most ``salt_buckets * n`` survivors.  Exact (any top-n row is a
-   top-n row of its bucket); a hot value is split over all buckets instead of
-   one task; the final merge is bounded by the parameters, not the data.
-
-Per-group caps (``partition_by``) run stage 1 per (group, bucket) (the
-bucket table then grows with the number of groups, so AQE decides from its
-measured size whether to broadcast it) and stage 2 per (group, salt), so a
-group holding a third of all rows is spread over ``salt_buckets`` tasks; the
-final per-group window sees at most salt_buckets * n rows.
+1. ``n`` up to Spark's ``windowGroupLimitThreshold``: every map task keeps its
+   first n rows per group (``WindowGroupLimit``), so the shuffle holds at most
+   n rows per task and group.  They are merged in two levels: ``salt_buckets``
+   sets of map tasks first, then the sets.  A hot value is cut in the tasks
+   that read it and never meets in one place.
+2. Larger ``n``: the exact cut is found first, in two histogram rounds over a
+   monotone integer code of the first order column (``ordinal``): the bucket
+   that holds the n-th row, then the sub-bucket inside it (``key_bucket``,
+   ``sub_bucket``).  Only code counts are shuffled, one row per populated
+   bucket and task.  The cut is one row per group, applied as a filter (whole
+   table: scalar subqueries; groups: a broadcast of one row per group), and
+   about n rows per group survive to be ranked.
+
+Which of the two runs depends on ``n`` alone, not on the data or its size.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kestrel.functions.hashing import hash_key, hash_pick
+from kestrel.functions.times import ntz_as_utc
 
+KEY_BITS = 60       # of hash_key
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
@@ -55,10 +47,42 @@ def _order(order_by: Sequence[str], ascending: bool) -> list[Column]:
 def _salt_buckets(df: DataFrame, salt_buckets: int | None) -> int:
     if salt_buckets:
         return salt_buckets
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def key_bucket(col: str, ascending: bool = True, mantissa_bits: int = 12) -> Column:
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(2, math.isqrt(width))
+
+
+def ordinal(df: DataFrame, column: str) -> Column | None:
+    """A bigint that never decreases along the column's sort order (NULL stays
+    NULL); None for types without one.  Integers, dates, timestamps and
+    floating-point numbers are coded exactly, decimals as doubles, strings by
+    their first seven bytes."""
+    kind, c = df.schema[column].dataType, F.col(column)
+    if isinstance(kind, _INTEGRAL):
+        return c.cast("bigint")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c).cast("bigint")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(c)
+    if isinstance(kind, T.TimestampNTZType):
+        return F.unix_micros(ntz_as_utc(c))
+    if isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)):
+        x = c.cast("double")
+        a = F.abs(x)
+        usual = (a >= F.lit(2.2250738585072014e-308)) & (a < F.lit(float("inf")))
+        e = F.floor(F.log2(F.when(usual, a).otherwise(F.lit(1.0))))
+        e = (F.when(F.pow(F.lit(2.0), e) > a, e - 1)
+             .when(F.pow(F.lit(2.0), e + 1) <= a, e + 1).otherwise(e))
+        fraction = ((a / F.pow(F.lit(2.0), e) - 1) * F.lit(float(1 << 52))).cast("bigint")
+        code = (F.when(usual, (e + 1023) * F.lit(1 << 52) + fraction)
+                .when(a < 1, F.lit(0)).otherwise(F.lit(2047 << 52)))
+        return (F.when(F.isnan(x), F.lit((1 << 63) - 1)).when(x >= 0, code).when(x < 0, -code - 1))
+    if isinstance(kind, T.StringType):
+        seven = F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 7)), 14, "0")
+        return F.conv(seven, 16, 10).cast("bigint")
+    return None
+
+
+def key_bucket(col: Column | str, ascending: bool = True, mantissa_bits: int = 12) -> Column:
     """Monotone log-linear bucket of an integral key (no min/max pass needed).
 
     For x >= 0 with bit length L: x itself when L <= mantissa_bits, else
@@ -69,7 +93,7 @@ def key_bucket(col: str, ascending: bool = True, mantissa_bits: int = 12) -> Col
     descending).  The code space has fewer than 64 * 2^m values.
     """
     m = mantissa_bits
-    k = F.col(col).cast("bigint")
+    k = (F.col(col) if isinstance(col, str) else col).cast("bigint")
 
     def code(x: Column) -> Column:
         shift = F.greatest(F.length(F.bin(x)) - F.lit(m), F.lit(0))
@@ -82,14 +106,14 @@ def key_bucket(col: str, ascending: bool = True, mantissa_bits: int = 12) -> Col
     return F.coalesce(b, F.lit(-(1 << 62) if ascending else (1 << 62)))
 
 
-def sub_bucket(col: str, ascending: bool = True, mantissa_bits: int = 12,
+def sub_bucket(col: Column | str, ascending: bool = True, mantissa_bits: int = 12,
                sub_bits: int = 12) -> Column:
     """Position of an integral key inside its ``key_bucket``: the next
     ``sub_bits`` bits below the bucket's top ``mantissa_bits`` (0 where the
     bucket holds a single key value).  Monotone in the key among keys of one
     bucket, in the same direction as ``key_bucket``; NULL keys get 0."""
     m, s2 = mantissa_bits, sub_bits
-    k = F.col(col).cast("bigint")
+    k = (F.col(col) if isinstance(col, str) else col).cast("bigint")
 
     def pos(x: Column) -> Column:
         shift = F.greatest(F.length(F.bin(x)) - F.lit(m), F.lit(0)).cast("int")
@@ -103,11 +127,6 @@ def sub_bucket(col: str, ascending: bool = True, mantissa_bits: int = 12,
     return F.coalesce(p, F.lit(0))
 
 
-# Sub-bucket marker of a bucket that lies wholly inside the first n rows
-# (outside the range of sub_bucket for any sub_bits <= 30).
-_WHOLE = -(1 << 40)
-
-
 def _group_eq(groups: Sequence[str], prefix: str) -> Column:
     cond = F.lit(True)
     for i, g in enumerate(groups):
@@ -122,65 +141,56 @@ def _renamed(df: DataFrame, groups: Sequence[str], prefix: str, *cols: Column) -
 def _cutoff_filter(df: DataFrame, n: int, key: str, ascending: bool, mantissa_bits: int,
                    groups: Sequence[str] = (), sub_bits: int | None = 12) -> DataFrame:
     """Rows that can be among the first ``n`` (per group when ``groups`` are
-    given), found with two histogram rounds over the key.
-
-    Round 1: a partial-aggregate histogram of ``key_bucket`` codes (one key
-    column read, one row per populated bucket shuffled) and a running sum
-    over it give the buckets that hold a top-n row.  All but the last lie
-    wholly inside the first n; the last (at most one per group, the "cut"
-    bucket) also holds rows after the n-th.
-    Round 2 (skipped when ``sub_bits`` is None): a histogram of the
-    ``sub_bucket`` code over the cut bucket's rows only, and a running sum
-    continued from the count before it, give the sub-buckets still needed.
-    Both codes are monotone in the key, so the survivors hold every top-n
-    row: the cut is exact.  About n rows plus one sub-bucket survive (with
-    hash keys rows / 2^(mantissa_bits + sub_bits), instead of rows /
-    2^mantissa_bits after round 1 alone), however many rows share a group.
-
-    Without groups every table joined back is bounded by the code space
-    (< 64 * 2^mantissa_bits whole buckets, one cut bucket, < 2^(sub_bits+1)
-    sub-buckets), so broadcasting it is size-proven; with groups they grow
-    with the number of groups and AQE decides from their measured size.  The
-    rows are read once more in full width for the final semi-join.
+    given); every row where fewer than ``n`` exist.
+
+    Round 1: counts per ``key_bucket`` code and a running sum over them give
+    the bucket that holds the n-th row.  Round 2 (skipped when ``sub_bits`` is
+    None): the same per ``sub_bucket`` code over that bucket's rows.  Both
+    codes are monotone in the key, so the rows up to the n-th row's sub-bucket
+    hold every top-n row: the cut is exact.
+
+    Without groups the cut is applied by scalar subqueries.  With groups it is
+    a table of one row per group; their number is counted, and up to
+    ``BROADCAST_MAX_ROWS`` of them are broadcast, so that no full row is
+    shuffled.  Beyond that it is a shuffle join.
     """
     gnames = list(groups)
-    gcols = [F.col(g) for g in gnames]
-    bcast = (lambda t: t) if gnames else F.broadcast
-    rows = df.withColumn("__b", key_bucket(key, ascending, mantissa_bits))
-    hist = rows.groupBy(*gnames, "__b").agg(F.count(F.lit(1)).alias("__c"))
-    w = Window.partitionBy(*gcols).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    reach = (hist.withColumn("__before", F.coalesce(F.sum("__c").over(w), F.lit(0)))
-             .where(F.col("__before") < F.lit(n)))
-    if sub_bits is None:
-        allowed = _renamed(reach, gnames, "__g", F.col("__b").alias("__ab"))
-        return rows.join(bcast(allowed), (F.col("__b") == F.col("__ab")) & _group_eq(gnames, "__g"),
-                         "left_semi").drop("__b")
-    ends_inside = F.col("__before") + F.col("__c") <= F.lit(n)
-    whole = reach.where(ends_inside).select(*gnames, "__b", F.lit(_WHOLE).alias("__s"))
-    cut = _renamed(reach.where(~ends_inside), gnames, "__k",
-                   F.col("__b").alias("__cb"), F.col("__before").alias("__cbefore"))
-    tagged = rows.join(bcast(cut), (F.col("__b") == F.col("__cb")) & _group_eq(gnames, "__k"), "left")
-    tagged = tagged.withColumn("__s", F.when(F.col("__cb").isNotNull(),
-                                             sub_bucket(key, ascending, mantissa_bits, sub_bits))
-                               .otherwise(F.lit(_WHOLE)))
-    hist2 = (tagged.where(F.col("__cb").isNotNull())
-             .groupBy(*gnames, "__b", "__cbefore", "__s").agg(F.count(F.lit(1)).alias("__c")))
-    w2 = Window.partitionBy(*gcols).orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
-    subs = (hist2.withColumn("__before", F.col("__cbefore")
-                             + F.coalesce(F.sum("__c").over(w2), F.lit(0)))
-            .where(F.col("__before") < F.lit(n)).select(*gnames, "__b", "__s"))
-    allowed = _renamed(whole.unionByName(subs), gnames, "__g",
-                       F.col("__b").alias("__ab"), F.col("__s").alias("__as"))
-    cond = ((F.col("__b") == F.col("__ab")) & (F.col("__s") == F.col("__as"))
-            & _group_eq(gnames, "__g"))
-    work = ["__b", "__s", "__cb", "__cbefore", *[f"__k{i}" for i in range(len(gnames))]]
-    return tagged.join(bcast(allowed), cond, "left_semi").drop(*work)
-
-
-PREFILTER_MIN_BYTES = 256 << 20
-
-# Largest parameter-bounded key set broadcast without a runtime size check
-# (a few tens of MB of keys).
+    code = ordinal(df, key)
+    rows = df.withColumns({"__b": key_bucket(code, ascending, mantissa_bits),
+                           "__s": (sub_bucket(code, ascending, mantissa_bits, sub_bits)
+                                   if sub_bits is not None else F.lit(0).cast("bigint"))})
+
+    def running(counts: DataFrame, by: str, start: Column) -> DataFrame:
+        w = (Window.partitionBy(*gnames).orderBy(by).rowsBetween(Window.unboundedPreceding, -1))
+        before = counts.withColumn("__before", start + F.coalesce(F.sum("__c").over(w), F.lit(0)))
+        return before.where((F.col("__before") < F.lit(n)) & (F.col("__before") + F.col("__c") >= F.lit(n)))
+
+    cut = running(rows.groupBy(*gnames, "__b").agg(F.count(F.lit(1)).alias("__c")), "__b", F.lit(0))
+    work = ["__b", "__s"]
+    if not gnames:
+        at = cut.select("__b").scalar()
+        keep = F.col("__b") <= at
+        if sub_bits is not None:
+            inside = rows.where(F.col("__b") == at).groupBy("__s").agg(F.count(F.lit(1)).alias("__c"))
+            sub = running(inside, "__s", cut.select("__before").scalar()).select("__s").scalar()
+            keep = (F.col("__b") < at) | ((F.col("__b") == at) & (F.col("__s") <= sub))
+        return rows.where(at.isNull() | keep).drop(*work)
+    cut = _renamed(cut, gnames, "__k", F.col("__b").alias("__cb"), F.col("__before").alias("__cbefore"))
+    few = df.select(*gnames).distinct().count() <= BROADCAST_MAX_ROWS
+    hint = F.broadcast if few else (lambda t: t)
+    if sub_bits is not None:
+        inside = (rows.join(hint(cut), (F.col("__b") == F.col("__cb")) & _group_eq(gnames, "__k"))
+                  .groupBy(*gnames, "__cb", "__cbefore", "__s").agg(F.count(F.lit(1)).alias("__c")))
+        cut = _renamed(running(inside, "__s", F.col("__cbefore")), gnames, "__k", "__cb",
+                       F.col("__s").alias("__cs"))
+    else:
+        cut = cut.withColumn("__cs", F.lit((1 << 62)))
+    keep = (F.col("__cb").isNull() | (F.col("__b") < F.col("__cb"))
+            | ((F.col("__b") == F.col("__cb")) & (F.col("__s") <= F.col("__cs"))))
+    return rows.join(hint(cut), _group_eq(gnames, "__k"), "left").where(keep).select(*df.columns)
+
+
+# Largest key set that is broadcast (a few tens of MB of keys).
 BROADCAST_MAX_ROWS = 1_000_000
 
 
@@ -202,29 +212,24 @@ def first_n(df: DataFrame, n: int, order_by: Sequence[str], ascending: bool = Tr
     Exact and skew-safe; see module docstring.  ``order_by`` are column names
     and must form a total order (end in a unique key).
 
-    ``prefilter``: True/False forces the cutoff pre-filter on or off; None
-    (default) uses it when the optimizer estimates the input above
-    ``PREFILTER_MIN_BYTES`` (small inputs are cheaper in one pass; the
-    pre-filter's extra small jobs pay off once the input is large).
-    ``mantissa_bits`` / ``sub_bits`` set the resolution of its two rounds
-    (``sub_bits=None`` runs round 1 only).  Per group it pays off when groups
-    are few and large (capping a label column); with many groups of at most
-    ``n`` rows every row survives, and the semi-join against a per-group
-    table too large to broadcast is one more full shuffle: pass
-    ``prefilter=False`` there.
+    ``prefilter``: True/False forces the histogram cut on or off; None
+    (default) uses it when ``n`` exceeds Spark's
+    ``windowGroupLimitThreshold``, up to which map tasks keep only their own
+    first n rows.  ``mantissa_bits`` / ``sub_bits`` set the resolution of its
+    two rounds (``sub_bits=None`` runs round 1 only).
     """
     order = _order(order_by, ascending)
     groups = [F.col(g) for g in partition_by]
     if prefilter is None:
-        size = estimated_bytes(df)
-        prefilter = size is None or size >= PREFILTER_MIN_BYTES
-    if (prefilter and mantissa_bits
-            and isinstance(df.schema[order_by[0]].dataType, _INTEGRAL)):
+        prefilter = n > int(df.sparkSession.conf.get(
+            "spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if prefilter and mantissa_bits and ordinal(df, order_by[0]) is not None:
         df = _cutoff_filter(df, n, order_by[0], ascending, mantissa_bits, partition_by, sub_bits)
+    # the first level merges sets of map tasks: any assignment gives the same rows
     buckets = _salt_buckets(df, salt_buckets)
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in order_by]), F.lit(buckets))
-    w1 = Window.partitionBy(*groups, salt).orderBy(*order)
-    stage1 = df.withColumn("__rn", F.row_number().over(w1)).where(F.col("__rn") <= n)
+    salted = df.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(buckets)))
+    w1 = Window.partitionBy(*groups, "__salt").orderBy(*order)
+    stage1 = salted.withColumn("__rn", F.row_number().over(w1)).where(F.col("__rn") <= n).drop("__salt")
     if groups:
         w2 = Window.partitionBy(*groups).orderBy(*order)
         out = stage1.withColumn("__rn", F.row_number().over(w2)).where(F.col("__rn") <= n)
@@ -308,18 +313,23 @@ def rebalance(df: DataFrame, column: str, majority, relabel_n: int, tail_n: int,
 
 def hash_split(df: DataFrame, fractions: Sequence[float], key_cols: Sequence[str],
                seed: int = 7, names: Sequence[str] | None = None,
-               out_col: str = "split", resolution: int = 10000) -> DataFrame:
+               out_col: str = "split") -> DataFrame:
     """Assign each row to a split by a seeded hash of its key: reproducible on
-    any partitioning (``randomSplit`` is not), no shuffle."""
+    any partitioning (``randomSplit`` is not), no shuffle.  The 60-bit key is
+    compared with the edges at full precision."""
     names = list(names) if names else [f"part{i}" for i in range(len(fractions))]
-    tot = float(sum(fractions))
-    bucket = F.pmod(hash_key(seed, *key_cols), F.lit(resolution))
-    edge, expr = 0.0, None
+    if len(names) != len(fractions):
+        raise ValueError(f"{len(fractions)} fractions but {len(names)} names")
+    if not fractions or min(fractions) < 0 or sum(fractions) <= 0:
+        raise ValueError("give fractions of at least 0 with a positive sum")
+    key, expr, edge = hash_key(seed, *key_cols), F.lit(names[-1]), Fraction(0)
+    tot = sum(map(Fraction, fractions))
+    cases = []
     for name, frac in zip(names[:-1], fractions[:-1]):
-        edge += frac / tot
-        cond = bucket < F.lit(int(round(edge * resolution)))
-        expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
-    expr = F.lit(names[-1]) if expr is None else expr.otherwise(F.lit(names[-1]))
+        edge += Fraction(frac) / tot
+        cases.append((key < F.lit(int(edge * (1 << KEY_BITS))), F.lit(name)))
+    for cond, value in reversed(cases):
+        expr = F.when(cond, value).otherwise(expr)
     return df.withColumn(out_col, expr)
 
 

@@ -6,8 +6,8 @@ generations of the surveyed code as presets.
              -> exclude rare labels -> map+drop unmapped -> rebalance
     explore  dedup -> strip '.' (regexp) -> map+drop unmapped -> cap label -> rebalance
 
-Every step is a lazy DataFrame transformation; the whole chain is one Catalyst
-plan.  Picks are deterministic: rows are ordered by ``order_by`` columns (by
+Every step is a DataFrame transformation; the cleaned rows are written once
+before the rebalance reads them three times.  Picks are deterministic: rows are ordered by ``order_by`` columns (by
 default an md5 of the whole row, which is unique once duplicates are gone),
 and relabelling draws from a seeded hash of the key.
 """
@@ -24,8 +24,8 @@ from kestrel.functions.categorize import map_categories
 from kestrel.functions.text import strip_chars
 from kestrel.operators.dedup import drop_duplicates
 from kestrel.operators.filters import exclude_values
-from kestrel.operators.sampling import PREFILTER_MIN_BYTES, cap_value, estimated_bytes, rebalance
-from kestrel.session import checkpoint_root
+from kestrel.operators.sampling import cap_value, rebalance
+from kestrel.session import scratch_path
 from kestrel.schemas import ATTACK_CATEGORIES, RARE_ATTACKS, RELABEL_TARGETS
 
 
@@ -65,17 +65,16 @@ def row_hash(df: DataFrame, seed: int | str = 7) -> F.Column:
 def prepare(df: DataFrame, preset: str | EtlPreset = "v2", label_col: str = "attack",
             category_col: str = "category", order_by: Sequence[str] | None = None,
             key_cols: Sequence[str] | None = None, seed: int = 7,
-            salt_buckets: int | None = None, materialize: bool | None = None,
+            salt_buckets: int | None = None, materialize: bool = True,
             **overrides) -> DataFrame:
     """Run the ETL preset (fields of ``EtlPreset`` can be overridden).
 
-    ``materialize``: the rebalance reads the cleaned, mapped rows three times
-    (non-majority, head, tail), and each branch would otherwise repeat the
-    dedup shuffle under its own pushed filter.  When True the cleaned rows are
-    written once with a reliable ``checkpoint()`` into the shared
-    ``spark.checkpoint.dir`` (it also survives executor loss), and the three
-    branches scan that.  None (default) does so when the optimizer estimates
-    the input above ``PREFILTER_MIN_BYTES``.
+    ``materialize`` (default): the rebalance reads the cleaned, mapped rows
+    three times (non-majority, head, tail), and each branch would otherwise
+    repeat the dedup shuffle under its own pushed filter.  The cleaned rows are
+    written once to the shared scratch area (they survive executor loss; see
+    ``session.clear_scratch``), and the three branches scan that.  False keeps
+    the whole chain one lazy plan.
     """
     p = PRESETS[preset] if isinstance(preset, str) else preset
     if overrides:
@@ -93,7 +92,7 @@ def prepare(df: DataFrame, preset: str | EtlPreset = "v2", label_col: str = "att
         out = out.withColumns({
             "__key": F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint"),
             "__key2": F.conv(F.substring(digest, 16, 15), 16, 10).cast("bigint")})
-        order_by, key_cols = ["__key", "__key2"], ["__key", "__key2"]
+        order_by = ["__key", "__key2"]
     key_cols = list(key_cols or order_by)
 
     def cap(frame: DataFrame) -> DataFrame:
@@ -110,12 +109,10 @@ def prepare(df: DataFrame, preset: str | EtlPreset = "v2", label_col: str = "att
     if not p.cap_before_map:
         out = cap(out)
     if p.rebalance:
-        if materialize is None:
-            size = estimated_bytes(df)
-            materialize = size is None or size >= PREFILTER_MIN_BYTES
         if materialize:
-            checkpoint_root(out.sparkSession)
-            out = out.checkpoint(eager=True)
+            spark, schema, path = out.sparkSession, out.schema, scratch_path(out.sparkSession, "etl")
+            out.write.parquet(path)
+            out = spark.read.schema(schema).parquet(path)
         out = rebalance(out, category_col, p.majority, p.relabel_n, p.tail_n, p.targets,
                         order_by, key_cols, seed=seed, tail_scope=p.tail_scope,
                         salt_buckets=salt_buckets)

@@ -31,7 +31,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
 
@@ -39,7 +39,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def size_for_input(spark: SparkSession, input_bytes: int,
                    scan_partition_bytes: int = 256 << 20,
                    shuffle_partition_bytes: int = 512 << 20,
-                   max_shuffle_partitions: int = 100_000) -> dict[str, str]:
+                   max_shuffle_partitions: int = 1_000_000) -> dict[str, str]:
     """Size scans and shuffles for an input of ``input_bytes`` (for example
     ``operators.sampling.estimated_bytes(df)`` of the job's source) and
     return the settings made.
@@ -89,9 +89,27 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_made: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the shared checkpoint area."""
-    return f"{checkpoint_root(spark)}/kestrel/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(spark)}/kestrel/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders that this driver handed out, through Hadoop's
+    file system (they may be on HDFS or an object store), and return how many.
+    Call it when the results that read them have been written; DataFrames that
+    are not yet executed may still need them."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    gone = 0
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        gone += bool(path.getFileSystem(conf).delete(path, True))
+    return gone
 
 
 def table_path(sf_dir: str, name: str) -> str:

@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kestrel.functions.times import ntz_as_utc, utc_as_ntz
+
 
 def bucket_rate(df: DataFrame, bucket_col: str = "time_stamp", out_col: str = "rate") -> DataFrame:
     return df.groupBy(bucket_col).agg(F.count(F.col(bucket_col)).alias(out_col))
@@ -27,18 +29,15 @@ def window_rate(df: DataFrame, ts_col: str, duration: str = "10 seconds",
                 start_col: str = "window_start") -> DataFrame:
     """``window_start, rate`` per tumbling window of ``ts_col``.
 
-    A ``timestamp_ntz`` column is read as UTC ``timestamp`` (watermarks need
-    it) and the window start is returned in the input's type.
+    A ``timestamp_ntz`` column is bucketed as it is; the session's zone plays
+    no part.  With a watermark, which needs instants, it is read and written
+    back as UTC.
     """
-    ntz = isinstance(df.schema[ts_col].dataType, T.TimestampNTZType)
     ts = F.col(ts_col)
-    if ntz:
-        ts = ts.cast("timestamp")  # session zone both ways, so it round-trips
-    src = df.select(ts.alias("__ts"))
+    ntz = isinstance(df.schema[ts_col].dataType, T.TimestampNTZType)
+    src = df.select((ntz_as_utc(ts) if ntz and watermark else ts).alias("__ts"))
     if watermark:
         src = src.withWatermark("__ts", watermark)
     agg = src.groupBy(F.window("__ts", duration)).agg(F.count(F.col("__ts")).alias(out_col))
     start = F.col("window.start")
-    if ntz:
-        start = start.cast("timestamp_ntz")
-    return agg.select(start.alias(start_col), out_col)
+    return agg.select((utc_as_ntz(start) if ntz and watermark else start).alias(start_col), out_col)

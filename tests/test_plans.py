@@ -46,16 +46,53 @@ def test_filters_and_columns_reach_the_scan(spark, name, pushed, schema):
         assert re.findall(r"ReadSchema: (struct<[^>]*>)", plan) == [schema]
 
 
-def test_global_cutoff_broadcasts_bounded_tables(spark):
-    """With the pre-filter on, a global top-n joins only bounded tables, by
-    broadcast, and the histograms read the key column alone."""
+def test_global_cutoff_joins_nothing(spark):
+    """A large global top-n is a filter by scalar subqueries, whose histograms
+    read the key column alone."""
     from kestrel.operators.sampling import first_n
     ev = spark.read.parquet(f"{SF}/events.parquet")
     plan = _plan(first_n(ev, 50, ["event_id"], ascending=False, prefilter=True))
-    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    assert "Join" not in plan and "Subquery" in plan
     assert "struct<event_id:bigint>" in plan
 
 
+def _shuffled_rows(spark, df):
+    """Rows written to shuffles by the executed plan, by Spark's own metric."""
+    df.write.format("noop").mode("overwrite").save()
+    df = df.select("*")
+    df.collect()
+    out, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        else:
+            if name == "ShuffleExchangeExec":
+                out += node.metrics().apply("shuffleRecordsWritten").value()
+            kids = node.children()
+            todo += [kids.apply(i) for i in range(kids.size())]
+    return out
+
+
+@pytest.mark.parametrize("keep", [20, 1500])
+def test_cap_values_shuffles_no_full_table(spark, keep):
+    """Small caps are cut in the map tasks, large ones by a broadcast cut."""
+    from pyspark.sql import functions as F
+    from kestrel.operators.sampling import first_n
+    tasks, groups, rows = 6, 5, 60_000
+    df = spark.range(0, rows, numPartitions=tasks).select(
+        "id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 4)).alias("label"))
+    out = first_n(df, keep, ["id"], partition_by=["label"], mantissa_bits=5, sub_bits=5)
+    assert out.count() == groups * keep
+    # two levels of `keep` rows per task or set of tasks and group, or what the cut
+    # leaves plus two histograms
+    histograms = 2 * tasks * groups * 500
+    assert _shuffled_rows(spark, out) <= min(groups * keep * (tasks + 2), 3 * groups * keep + histograms) < rows
+
+
 def test_window_check_detects_unpartitioned_windows(spark):
     from pyspark.sql import Window
     from pyspark.sql import functions as F

@@ -176,3 +176,33 @@ def test_sub_bucket_refines_key_bucket(spark):
             expect = sorted(pairs) if asc else sorted(pairs, reverse=True)
             assert pairs == expect, (m, s, asc)
             assert len(set(pairs)) > len({b for b, _ in pairs})   # it does refine
+
+
+def test_hash_split_is_exact_and_checked(spark):
+    df = spark.range(0, 200_000)
+    got = {r["split"]: r["count"] for r in hash_split(df, [0.00004, 0.99996], ["id"]).groupBy("split").count().collect()}
+    assert 1 <= got["part0"] <= 30 and got["part0"] + got["part1"] == 200_000
+    with pytest.raises(ValueError):
+        hash_split(df, [1, 1, 1], ["id"], names=["a", "b"])
+    three = hash_split(df, [1, 1, 1], ["id"]).groupBy("split").count().collect()
+    assert len(three) == 3 and all(abs(r["count"] - 66_667) < 1500 for r in three)
+
+
+@pytest.mark.parametrize("kind", ["double", "float", "decimal(20,3)", "date", "timestamp", "timestamp_ntz", "string", "long"])
+def test_ordinal_follows_the_sort_order(spark, kind):
+    from kestrel.operators.sampling import ordinal
+    numbers = [0.0, -0.0, 1.0, 0.5, 1.5, 2.0, 1.9999999, -1.0, -3.25, 1e300, -1e300, 1e-310, 3.0, 4.0, 1e10, 123456.789]
+    if kind in ("date", "timestamp", "timestamp_ntz"):
+        values = ["1969-12-31 23:59:59", "1970-01-01 00:00:00", "2024-03-10 02:30:00", "2024-03-10 03:30:00", "1901-01-01 00:00:00"]
+    elif kind == "string":
+        values = ["", "a", "ab", "abcdefgh", "abcdefgi", "b", "é", "\U0001f600", "A"]
+    elif kind == "double":
+        values = [*map(repr, numbers), "NaN", "Infinity", "-Infinity"]
+    else:
+        values = ["0", "1", "-1", "2.5", "1000.125", "-7.5"] if kind != "long" else ["0", "1", "-1", "77"]
+    df = spark.createDataFrame([(v,) for v in [*values, None]], "s string").select(F.col("s").cast(kind).alias("k"))
+    out = [r["o"] for r in df.withColumn("o", ordinal(df, "k")).orderBy("k").collect()]
+    assert out[0] is None and out[1:] == sorted(out[1:])
+    got = first_n(df.withColumn("id", F.monotonically_increasing_id()), 3, ["k", "id"], prefilter=True).select("k").collect()
+    want = df.withColumn("id", F.monotonically_increasing_id()).orderBy("k", "id").limit(3).select("k").collect()
+    assert sorted(map(str, got)) == sorted(map(str, want))

@@ -47,3 +47,15 @@ def label_map_frame(spark: SparkSession, mapping: Mapping[str, Sequence[str]],
                     label_col: str = "label", category_col: str = "category") -> DataFrame:
     """The map as a two-column dimension frame (for very large maps)."""
     return spark.createDataFrame(_pairs(mapping), f"{label_col} string, {category_col} string")
+
+
+def map_categories_join(df: DataFrame, label_col: str, label_map: DataFrame, out_col: str = "category",
+                        drop_unmapped: bool = True, normalize: bool = True) -> DataFrame:
+    """``map_categories`` for a map that is a table (label, category): an
+    equi-join on the normalised label.  Labels of the map must be unique; AQE
+    broadcasts a map that is small by its measured size."""
+    label, category = label_map.columns[:2]
+    key = normalize_label(F.col(label_col)) if normalize else F.col(label_col)
+    side = label_map.select(F.col(label).alias("__label"), F.col(category).alias(out_col))
+    out = df.drop(out_col).withColumn("__label", key).join(side, "__label", "inner" if drop_unmapped else "left")
+    return out.select(*[c for c in df.columns if c != out_col], out_col)

@@ -53,6 +53,9 @@ def parse_delimited(df: DataFrame, value_col: str,
 
 def render_delimited(df: DataFrame, columns: Sequence[str], out_col: str = "value",
                      sep: str = ",", keep: Sequence[str] = ()) -> DataFrame:
-    """Inverse of ``parse_delimited``: one text line per row (NULL -> empty)."""
+    """One text line per row (NULL -> empty), as ``parse_delimited`` reads it.
+    Like the surveyed producer it neither quotes nor escapes: a value that holds
+    ``sep`` shifts the fields after it, so a field with free text goes last, or
+    ``sep`` is one that no value holds."""
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
     return df.select(*[F.col(k) for k in keep], F.concat_ws(sep, *parts).alias(out_col))

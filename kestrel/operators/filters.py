@@ -34,17 +34,18 @@ def exclude_values(df: DataFrame, column: str, values: Sequence, keep_nulls: boo
     return df.where(cond)
 
 
-def drop_nulls(df: DataFrame, column: str) -> DataFrame:
-    return df.where(F.col(column).isNotNull())
+def _value_counts(df: DataFrame, column: str) -> DataFrame:
+    return df.groupBy(column).agg(F.count(F.lit(1)).alias("__n"))
 
 
-def _threshold(df: DataFrame, min_count: int | None, min_share: float | None) -> Column:
+def _threshold(counts: DataFrame, min_count: int | None, min_share: float | None) -> Column:
+    """The least count; a share is of all rows, i.e. of the sum of the counts
+    (a scalar subquery that reuses their exchange, not another scan)."""
     if (min_count is None) == (min_share is None):
         raise ValueError("give exactly one of min_count / min_share")
     if min_count is not None:
         return F.lit(min_count)
-    # a plain row count: partial counts per task, no column read, no regroup
-    return F.lit(float(min_share)) * df.select(F.count(F.lit(1))).scalar()
+    return F.lit(float(min_share)) * counts.agg(F.sum("__n")).scalar()
 
 
 def rare_values(df: DataFrame, column: str, min_count: int | None = None,
@@ -53,20 +54,25 @@ def rare_values(df: DataFrame, column: str, min_count: int | None = None,
 
     Threshold is ``min_count`` rows, or ``min_share`` of all rows (data-scaled).
     The count is a partial (map-side) aggregate, so a hot value costs one row
-    per map task in the shuffle.  The total for ``min_share`` is a scalar
-    subquery (a global row count).
+    per map task in the shuffle.
     """
-    threshold = _threshold(df, min_count, min_share)
-    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("__n"))
-    return counts.where(F.col("__n") < threshold).select(column)
+    counts = _value_counts(df, column)
+    return counts.where(F.col("__n") < _threshold(counts, min_count, min_share)).select(column)
 
 
 _UNHASHABLE = (T.MapType, T.VariantType) if hasattr(T, "VariantType") else (T.MapType,)
 
 
 def _hashable(df: DataFrame) -> list[Column]:
-    """Columns ``xxhash64`` accepts (maps and variants are not)."""
-    return [F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, _UNHASHABLE)]
+    """Columns ``xxhash64`` accepts (maps and variants are not, nor is anything
+    that holds one)."""
+    def ok(kind: T.DataType) -> bool:
+        if isinstance(kind, T.ArrayType):
+            return ok(kind.elementType)
+        if isinstance(kind, T.StructType):
+            return all(ok(f.dataType) for f in kind.fields)
+        return not isinstance(kind, _UNHASHABLE)
+    return [F.col(f.name) for f in df.schema.fields if ok(f.dataType)]
 
 
 def drop_rare_values(df: DataFrame, column: str, min_count: int | None = None,
@@ -92,13 +98,13 @@ def drop_rare_values(df: DataFrame, column: str, min_count: int | None = None,
     if not 1 <= max_heavy <= 1_000_000:
         raise ValueError("max_heavy bounds a broadcast: give 1 to 1,000,000")
     c = F.col(column)
-    threshold = _threshold(df, min_count, min_share)
-    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("__n"))
+    counts = _value_counts(df, column)
+    threshold = _threshold(counts, min_count, min_share)
     # salt 0, written as an expression of the data: a literal would be folded
     # into the join condition and drop the salt from the join keys
     rare = counts.where(F.col("__n") < threshold).select(
         column, (F.col("__n") * F.lit(0)).cast("int").alias("__salt"))
-    total = df.select(F.count(F.lit(1))).scalar()
+    total = counts.agg(F.sum("__n")).scalar()
     heavy = counts.where(c.isNotNull() & (F.col("__n") >= threshold)
                          & (F.col("__n") >= total / F.lit(max_heavy))).select(
         column, F.lit(True).alias("__heavy"))
@@ -122,22 +128,19 @@ def drop_nan_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.where(cond)
 
 
-def invalid_feature_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def invalid_feature_counts(df: DataFrame, columns: Sequence[str],
+                           label_col: str | None = None) -> DataFrame:
     """One row: ``n_rows``, ``n_invalid`` (rows ``drop_nan_rows`` removes)
     and ``invalid_<c>`` per column (rows NULL or NaN in it), all in one
-    aggregate pass, so a caller can report what the skip rule dropped."""
+    aggregate pass, so a caller can report what the skip rule dropped; with
+    ``label_col`` also ``n_null_label``, the rows a fit can't learn from."""
     def bad(c: str) -> Column:
         col = F.col(c)
         return col.isNull() | F.isnan(col.cast("double"))
     any_bad = F.lit(False)
     for c in columns:
         any_bad = any_bad | bad(c)
-    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(any_bad).alias("n_invalid"),
+    label = [F.count_if(F.col(label_col).isNull()).alias("n_null_label")] if label_col else []
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(any_bad).alias("n_invalid"), *label,
                   *[F.count_if(bad(c)).alias(f"invalid_{c}") for c in columns])
 
-
-def collapse_to_binary(column: str, negative) -> Column:
-    """``when(c != negative, 1.0).otherwise(c)``: every non-negative class -> 1.0."""
-    c = F.col(column)
-    return F.when(c != F.lit(negative), F.lit(1.0)).otherwise(c.cast("double"))
-

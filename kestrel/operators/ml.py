@@ -3,8 +3,12 @@
 Faithful defaults: frequency-ordered string indexes (ties alphabetical),
 numeric features only, invalid feature rows skipped, RandomForest defaults.
 
-Invalid (NULL/NaN) feature rows are removed by an explicit per-column filter
-before the assembler rather than by ``VectorAssembler(handleInvalid='skip')``:
+The stages read copies of the feature columns and write columns of their own,
+all named with ``WORK``; scoring drops exactly these, and every column of the
+caller's stays, whatever its name.
+
+Invalid (NULL/NaN) feature rows are handled on these copies (``invalid``) by
+per-column expressions rather than by ``VectorAssembler(handleInvalid='skip')``:
 the latter adds one ``atleastnnonnulls(all features)`` predicate, and when the
 features are parsed expressions (a stream of text lines) Catalyst's constraint
 inference substitutes every alias into it, which grows as 2^columns.  A
@@ -22,11 +26,10 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kestrel.operators.filters import drop_nan_rows
 from kestrel.operators.metrics import binary_metrics
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
@@ -85,30 +88,38 @@ def numeric_feature_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[
             if isinstance(f.dataType, _NUMERIC) and f.name not in ex]
 
 
+WORK = "__ml_"
+_LABEL, _FEATURES = f"{WORK}label", f"{WORK}features"
+_RAW, _INDEX = f"{WORK}raw_", f"{WORK}index_"
+
+
 def build_pipeline(df: DataFrame, label_col: str = "category",
                    categorical: Sequence[str] = ("protocol_type", "service", "flag"),
                    exclude: Sequence[str] = ("attack",),
                    use_categoricals: bool = False, classifier=None,
                    handle_invalid: str = "keep", seed: int = 7) -> Pipeline:
-    """Label indexer, categorical indexers, assembler (skip invalid), classifier.
+    """Label indexer, categorical indexer (if used), assembler, classifier.
 
     With ``use_categoricals`` the indexed columns carry nominal metadata, so
     the forest needs ``maxBins`` at least the largest category count (plus
     the index ``handleInvalid='keep'`` reserves for unseen values).  Those
     counts come from one aggregate over the categorical columns (one row to
-    the driver) and raise the default of 32 where needed."""
+    the driver) and raise the default of 32 where needed.  All categorical
+    columns share one indexer, i.e. one pass."""
     present_cats = [c for c in categorical if c in df.columns]
-    stages = [StringIndexer(inputCol=label_col, outputCol=f"{label_col}_new",
-                            handleInvalid="skip")]
-    stages += [StringIndexer(inputCol=c, outputCol=f"{c}_new", handleInvalid=handle_invalid)
-               for c in present_cats]
-    features = numeric_feature_columns(df, exclude=[label_col, *exclude, *present_cats])
-    if use_categoricals:
-        features += [f"{c}_new" for c in present_cats]
-    stages.append(VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep"))
+    stages = [StringIndexer(inputCol=label_col, outputCol=_LABEL, handleInvalid="skip")]
+    numeric = numeric_feature_columns(df, exclude=[label_col, *exclude, *present_cats])
+    features = [f"{_RAW}{c}" for c in numeric]
+    if use_categoricals and present_cats:
+        indexed = [f"{_INDEX}{c}" for c in present_cats]
+        stages.append(StringIndexer(inputCols=present_cats, outputCols=indexed, handleInvalid=handle_invalid))
+        features += indexed
+    stages.append(VectorAssembler(inputCols=features, outputCol=_FEATURES, handleInvalid="keep"))
     clf = classifier
     if clf is None:
-        clf = RandomForestClassifier(featuresCol="features", labelCol=f"{label_col}_new", seed=seed)
+        clf = RandomForestClassifier(
+            featuresCol=_FEATURES, labelCol=_LABEL, predictionCol=f"{WORK}prediction",
+            probabilityCol=f"{WORK}probability", rawPredictionCol=f"{WORK}raw", seed=seed)
         if use_categoricals and present_cats:
             sizes = df.agg(*[F.count_distinct(c) for c in present_cats]).first()
             clf.setMaxBins(max(clf.getMaxBins(), max(sizes) + 1))
@@ -116,36 +127,69 @@ def build_pipeline(df: DataFrame, label_col: str = "category",
     return Pipeline(stages=stages)
 
 
-def raw_feature_columns(stages) -> list[str]:
-    """Input columns of the assembler that are not produced by an indexer."""
-    assembler = [s for s in stages if isinstance(s, VectorAssembler)][0]
-    return [c for c in assembler.getInputCols() if not c.endswith("_new")]
+def feature_columns(stages) -> list[str]:
+    """The caller's numeric columns that the stages read."""
+    assembler = next(s for s in stages if isinstance(s, VectorAssembler))
+    return [c[len(_RAW):] for c in assembler.getInputCols() if c.startswith(_RAW)]
+
 
+def _check_invalid(invalid: str) -> None:
+    if invalid not in ("skip", "keep", "impute"):
+        raise ValueError(f"invalid is skip, keep or impute, not {invalid!r}")
 
-def skip_invalid(df: DataFrame, stages) -> DataFrame:
-    return drop_nan_rows(df, [c for c in raw_feature_columns(stages) if c in df.columns])
 
+def _invalid(columns: Sequence[str]) -> Column:
+    bad = F.lit(False)
+    for c in columns:
+        bad = bad | F.col(c).isNull() | F.isnan(F.col(c).cast("double"))
+    return bad
 
-def train_model(df: DataFrame, label_col: str = "category", **kw) -> PipelineModel:
+
+def _with_features(df: DataFrame, columns: Sequence[str], invalid: str, fill: float) -> DataFrame:
+    """Add the copies of the feature columns that the assembler reads."""
+    _check_invalid(invalid)
+    clash = [c for c in df.columns if c.startswith(WORK)]
+    if clash:
+        raise ValueError(f"columns named {WORK}... are reserved: {clash}")
+    if invalid == "skip":
+        # one predicate per column (see the module docstring)
+        for c in columns:
+            df = df.where(F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")))
+        return df.withColumns({f"{_RAW}{c}": F.col(c) for c in columns})
+    filled = {f"{_RAW}{c}": F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(float(fill))), F.lit(float(fill)))
+              for c in columns}
+    return df.withColumns(filled | ({f"{WORK}bad": _invalid(columns)} if invalid == "keep" else {}))
+
+
+def train_model(df: DataFrame, label_col: str = "category", invalid: str = "skip", fill: float = 0.0,
+                partitions: int | None = None, **kw) -> PipelineModel:
     """Fit the pipeline.  The fit scans its input several times (one pass per
     indexer, then the forest's setup passes) before the forest caches its own
     binned copy, so only the columns the stages read are persisted for the
     duration of the fit (MEMORY_AND_DISK; a lost block is recomputed from
-    lineage) and released afterwards.
+    lineage) and released afterwards.  The input itself is read once.
+
+    Rows without label can't be learned from and are left out; rows with a
+    NULL or NaN feature are left out too (``invalid`` 'skip' or 'keep') or take
+    ``fill`` for it ('impute'); ``filters.invalid_feature_counts`` reports how
+    many they are.
 
-    Every pass of the fit runs one task per persisted partition.  An input
-    with fewer partitions than the cluster's default parallelism (a single
-    unsplittable file, a gzip log) is spread round-robin before persisting,
-    so the passes use every core; a large input already has many partitions
-    and is persisted as it is, with no extra shuffle."""
+    The forest bootstraps per partition, so its model depends on the input's
+    partitions; give ``partitions`` to fix their number (one shuffle), e.g.
+    for a single unsplittable file."""
     pipeline = build_pipeline(df, label_col=label_col, **kw)
     stages = pipeline.getStages()
-    needed = [label_col] + [s.getInputCol() for s in stages if isinstance(s, StringIndexer)]
-    needed += raw_feature_columns(stages)
-    data = skip_invalid(df, stages).select(*dict.fromkeys(needed))
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if data.rdd.getNumPartitions() < parallelism:
-        data = data.repartition(parallelism)
+    numeric = feature_columns(stages)
+    read = [label_col, *numeric]
+    for s in stages[1:]:
+        if isinstance(s, StringIndexer):
+            read += s.getInputCols()
+    _check_invalid(invalid)
+    data = df.select(*dict.fromkeys(read))
+    data = _with_features(data.where(F.col(label_col).isNotNull()), numeric,
+                          "impute" if invalid == "impute" else "skip", fill)
+    if partitions:
+        data = data.repartition(partitions)
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return pipeline.fit(data)
@@ -161,22 +205,27 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def predict(model: PipelineModel, df: DataFrame, out_col: str = "category",
-            label_col: str = "category") -> DataFrame:
-    """Score, decode the index back to the label string, drop working columns.
+def predict(model: PipelineModel, df: DataFrame, out_col: str = "category", invalid: str = "skip",
+            fill: float = 0.0) -> DataFrame:
+    """``df`` with the predicted label in ``out_col`` (replaced if there).
 
-    If the input already carries ``label_col``, the label indexer is skipped
-    (the model's first stage) so scoring works on labelled and unlabelled data
-    alike; the decoded prediction goes to ``out_col`` (replacing it).
+    The label indexer (the model's first stage) is not run, so labelled and
+    unlabelled rows are scored alike.  Rows with a NULL or NaN feature are left
+    out ('skip'), stay with a NULL prediction ('keep'), or are scored with
+    ``fill`` in its place ('impute'); ``filters.invalid_feature_counts`` over
+    ``feature_columns(model.stages)`` reports how many they are.
     """
     stages = model.stages
-    label_indexer = stages[0]
-    scorer = PipelineModel(stages=stages[1:])
-    scored = scorer.transform(skip_invalid(df.drop(out_col), stages))
-    decoded = IndexToString(inputCol="prediction", outputCol=out_col,
-                            labels=label_indexer.labels).transform(scored)
-    work = [c for c in decoded.columns if c.endswith("_new")]
-    return decoded.drop(*work, "features", "rawPrediction", "probability", "prediction")
+    numeric = feature_columns(stages)
+    rows = df if out_col in numeric else df.drop(out_col)
+    scored = PipelineModel(stages=stages[1:]).transform(_with_features(rows, numeric, invalid, fill))
+    prediction, label = stages[-1].getPredictionCol(), f"{WORK}predicted"
+    decoded = IndexToString(inputCol=prediction, outputCol=label, labels=stages[0].labels).transform(scored)
+    value = F.col(label)
+    if invalid == "keep":
+        value = F.when(~F.col(f"{WORK}bad"), value)
+    names = [c for c in rows.columns if c != out_col]
+    return decoded.select(*[F.col(f"`{c}`") for c in names], value.alias(out_col))
 
 
 def holdout_metrics(df: DataFrame, label_col: str = "category", negative: str = "normal",
@@ -201,6 +250,5 @@ def holdout_metrics(df: DataFrame, label_col: str = "category", negative: str =
     else:
         train, valid = df.randomSplit([train_fraction, 1 - train_fraction], seed=seed)
     model = train_model(train, label_col=label_col, seed=seed, **kw)
-    scored = predict(model, valid.withColumnRenamed(label_col, "__truth"),
-                     out_col="__pred", label_col=label_col)
+    scored = predict(model, valid.withColumnRenamed(label_col, "__truth"), out_col="__pred")
     return binary_metrics(scored, "__pred", "__truth", negative)

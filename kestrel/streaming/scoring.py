@@ -20,7 +20,7 @@ def parse_stream_lines(lines: DataFrame, fields: Sequence[tuple[str, T.DataType]
 
 
 def score_stream(model: PipelineModel, rows: DataFrame, out_col: str = "category",
-                 label_col: str = "category") -> DataFrame:
+                 invalid: str = "skip") -> DataFrame:
     """Model transform on a streaming frame (a stateless projection chain);
     unseen categorical values are kept by the indexers instead of failing."""
-    return predict(model, rows, out_col=out_col, label_col=label_col)
+    return predict(model, rows, out_col=out_col, invalid=invalid)

@@ -163,3 +163,21 @@ def test_invalid_feature_counts_match_the_skip_rule(spark):
     r = invalid_feature_counts(df, ["a", "b"]).first()
     assert (r["n_rows"], r["n_invalid"], r["invalid_a"], r["invalid_b"]) == (6, 4, 3, 2)
     assert drop_nan_rows(df, ["a", "b"]).count() == r["n_rows"] - r["n_invalid"]
+
+
+def test_rare_values_keep_equal_and_feature_columns(spark):
+    from kestrel.operators import feature_columns, keep_equal, rare_values
+    df = spark.createDataFrame([(x, 1) for x in "aaaaabbc"], "k string, n int")
+    assert [r["k"] for r in rare_values(df, "k", min_count=2).collect()] == ["c"]
+    assert sorted(r["k"] for r in rare_values(df, "k", min_share=0.3).collect()) == ["b", "c"]
+    assert keep_equal(df, "k", "b").count() == 2
+    assert feature_columns(df, ["n", "absent"]) == ["k"]
+
+
+def test_rows_with_nested_maps_can_be_salted(spark):
+    from pyspark.sql import functions as F
+    from kestrel.operators.filters import drop_rare_values
+    df = spark.range(50).select((F.col("id") % 3).cast("string").alias("k"),
+                                F.array(F.create_map(F.lit("a"), F.col("id"))).alias("m"),
+                                F.struct(F.create_map(F.lit("a"), F.col("id")).alias("m")).alias("s"))
+    assert drop_rare_values(df, "k", min_count=17).count() == 34

@@ -36,12 +36,43 @@ def use_rocksdb_state(spark) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
+def _path(spark, path: str, delete: bool = False):
+    """(Hadoop file system, path); optionally removed."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if delete:
+        fs.delete(where, True)
+    return fs, where
+
+
+def versions(spark, out_path: str) -> list[int]:
+    """Completely written versions of a replaced result, oldest first."""
+    fs, where = _path(spark, out_path)
+    if not fs.exists(where):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(where)]
+    whole = [n for n in names if n.startswith("version=")
+             and fs.exists(_path(spark, f"{out_path}/{n}/_SUCCESS")[1])]
+    return sorted(int(n.split("=")[1]) for n in whole)
+
+
+def read_current(spark, out_path: str) -> DataFrame:
+    """The last complete result that ``run_complete_overwrite`` wrote."""
+    found = versions(spark, out_path)
+    if not found:
+        raise FileNotFoundError(f"no complete version under {out_path}")
+    return spark.read.parquet(f"{out_path}/version={found[-1]}")
+
+
 def run_complete_overwrite(agg: DataFrame, out_path: str, checkpoint: str,
                            available_now: bool = True, processing_time: str | None = None,
                            writer: Callable[[DataFrame, str], None] | None = None,
                            timeout: float | None = None, state_store: str | None = None):
     """Complete-mode aggregate; each micro-batch replaces the whole result
-    (naturally idempotent).  ``writer(df, path)`` may target JDBC instead.
+    (naturally idempotent).  A batch is written to a folder of its own,
+    ``out_path/version=<batch id>``, so a reader never meets a half-written or
+    missing result: read it with ``read_current``.  The version before the
+    last is removed.  ``writer(df, path)`` may target a table instead.
 
     ``state_store='rocksdb'`` selects the RocksDB state store (see
     ``use_rocksdb_state``) for aggregates keyed by something that grows with
@@ -57,7 +88,9 @@ def run_complete_overwrite(agg: DataFrame, out_path: str, checkpoint: str,
         if writer is not None:
             writer(batch, out_path)
         else:
-            batch.write.mode("overwrite").parquet(out_path)
+            batch.write.mode("overwrite").parquet(f"{out_path}/version={batch_id}")
+            for old in versions(batch.sparkSession, out_path)[:-2]:
+                _path(batch.sparkSession, f"{out_path}/version={old}", delete=True)
 
     w = agg.writeStream.outputMode("complete").foreachBatch(write).option(
         "checkpointLocation", checkpoint)
@@ -71,11 +104,16 @@ def run_complete_overwrite(agg: DataFrame, out_path: str, checkpoint: str,
 
 def run_append_by_batch(rows: DataFrame, out_path: str, checkpoint: str,
                         available_now: bool = True, processing_time: str | None = None,
-                        timeout: float | None = None):
+                        timeout: float | None = None,
+                        writer: Callable[[DataFrame, str, int], None] | None = None):
     """Stateless stream appended per micro-batch, partitioned by ``batch_id``;
     a replayed batch overwrites only its own partition (dynamic partition
-    overwrite), so output is exactly-once."""
+    overwrite), so output is exactly-once.  ``writer(df, path, batch_id)`` may
+    append to a table instead; it can use the batch id to skip a replay."""
     def write(batch: DataFrame, batch_id: int) -> None:
+        if writer is not None:
+            writer(batch, out_path, batch_id)
+            return
         (batch.withColumn("batch_id", F.lit(batch_id))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(out_path))

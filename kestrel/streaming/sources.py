@@ -6,8 +6,6 @@ so untested here); file sources exercise the same downstream code in tests.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,7 +37,9 @@ def parquet_table_stream(spark: SparkSession, path: str, max_files_per_trigger:
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    if path.endswith(".parquet") and os.path.isfile(path):
-        d, name = os.path.split(path)
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.getFileStatus(where).isFile():
+        d, _, name = path.rpartition("/")
         return r.option("pathGlobFilter", name).parquet(d)
     return r.parquet(path)

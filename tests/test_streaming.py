@@ -4,6 +4,7 @@ import os
 import random
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,7 +14,7 @@ from kestrel.schemas import CONNECTION_SCHEMA, STREAM_FIELDS
 from kestrel.session import scratch_path
 from kestrel.streaming.rate import bucket_rate, window_rate
 from kestrel.streaming.scoring import parse_stream_lines, score_stream
-from kestrel.streaming.sinks import run_append_by_batch, run_complete_overwrite
+from kestrel.streaming.sinks import read_current, run_append_by_batch, run_complete_overwrite, versions
 from kestrel.streaming.sources import text_lines_stream
 
 
@@ -50,7 +51,7 @@ def test_bucket_rate_two_batches(spark):
     out = scratch_path(spark, "t-rate")
     q = run_complete_overwrite(agg, out, scratch_path(spark, "t-rate-ckpt"))
     assert q.lastProgress is not None
-    got = {r["time_stamp"]: r["rate"] for r in spark.read.parquet(out).collect()}
+    got = {r["time_stamp"]: r["rate"] for r in read_current(spark, out).collect()}
     assert got == {1: 2, 2: 2, 3: 1, None: 0}
 
 
@@ -65,7 +66,7 @@ def test_window_rate_stream_equals_batch(spark):
     out = scratch_path(spark, "t-win")
     run_complete_overwrite(window_rate(stream, "ts", "10 seconds", watermark="1 minute"), out,
                            scratch_path(spark, "t-win-ckpt"))
-    got = {r["window_start"]: r["rate"] for r in spark.read.parquet(out).collect()}
+    got = {r["window_start"]: r["rate"] for r in read_current(spark, out).collect()}
     assert got == batch and sum(got.values()) == 50
 
 
@@ -136,7 +137,7 @@ def test_rate_state_in_rocksdb_restarts(spark):
         agg = bucket_rate(parse_delimited(lines, "value", [("x", T.StringType()),
                                                            ("time_stamp", T.IntegerType())]))
         run_complete_overwrite(agg, out, ckpt, state_store="rocksdb")
-        return {r["time_stamp"]: r["rate"] for r in spark.read.parquet(out).collect()}
+        return {r["time_stamp"]: r["rate"] for r in read_current(spark, out).collect()}
 
     keys = ("spark.sql.streaming.stateStore.providerClass",
             "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled")
@@ -155,3 +156,52 @@ def test_rate_state_in_rocksdb_restarts(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Kolkata", "America/New_York"])
+def test_window_rate_does_not_depend_on_the_session_zone(spark, zone):
+    """Half-hour offsets and the hours around a clock change."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        times = ["2024-03-10 01:30:00", "2024-03-10 02:30:00", "2024-03-10 03:30:00", "2024-11-03 01:10:00",
+                 "2024-11-03 01:50:00", "1969-12-31 23:59:59.999999"]
+        df = spark.createDataFrame([(t,) for t in times], "t string").select(F.to_timestamp_ntz("t").alias("ts"))
+        want = {"2024-03-10 01:00:00": 1, "2024-03-10 02:00:00": 1, "2024-03-10 03:00:00": 1,
+                "2024-11-03 01:00:00": 2, "1969-12-31 23:00:00": 1}
+        for watermark in (None, "1 hour"):
+            got = {str(r["window_start"]): r["rate"] for r in window_rate(df, "ts", "1 hour", watermark).collect()}
+            assert got == want
+            assert window_rate(df, "ts", "1 hour", watermark).schema["window_start"].dataType == T.TimestampNTZType()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_replaced_results_switch_versions(spark):
+    d = tempfile.mkdtemp(prefix="kestrel-versions-")
+    out, ckpt = scratch_path(spark, "t-versions"), scratch_path(spark, "t-versions-ckpt")
+    with pytest.raises(FileNotFoundError):
+        read_current(spark, out)
+    for k in range(4):
+        with open(os.path.join(d, f"{k}.txt"), "w") as f:
+            f.write("x\n" * (k + 1))
+        run_complete_overwrite(text_lines_stream(spark, d).groupBy("value").count(), out, ckpt)
+        assert read_current(spark, out).first()["count"] == sum(range(1, k + 2))
+    assert versions(spark, out) == [2, 3]
+
+
+def test_append_sink_takes_a_table_writer(spark):
+    d = tempfile.mkdtemp(prefix="kestrel-writer-")
+    with open(os.path.join(d, "a.txt"), "w") as f:
+        f.write("x\ny\n")
+    seen = []
+    run_append_by_batch(text_lines_stream(spark, d), "a table", scratch_path(spark, "t-writer-ckpt"),
+                        writer=lambda df, path, batch: seen.append((path, batch, sorted(r[0] for r in df.collect()))))
+    assert seen == [("a table", 0, ["x", "y"])]
+
+
+def test_clear_scratch_removes_what_was_made(spark):
+    from kestrel.session import clear_scratch
+    spark.range(3).write.parquet(path := scratch_path(spark, "t-clear"))
+    assert os.path.isdir(path.removeprefix("file:"))
+    assert clear_scratch(spark) >= 1 and not os.path.isdir(path.removeprefix("file:"))

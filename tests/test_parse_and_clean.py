@@ -166,12 +166,23 @@ def test_invalid_feature_counts_match_the_skip_rule(spark):
 
 
 def test_rare_values_keep_equal_and_feature_columns(spark):
-    from kestrel.operators import feature_columns, keep_equal, rare_values
+    from kestrel.operators import collapse_to_binary, drop_nulls, feature_columns, keep_equal, rare_values
     df = spark.createDataFrame([(x, 1) for x in "aaaaabbc"], "k string, n int")
     assert [r["k"] for r in rare_values(df, "k", min_count=2).collect()] == ["c"]
     assert sorted(r["k"] for r in rare_values(df, "k", min_share=0.3).collect()) == ["b", "c"]
     assert keep_equal(df, "k", "b").count() == 2
     assert feature_columns(df, ["n", "absent"]) == ["k"]
+    nums = spark.createDataFrame([(0.0,), (2.0,), (None,)], "c double")
+    assert [r[0] for r in nums.select(collapse_to_binary("c", 0.0)).collect()] == [0.0, 1.0, None]
+    assert drop_nulls(nums, "c").count() == 2
+
+
+def test_write_parquet_and_single_csv_round_trip(spark, tmp_path):
+    from kestrel.sources import write_parquet
+    df = spark.createDataFrame([(1, "a"), (2, None)], "x int, y string")
+    write_parquet(df, f"{tmp_path}/t")
+    write_parquet(df, f"{tmp_path}/t")
+    assert sorted(spark.read.parquet(f"{tmp_path}/t").collect(), key=str) == sorted(df.collect(), key=str)
 
 
 def test_rows_with_nested_maps_can_be_salted(spark):

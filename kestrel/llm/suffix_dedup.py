@@ -13,10 +13,10 @@ are first dealt out such that equal windows meet:
    by hash only (``announce``, ``shared_anchors``); one that occurs in a single
    document can't be in a repeat.
 2. For the anchors that several documents have, the segments' bytes are shipped
-   (``offer``) to the anchor's bucket.  Equal segments inside one task's chunk
-   are settled there and then: all but the smallest id are repeats, and only
-   the smallest travels.  An anchor in any share of all documents so reaches
-   its bucket at most once per chunk and distinct segment.
+   (``offer``) to the anchor's bucket.  Equal segments that one task holds at a
+   time (``HELD_BYTES``) are settled there and then: all but the smallest id
+   are repeats, and only the smallest travels.  An anchor in any share of all
+   documents so reaches its bucket once per such portion and distinct segment.
 3. In a bucket (``settle``), equal segments of different documents are settled
    likewise; the suffixes of what is left are sorted by hash-compared mergesort
    (see ``suffixes``), neighbours whose common extension reaches ``window``
@@ -39,17 +39,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.llm.scratch import written
-from kestrel.llm.suffixes import PrefixHashes, equal_groups, same_bytes, segments, sort_suffixes
-from kestrel.llm.text import CHUNK_BYTES, chunks
+from kestrel.llm.suffixes import PrefixHashes, equal_groups, same_bytes, segments, sliding_minimum, sort_suffixes
+from kestrel.llm.text import chunks, mix
 
 WINDOW, GRAM = 50, 20
 #: text that one bucket stands for, in the two shuffles
 ANCHOR_BUCKET_BYTES = 64 << 20
 SEGMENT_BUCKET_BYTES = 4 << 20
+#: text worked on at a time, segments held back before they are shipped, and
+#: windows sorted at a time (more only if one anchor has more)
+CHUNK_BYTES, HELD_BYTES, SORTED_WINDOWS = 1 << 20, 6 << 20, 1 << 18
 _LAST = np.iinfo(np.int64).max        # stands for a missing id
 _MANY = np.iinfo(np.int64).min        # an anchor that several documents of a chunk have
 
@@ -68,7 +72,7 @@ def _unpack(data: bytes, n: int, *kinds: str) -> list[np.ndarray]:
 def _pieces(batch: pa.RecordBatch, window: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, int]]:
     """(rows, bytes, offsets, first byte): a text longer than a chunk comes in
     pieces that overlap by ``window - 1`` bytes."""
-    for part, buf, off in chunks(batch):
+    for part, buf, off in chunks(batch, max_bytes=CHUNK_BYTES):
         if part.num_rows > 1 or len(buf) <= CHUNK_BYTES + window:
             yield part, buf, off, 0
             continue
@@ -97,13 +101,14 @@ def _keys(anchor: np.ndarray) -> np.ndarray:
     return (anchor >> np.uint64(16)).astype(np.int64)
 
 
-_ANNOUNCED = "bucket int, n int, keys binary, rows binary"
+_ANNOUNCED = "bucket int, known boolean, n int, keys binary, rows binary"
 
 
 def _announce(window: int, n_buckets: int):
     """rid, text -> per chunk and bucket the anchors with the row that has them
-    (``_MANY`` for several); in bucket -1 the rows of the latter."""
+    (``_MANY`` for several, whose rows follow as ``known`` to share)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn = 0
         for batch in batches:
             for part, buf, off, _ in _pieces(batch, window):
                 anchor, _, _, doc = segments(buf, off, window, GRAM, PrefixHashes(buf))
@@ -116,23 +121,25 @@ def _announce(window: int, n_buckets: int):
                 size = _sizes(head, len(key))
                 many = row[head] != row[head + size - 1]
                 of_many = np.repeat(many, size)
-                out = [(-1, key[of_many], row[of_many])] if of_many.any() else []
+                out = [(turn % n_buckets, True, key[of_many], row[of_many])] if of_many.any() else []
+                turn += 1
                 key, row = key[head], np.where(many, _MANY, row[head])
                 bucket = key % n_buckets
                 order = np.lexsort((row, bucket))
                 key, row, bucket = key[order], row[order], bucket[order]
                 at = _heads(bucket)
                 for a, b in zip(at, at + _sizes(at, len(bucket))):
-                    out.append((int(bucket[a]), key[a:b], row[a:b]))
+                    out.append((int(bucket[a]), False, key[a:b], row[a:b]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([o[0] for o in out], pa.int32()), pa.array([len(o[1]) for o in out], pa.int32()),
-                     pa.array([_pack(o[1].astype("<i8").view(np.uint8).reshape(-1, 8)[:, :6]) for o in out], pa.binary()),
-                     pa.array([_pack(np.diff(o[2], prepend=o[2].dtype.type(0))) for o in out], pa.binary())],
-                    names=["bucket", "n", "keys", "rows"])
+                    [pa.array([o[0] for o in out], pa.int32()), pa.array([o[1] for o in out]),
+                     pa.array([len(o[2]) for o in out], pa.int32()),
+                     pa.array([_pack(o[2].astype("<i8").view(np.uint8).reshape(-1, 8)[:, :6]) for o in out], pa.binary()),
+                     pa.array([_pack(np.diff(o[3], prepend=o[3].dtype.type(0))) for o in out], pa.binary())],
+                    names=["bucket", "known", "n", "keys", "rows"])
     return run
 
 
-def _announced(table: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+def _announced(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     keys, rows = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for n, k, r in zip(*(table.column(c).to_pylist() for c in ("n", "keys", "rows"))):
         wide = np.zeros((n, 8), np.uint8)
@@ -144,32 +151,28 @@ def _announced(table: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray
 
 
 def _shared(table: pa.Table) -> pa.Table:
-    """(rid, key) for the anchors of a bucket that more than one entry has."""
-    key, row = _announced(table)
+    """(rid, key) for the anchors of a bucket that more than one entry has, and
+    for those known to be shared."""
+    known = table.column("known")
+    key, row = _announced(table.filter(pc.invert(known)))
     order = np.argsort(key)
     key, row = key[order], row[order]
     head = _heads(key)
     several = np.repeat(_sizes(head, len(key)) > 1, _sizes(head, len(key))) if len(head) else np.zeros(0, bool)
     take = several & (row != _MANY)
-    return pa.table({"rid": row[take], "key": key[take]})
+    more_key, more_row = _announced(table.filter(known))
+    return pa.table({"rid": np.concatenate((row[take], more_row)), "key": np.concatenate((key[take], more_key))})
 
 
 def shared_anchors(base: DataFrame, window: int, n_buckets: int) -> DataFrame:
     """(rid, keys): the anchors of each row that other rows have too."""
-    announced = written(base.select("rid", "text").mapInArrow(_announce(window, n_buckets), _ANNOUNCED), "anchors")
-
-    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            key, row = _announced(batch)
-            yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(key)], names=["rid", "key"])
-
-    across = announced.where("bucket >= 0").groupBy("bucket").applyInArrow(_shared, "rid long, key long")
-    inside = announced.where("bucket < 0").mapInArrow(known, "rid long, key long")
-    return across.union(inside).groupBy("rid").agg(F.collect_list("key").alias("keys"))
+    return (base.select("rid", "text").mapInArrow(_announce(window, n_buckets), _ANNOUNCED)
+            .groupBy("bucket").applyInArrow(_shared, "rid long, key long")
+            .groupBy("rid").agg(F.collect_list("key").alias("keys")))
 
 
 _OFFERED = "bucket int, n int, size long, meta binary, body binary"
-_META = ("<u8", "<i4", "<i8", "<i8", "<i8")       # anchor, length, rid, id, start
+_META = ("<i4", "<i8", "<i8", "<i8")             # length, rid, id, start
 _SPAN = ("<i8", "<i8", "<i8", "<i8")              # rid, id, start, end
 
 
@@ -201,51 +204,54 @@ def _merged(rid: np.ndarray, ident: np.ndarray, start: np.ndarray, end: np.ndarr
 
 
 def _offer(window: int, n_buckets: int):
-    """doc_id, rid, text, keys -> per chunk and bucket the segments of shared
+    """doc_id, rid, text, keys -> per portion and bucket the segments of shared
     anchors; a row without ``size`` holds spans that are settled already."""
+    kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
+
+    def portion(held: list[tuple], turn: int) -> pa.RecordBatch:
+        buf, bucket, whole, length, rid, ident, at = (np.concatenate(x) for x in zip(*held))
+        start = np.cumsum(length) - length
+        order = np.lexsort((ident, length, whole))
+        head = _heads(whole[order], length[order])
+        lead = np.empty(len(order), np.int64)
+        lead[order] = np.repeat(order[head], _sizes(head, len(order)))
+        later = np.flatnonzero(ident > ident[lead])
+        later = later[same_bytes(buf, start[later], start[lead[later]], length[later])]
+        out = []
+        if len(later):
+            spans = _merged(rid[later], ident[later], at[later], (at + length)[later])
+            out.append((turn % n_buckets, len(spans[0]), None, _pack(*[s.astype("<i8") for s in spans]), None))
+        stay = np.ones(len(bucket), bool)
+        stay[later] = False
+        stay = np.flatnonzero(stay)
+        stay = stay[np.argsort(bucket[stay], kind="stable")]
+        edge = _heads(bucket[stay])
+        for a, b in zip(edge, edge + _sizes(edge, len(stay))):
+            some = stay[a:b]
+            body = _gather(buf, start[some], length[some])
+            out.append((int(bucket[some[0]]), len(some), len(body),
+                        _pack(length[some].astype("<i4"), rid[some], ident[some], at[some]), _pack(body)))
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)],
+                                          names=["bucket", "n", "size", "meta", "body"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        turn = 0
+        held, size, turn = [], 0, 0
         for batch in batches:
             for part, buf, off, base in _pieces(batch, window):
                 hashes = PrefixHashes(buf)
-                anchor, start, size, doc = segments(buf, off, window, GRAM, hashes)
-                wanted = np.unique(part.column(3).flatten().to_numpy())
-                take = np.flatnonzero(np.isin(_keys(anchor), wanted))
+                anchor, start, windows, doc = segments(buf, off, window, GRAM, hashes)
+                take = np.flatnonzero(np.isin(_keys(anchor), np.unique(part.column(3).flatten().to_numpy())))
                 if not len(take):
                     continue
-                anchor, start, doc = anchor[take], start[take], doc[take]
-                length = size[take] + window - 1
-                ident, rid = _ids(part)[doc], part.column(1).to_numpy()[doc]
-                whole = hashes.of(start, length)
-                order = np.lexsort((ident, length, whole))
-                anchor, start, doc, length, ident, rid, whole = (
-                    x[order] for x in (anchor, start, doc, length, ident, rid, whole))
-                head = _heads(whole, length)
-                lead = np.repeat(head, _sizes(head, len(whole)))
-                later = np.flatnonzero(ident > ident[lead])
-                later = later[same_bytes(buf, start[later], start[lead[later]], length[later])]
-                at = start - off[doc] + base
-                out = []
-                if len(later):
-                    spans = _merged(rid[later], ident[later], at[later], (at + length)[later])
-                    out.append((turn % n_buckets, len(spans[0]), None, _pack(*[s.astype("<i8") for s in spans]), None))
-                    turn += 1
-                stay = np.ones(len(anchor), bool)
-                stay[later] = False
-                anchor, start, length, rid, ident, at = (x[stay] for x in (anchor, start, length, rid, ident, at))
-                bucket = (_keys(anchor) % n_buckets)
-                order = np.lexsort((start, bucket))
-                anchor, start, length, rid, ident, at, bucket = (
-                    x[order] for x in (anchor, start, length, rid, ident, at, bucket))
-                edge = _heads(bucket)
-                for a, b in zip(edge, edge + _sizes(edge, len(bucket))):
-                    body = _gather(buf, start[a:b], length[a:b])
-                    meta = _pack(anchor[a:b].astype("<u8"), length[a:b].astype("<i4"), rid[a:b].astype("<i8"),
-                                 ident[a:b].astype("<i8"), at[a:b].astype("<i8"))
-                    out.append((int(bucket[a]), int(b - a), len(body), meta, _pack(body)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
-                    names=["bucket", "n", "size", "meta", "body"])
+                start, doc, length = start[take], doc[take], windows[take] + window - 1
+                held.append((_gather(buf, start, length), _keys(anchor[take]) % n_buckets, hashes.of(start, length),
+                             length, part.column(1).to_numpy()[doc], _ids(part)[doc], start - off[doc] + base))
+                size += len(held[-1][0])
+                if size >= HELD_BYTES:
+                    yield portion(held, turn)
+                    held, size, turn = [], 0, turn + 1
+        if held:
+            yield portion(held, turn)
     return run
 
 
@@ -267,11 +273,12 @@ def _settle(window: int):
     return run
 
 
-def _repeats(buf: np.ndarray, anchor: np.ndarray, length: np.ndarray, rid: np.ndarray, ident: np.ndarray,
+def _repeats(buf: np.ndarray, length: np.ndarray, rid: np.ndarray, ident: np.ndarray,
              at: np.ndarray, window: int) -> list[list[np.ndarray]]:
     length = length.astype(np.int64)
     start = np.cumsum(length) - length
     hashes = PrefixHashes(buf)
+    anchor = sliding_minimum(mix(hashes.sliding(GRAM)), window - GRAM + 1)[start]
     whole = hashes.of(start, length)
     order = np.lexsort((ident, length, whole, anchor))
     anchor, length, rid, ident, at, start, whole = (x[order] for x in (anchor, length, rid, ident, at, start, whole))
@@ -287,40 +294,62 @@ def _repeats(buf: np.ndarray, anchor: np.ndarray, length: np.ndarray, rid: np.nd
     group = _heads(anchor[cls])
     in_group = _sizes(group, len(cls))
     cls = cls[np.repeat(in_group > 1, in_group)]
-    if not len(cls):
-        return out
+    group = _heads(anchor[cls])
     n_win = length[cls] - window + 1
+    weight = np.add.reduceat(n_win, group) if len(group) else n_win
+    batch = np.cumsum(weight) // SORTED_WINDOWS
+    edge = np.append(group[_heads(batch)], len(cls))
+    found = [_class_repeats(hashes, start, ident, anchor, cls[a:b], n_win[a:b], window) for a, b in zip(edge, edge[1:])]
+    found = [f for f in found if len(f[0])]
+    if not found:
+        return out
+    c, lo, hi = (np.concatenate(x) for x in zip(*found))
+    # a class's spans in each place of its smallest id
+    place = np.flatnonzero(ident == ident[lead])
+    place = place[np.argsort(lead[place], kind="stable")]
+    begin, stop = np.searchsorted(lead[place], c, "left"), np.searchsorted(lead[place], c, "right")
+    k = stop - begin
+    each = np.repeat(np.arange(len(c)), k)
+    who = place[np.repeat(begin - (np.cumsum(k) - k), k) + np.arange(int(k.sum()))]
+    out.append([rid[who], ident[who], at[who] + lo[each], at[who] + hi[each]])
+    return out
+
+
+def _class_repeats(hashes: PrefixHashes, start: np.ndarray, ident: np.ndarray, anchor: np.ndarray,
+                   cls: np.ndarray, n_win: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(class, from, to): the spans of each class's segment whose windows a
+    smaller id has too, in a segment of the same anchor."""
     first = np.cumsum(n_win) - n_win
     total = int(n_win.sum())
-    owner = np.repeat(np.arange(len(cls)), n_win)
-    suffix = np.repeat(start[cls] - first, n_win) + np.arange(total)
+    owner = np.repeat(np.arange(len(cls), dtype=np.int32), n_win)
+    suffix = (np.repeat(start[cls] - first, n_win) + np.arange(total)).astype(np.int32)
+    # a window that comes again in its own segment (a text like "ha ha ha") is sorted once
+    whole = hashes.of(suffix, window)
+    key = mix(whole ^ (owner.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+    once, of_once = np.unique(key, return_index=True, return_inverse=True)[1:]
+    again = np.flatnonzero(once[of_once] != np.arange(total))
+    as_one = once[of_once[again]]
+    alike = (owner[again] == owner[as_one]).all() and same_bytes(
+        hashes.buf, suffix[again].astype(np.int64), suffix[as_one].astype(np.int64), np.full(len(again), window)).all()
+    if not alike:                 # a collision: sort every window
+        once, of_once = np.arange(total), np.arange(total)
     label = np.zeros(len(cls), np.int64)
     label[_heads(anchor[cls])] = 1
-    label = np.cumsum(label)[owner]
-    order = sort_suffixes(hashes, suffix, label, window)
-    run = equal_groups(hashes, suffix, label, order, window)
-    edge = _heads(run)
-    smallest = np.minimum.reduceat(ident[cls][owner[order]], edge)
-    repeat = np.zeros(total, bool)
-    repeat[order] = ident[cls][owner[order]] > smallest[run]
-    # neighbouring repeated windows of a class -> spans in each of its places
-    hit = np.flatnonzero(repeat)
-    if not len(hit):
-        return out
+    label = np.cumsum(label)[owner[once]]
+    by_label = np.argsort(label, kind="stable")
+    suffixes, label, smallest_id = suffix[once][by_label].astype(np.int64), label[by_label], ident[cls][owner[once]][by_label]
+    order = sort_suffixes(hashes, suffixes, label, window)
+    run = equal_groups(hashes, suffixes, label, order, window)
+    smallest = np.minimum.reduceat(smallest_id[order], _heads(run))
+    repeat = np.zeros(len(once), bool)
+    repeat[by_label[order]] = smallest_id[order] > smallest[run]
+    hit = np.flatnonzero(repeat[of_once])
     new = np.ones(len(hit), bool)
     new[1:] = (hit[1:] != hit[:-1] + 1) | (owner[hit][1:] != owner[hit][:-1])
     a = np.flatnonzero(new)
     b = a + _sizes(a, len(hit)) - 1
     c = owner[hit[a]]
-    lo, hi = hit[a] - first[c], hit[b] - first[c] + window
-    place = np.flatnonzero((ident == ident[lead]) & np.isin(lead, cls))
-    place = place[np.argsort(lead[place], kind="stable")]
-    begin, stop = np.searchsorted(lead[place], cls[c], "left"), np.searchsorted(lead[place], cls[c], "right")
-    k = stop - begin
-    each = np.repeat(np.arange(len(c)), k)
-    who = place[np.repeat(begin - (np.cumsum(k) - k), k) + np.arange(int(k.sum()))]
-    out.append([rid[who], ident[who], at[who] + lo[each], at[who] + hi[each]])
-    return out
+    return cls[c], hit[a] - first[c], hit[b] - first[c] + window
 
 
 _RESULT = "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary"
@@ -332,7 +361,7 @@ def _cut() :
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, buf, off in chunks(batch):
+            for part, buf, off in chunks(batch, max_bytes=CHUNK_BYTES):
                 ident = _ids(part)
                 col = part.column(3)
                 edge = np.concatenate(([0], np.cumsum(np.nan_to_num(

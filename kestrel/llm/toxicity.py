@@ -111,7 +111,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample_docs: int) -> Dat
 
 
 def fit_model(rows: list[np.ndarray], y: np.ndarray, groups: Sequence[Sequence[str]] = IDENTITY_TERMS,
-              fairness: float = 5.0, ridge: float = 2e-5, least_z: float = 4.0, max_words: int = MAX_WORDS,
+              fairness: float = 5.0, ridge: float = 1e-6, least_z: float = 7.0, max_words: int = MAX_WORDS,
               steps: int = 25) -> Model | None:
     """Logistic regression on the selected words by Newton steps, with the
     counterfactual penalty."""

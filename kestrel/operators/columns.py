@@ -9,6 +9,7 @@ per column reaches the driver, a size bounded by the schema, not the data.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -76,16 +77,27 @@ def drop_constant_columns(df: DataFrame, null_is_value: bool = True,
 
 def column_distinct_counts(df: DataFrame, columns: Sequence[str] | None = None,
                            null_is_value: bool = True, approx: bool = False,
-                           rsd: float = 0.05) -> DataFrame:
-    """Long form ``column_name, n_distinct`` in one aggregate.
+                           rsd: float = 0.05, columns_per_pass: int = 8) -> DataFrame:
+    """Long form ``column_name, n_distinct``.
 
     Exact mode uses ``count(DISTINCT c)`` per column, which Spark plans as one
-    Expand + two-level aggregate (shuffle ~ rows x columns).  ``approx=True``
-    uses HyperLogLog++ sketches merged map-side: one scan, tiny shuffle, the
-    form to use on very large tables.  With ``null_is_value`` a NULL present
-    counts as one more value, as ``SELECT DISTINCT c`` would.
+    Expand + two-level aggregate (shuffle ~ rows x columns).  The columns are
+    therefore taken ``columns_per_pass`` at a time: each pass reads only its
+    columns and shuffles at most that many rows per input row.
+    ``approx=True`` uses HyperLogLog++ sketches merged map-side: one scan and a
+    shuffle of one row per task, the form to use on very large tables (100 TB).
+    With ``null_is_value`` a NULL present counts as one more value, as
+    ``SELECT DISTINCT c`` would.
     """
     cols = list(columns) if columns else df.columns
+    step = len(cols) if approx else max(1, columns_per_pass)
+    parts = [_distinct_pass(df, cols[i:i + step], null_is_value, approx, rsd)
+             for i in range(0, len(cols), max(1, step))]
+    return reduce(DataFrame.union, parts)
+
+
+def _distinct_pass(df: DataFrame, cols: Sequence[str], null_is_value: bool, approx: bool,
+                   rsd: float) -> DataFrame:
     aggs = []
     for i, c in enumerate(cols):
         d = F.approx_count_distinct(F.col(c), rsd) if approx else F.count_distinct(F.col(c))

@@ -154,6 +154,8 @@ def _cutoff_filter(df: DataFrame, n: int, key: str, ascending: bool, mantissa_bi
     ``BROADCAST_MAX_ROWS`` of them are broadcast, so that no full row is
     shuffled.  Beyond that it is a shuffle join.
     """
+    if not 1 <= mantissa_bits <= 20 or not 1 <= (sub_bits or 1) <= 20:
+        raise ValueError("mantissa_bits and sub_bits bound the histograms: give 1 to 20")
     gnames = list(groups)
     code = ordinal(df, key)
     rows = df.withColumns({"__b": key_bucket(code, ascending, mantissa_bits),

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kestrel.functions.categorize import category_of, map_categories
-from kestrel.functions.hashing import hash_key, hash_pick
+from kestrel.functions.hashing import hash_key
 from kestrel.functions.parse import bytes_to_string, parse_delimited, render_delimited
 from kestrel.functions.text import strip_chars
 from kestrel.operators.columns import (column_distinct_counts, column_profile,
@@ -572,7 +572,7 @@ def csv_roundtrip_q(spark, sf_dir):
     path = scratch_path(spark, "orders-csv")
     fmt = "yyyy-MM-dd HH:mm:ss.SSSSSS"
     write_csv(o, path, compression="gzip", timestampNTZFormat=fmt)
-    return read_csv(spark, path, o.schema, timestampNTZFormat=fmt)
+    return read_csv(spark, path, o.schema, repartition=4, timestampNTZFormat=fmt)
 
 
 # ---------------------------------------------------------------- ML

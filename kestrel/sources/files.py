@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kestrel.schemas import CONNECTION_SCHEMA, LEDGER_SCHEMA
+from kestrel.session import cached
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | str,
@@ -52,7 +53,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool =
 
 
 def write_single_csv(df: DataFrame, path: str, header: bool = True,
-                     order_by: list[str] | None = None) -> None:
+                     order_by: list[str] | None = None, max_rows: int = 1_000_000) -> None:
     """A small report (e.g. counts per label) as ONE headed CSV file, rows in
     ``order_by`` order.
 
@@ -60,12 +61,17 @@ def write_single_csv(df: DataFrame, path: str, header: bool = True,
     ``coalesce(1)``: coalesce is a narrow dependency and would pull the
     aggregate's final stage into the single task too, while the extra shuffle
     moves only the aggregated rows.  The order is set inside that one
-    partition, since a shuffle drops any earlier sort.
+    partition, since a shuffle drops any earlier sort.  More than ``max_rows``
+    rows are an error: one task would have to write them all.
     """
-    one = df.repartition(1)
-    if order_by:
-        one = one.sortWithinPartitions(*order_by)
-    one.write.mode("overwrite").option("header", header).csv(path)
+    with cached(df):
+        n = df.count()
+        if n > max_rows:
+            raise ValueError(f"{n} rows for one file; write_csv writes many, or raise max_rows")
+        one = df.repartition(1)
+        if order_by:
+            one = one.sortWithinPartitions(*order_by)
+        one.write.mode("overwrite").option("header", header).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",

@@ -3,7 +3,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from kestrel.plans.etl import PRESETS, prepare
 from kestrel.schemas import CONNECTION_SCHEMA, RELABEL_TARGETS

@@ -3,6 +3,7 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from kestrel.functions.categorize import category_of, map_categories
@@ -178,7 +179,11 @@ def test_rare_values_keep_equal_and_feature_columns(spark):
 
 
 def test_write_parquet_and_single_csv_round_trip(spark, tmp_path):
-    from kestrel.sources import write_parquet
+    from kestrel.sources import write_parquet, write_single_csv
+    with pytest.raises(ValueError):
+        write_single_csv(spark.range(5), f"{tmp_path}/many", max_rows=4)
+    write_single_csv(spark.range(5), f"{tmp_path}/few", order_by=["id"], max_rows=5)
+    assert [r[0] for r in spark.read.option("header", True).csv(f"{tmp_path}/few").collect()] == list("01234")
     df = spark.createDataFrame([(1, "a"), (2, None)], "x int, y string")
     write_parquet(df, f"{tmp_path}/t")
     write_parquet(df, f"{tmp_path}/t")

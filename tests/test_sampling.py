@@ -2,13 +2,12 @@
 
 import random
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from kestrel.functions.hashing import hash_key
-from kestrel.operators.sampling import (cap_value, cap_values, first_n, hash_split, last_n,
-                                        rebalance, relabel_first)
+from kestrel.operators.sampling import (cap_value, cap_values, first_n, hash_split, rebalance,
+                                        relabel_first)
 
 
 def _skewed(spark, n=3000, seed=1):

@@ -205,3 +205,21 @@ def test_clear_scratch_removes_what_was_made(spark):
     spark.range(3).write.parquet(path := scratch_path(spark, "t-clear"))
     assert os.path.isdir(path.removeprefix("file:"))
     assert clear_scratch(spark) >= 1 and not os.path.isdir(path.removeprefix("file:"))
+
+
+def test_timeout_leaves_the_query_running(spark):
+    d = tempfile.mkdtemp(prefix="kestrel-timeout-")
+    with open(os.path.join(d, "a.txt"), "w") as f:
+        f.write("x\n")
+    out = scratch_path(spark, "t-timeout")
+    for run in (lambda: run_append_by_batch(text_lines_stream(spark, d), out, scratch_path(spark, "t-timeout-ckpt"),
+                                            available_now=False, processing_time="100 milliseconds", timeout=4),
+                lambda: run_complete_overwrite(text_lines_stream(spark, d).groupBy("value").count(), f"{out}-all",
+                                               scratch_path(spark, "t-timeout-ckpt2"), available_now=False,
+                                               processing_time="100 milliseconds", timeout=6)):
+        q = run()
+        try:
+            assert q.isActive
+        finally:
+            q.stop()
+    assert spark.read.parquet(out).count() == 1 and read_current(spark, f"{out}-all").first()["count"] == 1

@@ -202,16 +202,17 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, steps: int = 150, ridge
                 x = features(buf, off)
                 at = [np.flatnonzero(r) for r in x]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(posterior[np.searchsorted(codes, code)]), pa.array(at, pa.list_(pa.int16())),
-                     pa.array([r[i] for r, i in zip(x, at)], pa.list_(pa.float32()))], names=["p", "at", "x"])
+                    [pa.array(posterior[np.searchsorted(codes, code)]),
+                     pa.array([i.astype(np.int16).tobytes() for i in at], pa.binary()),
+                     pa.array([r[i].tobytes() for r, i in zip(x, at)], pa.binary())], names=["p", "at", "x"])
 
     rows = (docs.select("text").where("text <> ''").where(unit)
-            .mapInArrow(run, "p double, at array<short>, x array<float>").limit(sample_docs).collect())
+            .mapInArrow(run, "p double, at binary, x binary").limit(sample_docs).collect())
     if not rows:
         return None
     x = np.zeros((len(rows), 1 << BITS), np.float32)
     for i, r in enumerate(rows):
-        x[i, r[1]] = r[2]
+        x[i, np.frombuffer(r[1], np.int16)] = np.frombuffer(r[2], np.float32)
     y = np.array([r[0] for r in rows])
     w, b = np.zeros(x.shape[1], np.float32), 0.0
     v, c, t = w.copy(), b, 1.0

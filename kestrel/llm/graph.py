@@ -20,28 +20,32 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("low"))
         out = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
-    else:
-        down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        low = down.groupBy("a").agg(F.min("b").alias("low"))
-        out = (down.join(low, "a")
-               .select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("low").alias("b")),
-                                         F.struct(F.col("a"), F.col("low").alias("b")))).alias("e"))
-               .select("e.a", "e.b"))
+        return out.where("a <> b")
+    down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    low = down.groupBy("a").agg(F.min("b").alias("low"))
+    out = (down.join(low, "a")
+           .select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("low").alias("b")),
+                                     F.struct(F.col("a"), F.col("low").alias("b")))).alias("e"))
+           .select("e.a", "e.b"))
     return out.where("a <> b").distinct()
 
 
+def _is_star_forest(links: DataFrame) -> bool:
+    """Whether every node points to one other node at most, and to none that
+    points on (one aggregate)."""
+    ends = (links.select(F.col("a").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("target"))
+            .union(links.select("b", F.lit(0), F.lit(1))))
+    node = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("target").alias("target"))
+    return node.where("out > 1 or (out = 1 and target = 1)").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root): every node that has a link, with the smallest node that it
     reaches.  ``links`` has bigint columns a, b; direction and repeats don't
     matter; loops and nulls are ignored.  No links give no rows."""
-    links = written(links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
+    links = written(links.select(F.greatest("a", "b").cast("long").alias("a"), F.least("a", "b").cast("long").alias("b"))
                     .where("a <> b").distinct(), "links")
-    state = None
-    while True:
-        mark = links.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if tuple(mark) == state or mark[0] == 0:
-            break
-        state = tuple(mark)
+    while not _is_star_forest(links):
         links = written(_star(_star(links, True), False), "links")
     roots = links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return links.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)

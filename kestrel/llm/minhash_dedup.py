@@ -40,7 +40,7 @@ from kestrel.llm.scratch import written
 from kestrel.llm.text import chunks, mix, per_document, shingles, words
 
 BLOCK_ROWS = 512
-#: so many ids and text hashes (16 bytes each) may be broadcast
+#: so many ids and text hashes (16 bytes each), or pairs of them, may be broadcast
 BROADCAST_IDS = 200_000
 _K1, _K2 = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 
@@ -192,6 +192,8 @@ def confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Data
     pairs = written(pairs, "pairs")
     ends = pairs.select(F.col("a").alias("id"), F.col("ta").alias("t")).union(pairs.select("b", "tb"))
     text = _texts(docs, ends)
+    if pairs.count() <= BROADCAST_IDS:
+        pairs = F.broadcast(pairs)
     left = text.toDF("a", "ta", "text_a")
     right = text.toDF("b", "tb", "text_b")
     return (pairs.join(left, ["a", "ta"]).join(right, ["b", "tb"])

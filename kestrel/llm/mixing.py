@@ -32,7 +32,7 @@ from kestrel.llm.scratch import written
 WORD = r"[^\x20\x09-\x0D]+"
 KEY_BITS = 60
 #: rows of one key range; a range is what one task sorts
-ROWS_PER_RANGE = 2048
+ROWS_PER_RANGE = 512
 #: a table of source cuts up to this many rows is broadcast (about 100 bytes a row)
 BROADCAST_SOURCES = 100_000
 

@@ -70,7 +70,7 @@ def test_size_for_input(spark):
         par = spark.sparkContext.defaultParallelism
         assert size_for_input(spark, 10 << 20)["spark.sql.shuffle.partitions"] == str(par)
         big = size_for_input(spark, 100 << 40)                  # 100 TiB
-        assert big["spark.sql.shuffle.partitions"] == "100000"
+        assert big["spark.sql.shuffle.partitions"] == "204800"   # one per 512 MiB, not capped
         mid = size_for_input(spark, 1 << 40)                    # 1 TiB -> 2048 x 512 MiB
         assert spark.conf.get("spark.sql.shuffle.partitions") == "2048"
         assert mid["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(256 << 20)

@@ -15,13 +15,17 @@ are first dealt out such that equal windows meet:
 2. For the anchors that several documents have, the segments' bytes are shipped
    (``offer``) to the anchor's bucket.  Equal segments that one task holds at a
    time (``HELD_BYTES``) are settled there and then: all but the smallest id
-   are repeats, and only the smallest travels.  An anchor in any share of all
-   documents so reaches its bucket once per such portion and distinct segment.
+   are repeats, and only the smallest travels.  An anchor with more than
+   ``HOT_WINDOWS`` windows (a common line among different texts) has no bucket
+   of its own: its segments are taken apart, and each window goes to the bucket
+   of its hash, where equal windows meet.  Equal windows of a portion are
+   settled as equal segments are, so any window, in any share of all documents,
+   reaches its bucket once per portion.
 3. In a bucket (``settle``), equal segments of different documents are settled
    likewise; the suffixes of what is left are sorted by hash-compared mergesort
    (see ``suffixes``), neighbours whose common extension reaches ``window``
    bytes form groups, confirmed byte by byte, and every window that a smaller
-   id has too is a repeat.
+   id has too is a repeat.  Windows of hot anchors are grouped by their bytes.
 4. Repeats go back to their documents as spans, and the bytes are cut out.
 
 All steps take bounded memory: long documents are worked through in overlapping
@@ -52,8 +56,11 @@ WINDOW, GRAM = 50, 20
 ANCHOR_BUCKET_BYTES = 64 << 20
 SEGMENT_BUCKET_BYTES = 4 << 20
 #: text worked on at a time, segments held back before they are shipped, and
-#: windows sorted at a time (more only if one anchor has more)
+#: windows sorted at a time (an anchor has fewer)
 CHUNK_BYTES, HELD_BYTES, SORTED_WINDOWS = 1 << 20, 6 << 20, 1 << 18
+#: an anchor with more windows is hot; hot anchors are listed on the driver, 8
+#: bytes for at least so many windows
+HOT_WINDOWS = 1 << 16
 _LAST = np.iinfo(np.int64).max        # stands for a missing id
 _MANY = np.iinfo(np.int64).min        # an anchor that several documents of a chunk have
 
@@ -101,41 +108,44 @@ def _keys(anchor: np.ndarray) -> np.ndarray:
     return (anchor >> np.uint64(16)).astype(np.int64)
 
 
-_ANNOUNCED = "bucket int, known boolean, n int, keys binary, rows binary"
+_ANNOUNCED = "bucket int, known boolean, n int, keys binary, rows binary, windows binary"
 
 
 def _announce(window: int, n_buckets: int):
     """rid, text -> per chunk and bucket the anchors with the row that has them
-    (``_MANY`` for several, whose rows follow as ``known`` to share)."""
+    (``_MANY`` for several, whose rows follow as ``known`` to share) and the
+    number of their windows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turn = 0
         for batch in batches:
             for part, buf, off, _ in _pieces(batch, window):
-                anchor, _, _, doc = segments(buf, off, window, GRAM, PrefixHashes(buf))
+                anchor, _, n_win, doc = segments(buf, off, window, GRAM, PrefixHashes(buf))
                 key, row = _keys(anchor), part.column(0).to_numpy()[doc]
                 order = np.lexsort((row, key))
-                key, row = key[order], row[order]
+                key, row, n_win = key[order], row[order], n_win[order]
                 head = _heads(key)
                 if not len(head):
                     continue
                 size = _sizes(head, len(key))
                 many = row[head] != row[head + size - 1]
                 of_many = np.repeat(many, size)
-                out = [(turn % n_buckets, True, key[of_many], row[of_many])] if of_many.any() else []
+                out = [(turn % n_buckets, True, key[of_many], row[of_many], None)] if of_many.any() else []
                 turn += 1
+                n_win = np.add.reduceat(n_win, head).astype("<i4")       # at most a chunk's bytes
                 key, row = key[head], np.where(many, _MANY, row[head])
                 bucket = key % n_buckets
                 order = np.lexsort((row, bucket))
-                key, row, bucket = key[order], row[order], bucket[order]
+                key, row, n_win, bucket = key[order], row[order], n_win[order], bucket[order]
                 at = _heads(bucket)
                 for a, b in zip(at, at + _sizes(at, len(bucket))):
-                    out.append((int(bucket[a]), False, key[a:b], row[a:b]))
+                    out.append((int(bucket[a]), False, key[a:b], row[a:b], _pack(n_win[a:b])))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([o[0] for o in out], pa.int32()), pa.array([o[1] for o in out]),
                      pa.array([len(o[2]) for o in out], pa.int32()),
                      pa.array([_pack(o[2].astype("<i8").view(np.uint8).reshape(-1, 8)[:, :6]) for o in out], pa.binary()),
-                     pa.array([_pack(np.diff(o[3], prepend=o[3].dtype.type(0))) for o in out], pa.binary())],
-                    names=["bucket", "known", "n", "keys", "rows"])
+                     pa.array([_pack(np.diff(o[3], prepend=o[3].dtype.type(0))) for o in out], pa.binary()),
+                     pa.array([o[4] for o in out], pa.binary())],
+                    names=["bucket", "known", "n", "keys", "rows", "windows"])
     return run
 
 
@@ -150,28 +160,38 @@ def _announced(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(keys), np.concatenate(rows)
 
 
-def _shared(table: pa.Table) -> pa.Table:
+def _shared(hot_windows: int):
     """(rid, key) for the anchors of a bucket that more than one entry has, and
-    for those known to be shared."""
-    known = table.column("known")
-    key, row = _announced(table.filter(pc.invert(known)))
-    order = np.argsort(key)
-    key, row = key[order], row[order]
-    head = _heads(key)
-    several = np.repeat(_sizes(head, len(key)) > 1, _sizes(head, len(key))) if len(head) else np.zeros(0, bool)
-    take = several & (row != _MANY)
-    more_key, more_row = _announced(table.filter(known))
-    return pa.table({"rid": np.concatenate((row[take], more_row)), "key": np.concatenate((key[take], more_key))})
-
-
-def shared_anchors(base: DataFrame, window: int, n_buckets: int) -> DataFrame:
-    """(rid, keys): the anchors of each row that other rows have too."""
+    for those known to be shared; hot anchors also come without rid."""
+    def run(table: pa.Table) -> pa.Table:
+        known = table.column("known")
+        first = table.filter(pc.invert(known))
+        key, row = _announced(first)
+        n_win = np.concatenate([np.zeros(0, np.int64), *(
+            _unpack(w, n, "<i4")[0] for n, w in zip(*(first.column(c).to_pylist() for c in ("n", "windows"))))])
+        order = np.argsort(key)
+        key, row, n_win = key[order], row[order], n_win[order].astype(np.int64)
+        head = _heads(key)
+        size = _sizes(head, len(key))
+        several = np.repeat(size > 1, size)
+        take = several & (row != _MANY)
+        hot = key[head][np.add.reduceat(n_win, head) > hot_windows] if len(head) else key
+        more_key, more_row = _announced(table.filter(known))
+        rid = np.concatenate((row[take], more_row, np.zeros(len(hot), np.int64)))
+        none = np.arange(len(rid)) >= len(rid) - len(hot)
+        return pa.table({"rid": pa.array(rid, mask=none), "key": np.concatenate((key[take], more_key, hot))})
+    return run
+
+
+def shared_anchors(base: DataFrame, window: int, n_buckets: int, hot_windows: int = HOT_WINDOWS) -> DataFrame:
+    """(rid, keys): the anchors of each row that other rows have too; the row
+    without rid has the hot ones."""
     return (base.select("rid", "text").mapInArrow(_announce(window, n_buckets), _ANNOUNCED)
-            .groupBy("bucket").applyInArrow(_shared, "rid long, key long")
+            .groupBy("bucket").applyInArrow(_shared(hot_windows), "rid long, key long")
             .groupBy("rid").agg(F.collect_list("key").alias("keys")))
 
 
-_OFFERED = "bucket int, n int, size long, meta binary, body binary"
+_OFFERED = "bucket int, n int, size long, meta binary, body binary, hot boolean"
 _META = ("<i4", "<i8", "<i8", "<i8")             # length, rid, id, start
 _SPAN = ("<i8", "<i8", "<i8", "<i8")              # rid, id, start, end
 
@@ -203,13 +223,45 @@ def _merged(rid: np.ndarray, ident: np.ndarray, start: np.ndarray, end: np.ndarr
     return [rid[at], ident[at], start[at], reach[last]]
 
 
-def _offer(window: int, n_buckets: int):
+def _hot_windows(buf: np.ndarray, start: np.ndarray, length: np.ndarray, rid: np.ndarray, ident: np.ndarray,
+                 at: np.ndarray, window: int) -> tuple[list[np.ndarray], np.ndarray, list[np.ndarray], np.ndarray]:
+    """Segments taken apart: (settled, hash, spans, bytes).  Of equal windows
+    the places of larger ids are settled; the others' places in a row, joined
+    where they touch, are the spans of one window."""
+    body = _gather(buf, start, length)
+    hashes = PrefixHashes(body)
+    n_win = length - window + 1
+    each = np.repeat(np.arange(len(n_win)), n_win)
+    skip = np.arange(len(each)) - np.repeat(np.cumsum(n_win) - n_win, n_win)
+    pos = np.repeat(np.cumsum(length) - length, n_win) + skip
+    whole = hashes.of(pos, window)
+    order = np.lexsort((rid[each], ident[each], whole))
+    each, skip, pos, whole = each[order], skip[order], pos[order], whole[order]
+    row, who, begin = rid[each], ident[each], at[each] + skip
+    head = _heads(whole)
+    lead = np.repeat(head, _sizes(head, len(whole)))
+    same = same_bytes(body, pos, pos[lead], np.full(len(pos), window))
+    later = same & (who > who[lead])
+    settled = _merged(row[later], who[later], begin[later], begin[later] + window)
+    stay = np.flatnonzero(~later)
+    alone = np.where(same[stay], 0, stay)                   # a hash collision stands alone
+    order = np.lexsort((begin[stay], alone, row[stay], who[stay], whole[stay]))
+    stay, alone = stay[order], alone[order]
+    head = _heads(whole[stay], who[stay], row[stay], alone)
+    group = np.repeat(np.arange(len(head)), _sizes(head, len(stay)))
+    group, ids, begin, end = _merged(group, who[stay], begin[stay], begin[stay] + window)
+    one = stay[head[group]]
+    return settled, whole[one], [row[one], ids, begin, end], body[pos[one][:, None] + np.arange(window)]
+
+
+def _offer(window: int, n_buckets: int, hot: np.ndarray):
     """doc_id, rid, text, keys -> per portion and bucket the segments of shared
-    anchors; a row without ``size`` holds spans that are settled already."""
-    kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
+    anchors and the windows of ``hot`` ones; a row without ``size`` holds spans
+    that are settled already."""
+    kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.bool_())
 
     def portion(held: list[tuple], turn: int) -> pa.RecordBatch:
-        buf, bucket, whole, length, rid, ident, at = (np.concatenate(x) for x in zip(*held))
+        buf, key, whole, length, rid, ident, at = (np.concatenate(x) for x in zip(*held))
         start = np.cumsum(length) - length
         order = np.lexsort((ident, length, whole))
         head = _heads(whole[order], length[order])
@@ -218,21 +270,39 @@ def _offer(window: int, n_buckets: int):
         later = np.flatnonzero(ident > ident[lead])
         later = later[same_bytes(buf, start[later], start[lead[later]], length[later])]
         out = []
-        if len(later):
-            spans = _merged(rid[later], ident[later], at[later], (at + length)[later])
-            out.append((turn % n_buckets, len(spans[0]), None, _pack(*[s.astype("<i8") for s in spans]), None))
-        stay = np.ones(len(bucket), bool)
+
+        def settle(spans: list[np.ndarray]) -> None:
+            if len(spans[0]):
+                out.append((turn % n_buckets, len(spans[0]), None, _pack(*[s.astype("<i8") for s in spans]), None, False))
+
+        settle(_merged(rid[later], ident[later], at[later], (at + length)[later]))
+        stay = np.ones(len(key), bool)
         stay[later] = False
-        stay = np.flatnonzero(stay)
+        apart = np.isin(key, hot) & stay
+        apart, stay = np.flatnonzero(apart), np.flatnonzero(stay & ~apart)
+        bucket = key % n_buckets
         stay = stay[np.argsort(bucket[stay], kind="stable")]
         edge = _heads(bucket[stay])
         for a, b in zip(edge, edge + _sizes(edge, len(stay))):
             some = stay[a:b]
             body = _gather(buf, start[some], length[some])
             out.append((int(bucket[some[0]]), len(some), len(body),
-                        _pack(length[some].astype("<i4"), rid[some], ident[some], at[some]), _pack(body)))
+                        _pack(length[some].astype("<i4"), rid[some], ident[some], at[some]), _pack(body), False))
+        apart = apart[np.argsort(key[apart], kind="stable")]     # equal windows mostly come in the same turn
+        edge = _heads((np.cumsum(length[apart] - window + 1) - 1) // SORTED_WINDOWS)
+        for a, b in zip(edge, edge + _sizes(edge, len(apart))):
+            some = apart[a:b]
+            spans, hashed, places, body = _hot_windows(buf, *(x[some] for x in (start, length, rid, ident, at)), window)
+            settle(spans)
+            to = (mix(hashed) % np.uint64(n_buckets)).astype(np.int64)
+            order = np.argsort(to, kind="stable")
+            first = _heads(to[order])
+            for c, d in zip(first, first + _sizes(first, len(to))):
+                mine = order[c:d]
+                out.append((int(to[mine[0]]), len(mine), len(mine) * window,
+                            _pack(*[p[mine].astype("<i8") for p in places]), _pack(body[mine]), True))
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)],
-                                          names=["bucket", "n", "size", "meta", "body"])
+                                          names=["bucket", "n", "size", "meta", "body", "hot"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, turn = [], 0, 0
@@ -244,7 +314,7 @@ def _offer(window: int, n_buckets: int):
                 if not len(take):
                     continue
                 start, doc, length = start[take], doc[take], windows[take] + window - 1
-                held.append((_gather(buf, start, length), _keys(anchor[take]) % n_buckets, hashes.of(start, length),
+                held.append((_gather(buf, start, length), _keys(anchor[take]), hashes.of(start, length),
                              length, part.column(1).to_numpy()[doc], _ids(part)[doc], start - off[doc] + base))
                 size += len(held[-1][0])
                 if size >= HELD_BYTES:
@@ -256,18 +326,27 @@ def _offer(window: int, n_buckets: int):
 
 
 def _settle(window: int):
-    """A bucket's segments -> spans (rid, id, start, end) that repeat."""
+    """A bucket's segments and windows -> spans (rid, id, start, end) that repeat."""
     def run(table: pa.Table) -> pa.Table:
         done: list[list[np.ndarray]] = []
-        metas, bodies = [], []
-        for n, size, meta, body in zip(*(table.column(c).to_pylist() for c in ("n", "size", "meta", "body"))):
+        metas, bodies, places, windows = [], [], [], []
+        for n, size, meta, body, hot in zip(*(table.column(c).to_pylist() for c in ("n", "size", "meta", "body", "hot"))):
             if size is None:
                 done.append(_unpack(meta, n, *_SPAN))
+            elif hot:
+                places.append(_unpack(meta, n, *_SPAN))
+                windows.append(_unpack(body, size, "u1")[0])
             else:
                 metas.append(_unpack(meta, n, *_META))
                 bodies.append(_unpack(body, size, "u1")[0])
         if metas:
             done += _repeats(np.concatenate(bodies), *(np.concatenate(m) for m in zip(*metas)), window)
+        if places:
+            spans = [np.concatenate(p) for p in zip(*places)]
+            of = np.unique(np.concatenate(windows).view(f"V{window}"), return_inverse=True)[1]
+            smallest = np.full(int(of.max()) + 1, _LAST)
+            np.minimum.at(smallest, of, spans[1])
+            done.append([s[spans[1] > smallest[of]] for s in spans])
         spans = [np.concatenate(s) for s in zip(*done)] if done else [np.zeros(0, np.int64)] * 4
         return pa.table(dict(zip(("rid", "id", "start", "end"), _merged(*spans))))
     return run
@@ -387,21 +466,29 @@ def _cut() :
     return run
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def offered(base: DataFrame, window: int = WINDOW, hot_windows: int = HOT_WINDOWS) -> DataFrame:
+    """The buckets of ``base`` (doc_id, rid, text): its packed segments and
+    windows of anchors that several rows have."""
+    n_bytes = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    least = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    anchors = shared_anchors(base, window, max(least, n_bytes // ANCHOR_BUCKET_BYTES), hot_windows)
+    anchors = written(anchors, "shared-anchors")
+    hot = anchors.where("rid is null").first()
+    hot = np.unique(np.array(hot["keys"] if hot else [], np.int64))
+    n_buckets = max(least, n_bytes // SEGMENT_BUCKET_BYTES)
+    return (base.join(anchors, "rid").select("doc_id", "rid", "text", "keys")
+            .mapInArrow(_offer(window, n_buckets, hot), _OFFERED))
+
+
+def remove_repeats(docs: DataFrame, window: int = WINDOW, hot_windows: int = HOT_WINDOWS) -> DataFrame:
     """(doc_id, n_bytes, n_removed, spans, kept) per row of ``docs`` (doc_id,
     text): bytes of the text, bytes removed, the maximal removed spans, and the
     remaining bytes."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.xxhash64("doc_id", F.col("doc_id").isNull(), "text").alias("rid"),
                        F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    n_bytes = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    anchors = shared_anchors(base, window, max(least, n_bytes // ANCHOR_BUCKET_BYTES))
-    anchors = written(anchors, "shared-anchors")
-    n_buckets = max(least, n_bytes // SEGMENT_BUCKET_BYTES)
     # base is shuffled by rid once: both joins read the same exchange
-    spans = (base.join(anchors, "rid").select("doc_id", "rid", "text", "keys")
-             .mapInArrow(_offer(window, n_buckets), _OFFERED)
+    spans = (offered(base, window, hot_windows)
              .groupBy("bucket").applyInArrow(_settle(window), "rid long, id long, start long, end long")
              .groupBy("rid").agg(F.collect_list(F.struct("id", "start", "end")).alias("spans")))
     return (base.join(spans, "rid", "left").select("doc_id", "rid", "text", "spans")

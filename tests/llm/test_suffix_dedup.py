@@ -64,6 +64,38 @@ def test_empty_table(spark):
     assert suffix_dedup.remove_repeats(documents(spark, [])).collect() == []
 
 
+HOT_LINE = "== all rights reserved 2024 =="
+
+
+def test_a_hot_line_has_no_bucket_of_its_own(spark):
+    assert len(HOT_LINE) == 30
+    texts = [f"{prose(k, 12)} {HOT_LINE if k % 3 == 0 else ''} {prose(k + 5000, 12)}" for k in range(900)]
+    docs = documents(spark, texts)
+    base = docs.selectExpr("doc_id", "xxhash64(doc_id, text) rid", "cast(text as binary) text")
+    rows = suffix_dedup.offered(base, hot_windows=256).collect()
+    assert any(r.hot for r in rows)
+    line, of_line = HOT_LINE.encode(), {}
+    for r in (r for r in rows if r["size"] is not None):
+        meta = suffix_dedup._unpack(r.meta, r.n, *(suffix_dedup._SPAN if r.hot else suffix_dedup._META))
+        body = suffix_dedup._unpack(r.body, r["size"], "u1")[0].tobytes()
+        length = [50] * r.n if r.hot else meta[0].tolist()
+        ends = np.cumsum(length).tolist()
+        of_line[r.bucket] = of_line.get(r.bucket, 0) + sum(line in body[e - k:e] for e, k in zip(ends, length))
+    # every bucket has a share; before, all windows of an anchor went to one
+    total = sum(of_line.values())
+    assert total > 900 and max(of_line.values()) < total / 4
+    assert order(result(suffix_dedup.remove_repeats(docs, hot_windows=256))) == order(brute_force(list(enumerate(texts))))
+
+
+@pytest.mark.parametrize("hot_windows", [0, 40])
+def test_hot_anchors_of_odd_documents(spark, hot_windows):
+    blank, ha = " " * 3000, "ha " * 700
+    rows = [*enumerate(odd_texts()), (50, blank), (51, blank[:200] + "x" + blank), (51, ha), (52, "b" + ha), (None, ha),
+            (None, blank), (7, blank[:60] + ha), *[(60 + k, prose(k, 9) + HOT_LINE * 3 + prose(k // 3, 9)) for k in range(40)]]
+    docs = documents(spark, [t for _, t in rows], ids=[i for i, _ in rows])
+    assert order(result(suffix_dedup.remove_repeats(docs, hot_windows=hot_windows))) == order(brute_force(rows))
+
+
 def test_query_on_the_small_table(spark):
     sf = "/root/testdata/sf0.001"
     got = [tuple(r[c] for c in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"))

@@ -9,8 +9,9 @@ next stage's documents.  All but the last return the columns of ``documents``.
    shingles, similarity 0.8).
 3. ``decontaminate``: documents that contain a benchmark item go.
 4. ``secrets``: live-looking credentials are replaced in the text.
-5. ``mix``: what each document contributes to the mix; documents that
-   contribute no words go.
+5. ``mix``: the mix, a row per epoch of a document; the document at a source's
+   cut keeps its first words in its last epoch; documents that contribute no
+   words go.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs).where("taken > 0")
+    return mixing.make_mix(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -10,6 +10,7 @@ The prefix sums are two-level: every source is cut into ranges of the key
 are accumulated, and only then are the rows inside each range summed.  What
 comes out is one small *cut* per source, so the texts themselves are never
 shuffled: ``mix`` reads them once more and compares their key with the cut.
+``make_mix`` repeats and cuts the documents accordingly.
 
 Defined results: a null text has size 0 and is taken 0 times; a null source is
 a source of its own, sorted last; empty input gives an empty result; rows that
@@ -30,6 +31,7 @@ from kestrel.llm.prefix import running_sums
 from kestrel.llm.scratch import written
 
 WORD = r"[^\x20\x09-\x0D]+"
+GAP_AND_WORD = r"[\x20\x09-\x0D]*" + WORD
 KEY_BITS = 60
 #: rows of one key range; a range is what one task sorts
 ROWS_PER_RANGE = 512
@@ -134,3 +136,22 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
     return (placed.join(cuts, ["__nosrc", "__src"])
             .withColumn("taken", (F.col("__epochs") * F.col("size") + rest).cast("long"))
             .select(*names, "size", "source_size", "target", "taken"))
+
+
+def make_mix(docs: DataFrame, **options) -> DataFrame:
+    """The mix itself: a row per ``epoch`` (from 1) in which ``mix`` takes a
+    document, with ``taken`` the words of that row.  The last epoch of the
+    document at the cut has its granted first words as ``text``, and ``n_chars``,
+    if there, counted again."""
+    names = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken", "epoch")]
+    rows = (mix(docs.select(*names), **options).where("taken > 0")
+            .withColumn("epoch", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("taken") / F.col("size")))))
+            .withColumn("taken", F.least(F.col("size"), F.col("taken") - (F.col("epoch") - 1) * F.col("size"))))
+    cut = F.col("taken") < F.col("size")
+    first = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(GAP_AND_WORD), F.lit(0)), F.lit(1),
+                                 F.col("taken").cast("int")), "")
+    rows = rows.withColumn("text", F.when(cut, first).otherwise(F.col("text")))
+    if "n_chars" in names:
+        rows = rows.withColumn("n_chars", F.when(cut, F.length("text").cast(docs.schema["n_chars"].dataType))
+                               .otherwise(F.col("n_chars")))
+    return rows

@@ -64,6 +64,29 @@ def test_repeated_rows_share_the_cut(spark):
     assert 750 - 40 <= taken <= 750 and all(r.taken <= 20 for r in rows)
 
 
+def test_the_mix_is_made(spark):
+    gaps = ["  \t", "\n", " \u00a0 ", " "]
+    texts = [gaps[k % 4] + gaps[k % 3].join(prose(k, 5 + k % 17).split()) + " " for k in range(200)] + [None, " "]
+    docs = documents(spark, texts, sources=[["big", "small", None][min(k % 7, 2)] for k in range(202)])
+    counted = {r.doc_id: r for r in mixing.mix(docs).collect()}
+    made = mixing.make_mix(docs)
+    assert made.columns[:len(docs.drop("size").columns)] == docs.drop("size").columns
+    rows, words, per_source = {}, mixing.word_count(F.col("text")).alias("words"), {}
+    for r in made.select("doc_id", "source", "text", "n_chars", "epoch", "taken", words).collect():
+        rows.setdefault(r.doc_id, []).append(r)
+        per_source[r.source] = per_source.get(r.source, 0) + r.words
+        assert r.words == r.taken and r.n_chars == len(r.text) and texts[r.doc_id].startswith(r.text)
+    assert rows.keys() == {i for i, r in counted.items() if r.taken}
+    for i, mine in rows.items():
+        mine.sort(key=lambda r: r.epoch)
+        assert [r.epoch for r in mine] == list(range(1, len(mine) + 1))
+        assert sum(r.words for r in mine) == counted[i].taken and all(r.text == texts[i] for r in mine[:-1])
+    assert max(map(len, rows.values())) == 2 and any(m[-1].text != texts[i] for i, m in rows.items())
+    for r in counted.values():
+        assert r.target - 2 <= per_source[r.source] <= r.target + 1e-6
+    assert mixing.make_mix(documents(spark, [None, " "])).collect() == []
+
+
 def test_empty_table(spark):
     assert mixing.mix(documents(spark, [])).collect() == []
     assert [r.taken for r in mixing.mix(documents(spark, [None, " "])).collect()] == [0, 0]

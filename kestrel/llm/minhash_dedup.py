@@ -152,15 +152,18 @@ def overlaps(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
 
 
 def _similar(percent: int):
-    """Pairs of a block, of different components, that reach ``percent``."""
+    """Pairs of a block, of different components, that may reach ``percent``:
+    ``n`` counts the shingles, and each one that the 32-bit hashes lost to a
+    collision may be shared."""
     def run(table: pa.Table) -> pa.Table:
         one = lambda c: table.column(c).to_numpy()
         ident, tie, root, mine, x, y = map(one, ("id", "t", "root", "own", "x", "y"))
         sets = [np.frombuffer(s, np.uint32) for s in table.column("hashes").to_pylist()]
         a = b = np.zeros(0, np.int64)
         if len(np.unique(root)) > 1:
-            both = overlaps(sets).astype(np.int64)
-            n = np.array([len(s) for s in sets], np.int64)
+            n = one("n")
+            lost = n - np.array([len(s) for s in sets], np.int64)
+            both = overlaps(sets).astype(np.int64) + np.minimum(lost[:, None], lost[None, :])
             ok = 100 * both >= percent * (n[:, None] + n[None, :] - both)
             ok &= (root[:, None] != root[None, :]) & (mine == x)[:, None] & (mine == y)[None, :]
             a, b = np.nonzero(np.triu(ok, 1) if x[0] == y[0] else ok)

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from kestrel.llm import minhash_dedup
@@ -117,3 +118,12 @@ def test_overlaps():
     for i in range(30):
         for j in range(30):
             assert i == j or got[i, j] == len(np.intersect1d(sets[i], sets[j]))
+
+
+def test_collisions_of_short_hashes_lose_no_link():
+    """8 of 10 shingles are shared, two of them agree in 32 bits: 7 of 9."""
+    shared = np.arange(7, dtype=np.uint32)
+    sets = [np.append(shared, np.uint32(100)), np.append(shared, np.uint32(200)), np.arange(300, 309, dtype=np.uint32)]
+    table = pa.table({"id": [1, 2, 3], "t": [4, 5, 6], "root": [1, 2, 3], "n": [9, 9, 9], "own": [0, 0, 0], "x": [0, 0, 0],
+                      "y": [0, 0, 0], "hashes": pa.array([s.tobytes() for s in sets], pa.binary())})
+    assert minhash_dedup._similar(80)(table).to_pylist() == [{"a": 1, "ta": 4, "b": 2, "tb": 5}]

@@ -102,14 +102,16 @@ def ownership(found: DataFrame) -> DataFrame:
 def scan_spans(docs: DataFrame, owner: str = "source", repository: str = "doc_id",
                example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
     """One row per document that has candidates (__id, __tie): ``__found``, an
-    array of (start, rank, kind, end, live) in order."""
+    array of (start, rank, kind, end, live, n_owners, n_repos) in order.  Owners
+    alone decide what is live; the repositories are counted for the reader."""
     found = written(candidates(docs, owner, repository), "candidates")
     owned = written(ownership(found), "ownership")
     live = F.col("n_owners") < example_owners
     rank = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
     return (found.join(owned, "hash")
             .where((F.col("kind") != "opaque") | live)
-            .select("__id", "__tie", F.struct("start", rank.alias("rank"), "kind", "end", live.alias("live")).alias("s"))
+            .select("__id", "__tie", F.struct("start", rank.alias("rank"), "kind", "end", live.alias("live"),
+                                            "n_owners", "n_repos").alias("s"))
             .groupBy("__id", "__tie").agg(F.array_sort(F.array_distinct(F.collect_list("s"))).alias("__found")))
 
 

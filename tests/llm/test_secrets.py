@@ -63,6 +63,13 @@ def test_ownership_separates_examples_from_live(spark):
     assert out == {0: texts[0], 1: texts[1], 2: f"c {example} [SECRET] [SECRET]", 3: "d [SECRET]"}
 
 
+def test_spans_carry_both_counts(spark):
+    copied = "deadbeefdeadbeef0001"
+    docs = documents(spark, [f"{k} {copied}" for k in range(6)] + ["none"], sources=["o1", "o2"] * 3 + ["o1"])
+    found = {r.doc_id: r["__found"] for r in secrets.scan_secrets(docs).collect()}
+    assert [[(s.live, s.n_owners, s.n_repos) for s in found[k]] for k in range(7)] == [[(True, 2, 6)]] * 6 + [[]]
+
+
 def test_nulls_and_repeated_rows(spark):
     texts = ["token=abcdefghijklmnop"] * 3 + [None]
     docs = documents(spark, texts, ids=[1, 1, None, None], sources=[None, None, "a", None])

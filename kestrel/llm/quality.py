@@ -186,14 +186,22 @@ def vote_table(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.float64)
 
 
+def sample_texts(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+    """(text): distinct texts, chosen by hash, about nine tenths of
+    ``sample_docs`` of them or all; copies count once."""
+    texts = docs.select("text").where("text <> ''")
+    n = texts.select(F.xxhash64("text").alias("h")).distinct().count()
+    share = min(1.0, 0.9 * sample_docs / max(1, n))
+    unit = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(share * (1 << 30))
+    return texts.where(unit).distinct()
+
+
 def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, steps: int = 150, ridge: float = 1e-4) -> Model | None:
     """The scorer for ``docs`` (text, ...); None for an empty table."""
     codes, counts = vote_table(docs)
     if not len(codes):
         return None
     posterior, _ = label_model(codes, counts, len(HEURISTICS))
-    share = min(1.0, 0.9 * sample_docs / counts.sum())
-    unit = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(share * (1 << 30))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,7 +214,7 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, steps: int = 150, ridge
                      pa.array([i.astype(np.int16).tobytes() for i in at], pa.binary()),
                      pa.array([r[i].tobytes() for r, i in zip(x, at)], pa.binary())], names=["p", "at", "x"])
 
-    rows = (docs.select("text").where("text <> ''").where(unit)
+    rows = (sample_texts(docs, sample_docs)
             .mapInArrow(run, "p double, at binary, x binary").limit(sample_docs).collect())
     if not rows:
         return None

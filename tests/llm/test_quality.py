@@ -49,3 +49,12 @@ def test_empty_table(spark):
     assert quality.keep_good(docs, None).collect() == [] and quality.score_quality(docs, None).collect() == []
     blank = documents(spark, [None, ""])
     assert quality.keep_good(blank, quality.fit(blank)).count() == 2
+
+
+def test_copies_do_not_fill_the_sample(spark):
+    """Half of the rows are one text, whichever its hash: the sample has it
+    once at most and isn't cut by its limit."""
+    texts = [prose(k, 12) for k in range(400)]
+    for copied in texts[:12]:
+        sample = [r.text for r in quality.sample_texts(documents(spark, texts + [copied] * 400 + [None, ""]), 100).collect()]
+        assert len(set(sample)) == len(sample) and 50 < len(sample) <= 100

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from kestrel.llm.scratch import written
 from kestrel.llm.text import chunks, per_document, shingles, utf8_bytes, words
 
 BINS_PER_SHINGLE = 2
@@ -127,7 +128,8 @@ def _matches(index: ItemIndex, part: pa.RecordBatch, buf: np.ndarray, off: np.nd
 
 
 def _blocks(items: DataFrame, width: int, block_bytes: int) -> Iterator[ItemIndex]:
-    items = items.select("item_id", F.coalesce("text", F.lit("")).alias("text"))
+    # rows that agree in both columns would share a block
+    items = written(items.select("item_id", F.coalesce("text", F.lit("")).alias("text")).distinct(), "items")
     size = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     n = -(-size // block_bytes)
     for k in range(n):   # a block is bounded by block_bytes, up to the hash's unevenness

@@ -55,6 +55,15 @@ def test_blocks_of_items_give_the_same(spark):
     assert decontam.drop_contaminated(docs, table, block_bytes=2000).count() == 0
 
 
+def test_a_repeated_item_is_held_once(spark):
+    items = [(k, prose(5000 + k, 30)) for k in range(20)]
+    table = items_table(spark, items + items[:1] * 300)
+    blocks = list(decontam._blocks(table, 5, 2000))
+    assert sorted(i for b in blocks for i in b.ids) == list(range(20)) and len(blocks) > 1
+    docs = documents(spark, [items[0][1]])
+    assert result(decontam.contained_items(docs, table, block_bytes=2000)) == {("0", "0"): 1.0}
+
+
 def test_nulls_repeats_and_filter(spark):
     leak, clean = prose(1, 30), prose(2, 200)
     items = [(1, leak), (1, leak + " and a longer version of it with many more words"), (None, leak), (2, None), (3, ""), (4, "a b")]

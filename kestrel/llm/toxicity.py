@@ -35,6 +35,8 @@ BITS = 18
 #: documented bound of the fit
 SAMPLE_DOCS = 20_000
 MAX_WORDS = 600
+#: |z| that a word hardly reaches by chance
+NOISE_Z = 4.0
 #: groups of interchangeable identity terms
 IDENTITY_TERMS: Sequence[Sequence[str]] = (
     ("women", "men"), ("woman", "man"), ("girls", "boys"), ("gay", "straight"), ("black", "white", "asian", "latino"),
@@ -114,7 +116,9 @@ def fit_model(rows: list[np.ndarray], y: np.ndarray, groups: Sequence[Sequence[s
               fairness: float = 5.0, ridge: float = 1e-6, least_z: float = 7.0, max_words: int = MAX_WORDS,
               steps: int = 25) -> Model | None:
     """Logistic regression on the selected words by Newton steps, with the
-    counterfactual penalty."""
+    counterfactual penalty.  ``least_z`` holds for ``SAMPLE_DOCS`` texts; z grows
+    with the root of their number, so for fewer it is as much lower, down to
+    ``NOISE_Z``."""
     if not len(y) or y.min() == y.max():
         return None
     seen: dict[bytes, int] = {}
@@ -130,7 +134,8 @@ def fit_model(rows: list[np.ndarray], y: np.ndarray, groups: Sequence[Sequence[s
     p = (c1 + c0 + 1) / (n1 + n0 + 2)
     z = (c1 / n1 - c0 / n0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0))
     strong = np.argsort(-np.abs(z), kind="stable")[:max_words]
-    chosen = strong[np.abs(z[strong]) >= least_z]
+    enough = max(min(least_z, NOISE_Z), least_z * min(1.0, np.sqrt(len(y) / SAMPLE_DOCS)))
+    chosen = strong[np.abs(z[strong]) >= enough]
     terms = term_buckets(groups)
     chosen = np.unique(np.concatenate([chosen, [b for g in terms for b in g]]).astype(np.int64))
     column = np.full(1 << BITS, -1)

@@ -68,3 +68,11 @@ def test_nothing_to_learn(spark):
     one = spark.createDataFrame([(0, 1)], "doc_id long, y int")
     assert toxicity.fit(docs, one) is None
     assert [r.score for r in toxicity.score_texts(docs, None).collect()] == [0.0, 0.0]
+
+
+def test_a_small_balanced_table_is_learned(spark):
+    texts = [prose(k, 30) + (" scum" if k % 2 else "") for k in range(48)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(48)], "doc_id long, y int")
+    model = toxicity.fit(documents(spark, texts), labels)
+    new = scores(model, [prose(100 + k, 30) + (" scum" if k % 2 else "") for k in range(20)])
+    assert (new[1::2] >= 0.7).all() and (new[::2] < 0.5).all()

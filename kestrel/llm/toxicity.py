@@ -1,10 +1,12 @@
 """Toxicity scoring with a counterfactual-regularised classifier.
 
-A logistic model over hashed words that are present in a text.  For every
-training text that mentions a group, counterfactual copies are made in which
-the group term is swapped for another one of its kind, or left out; the squared
-change of the score over these copies is added to the loss, so that a neutral
-mention of a group does not raise the score.
+A logistic model over hashed words that are present in a text.  Added to the
+loss is, in closed form, the squared change of the linear term (the score before
+the sigmoid) when a group term is swapped for another one of its kind, or left
+out, weighted by the share of training texts that mention it, so that a neutral
+mention of a group does not raise the score.  No swapped copies of texts are
+built: a text that holds the other term too, or whose score is near 0 or 1,
+counts like any other.
 
 Only words whose presence differs significantly between the classes get a
 weight, so a long text is not judged by how many ordinary words it has.

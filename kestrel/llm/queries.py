@@ -5,10 +5,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import chat, decontam, embed_dedup, langid, minhash_dedup, mixing, quality, secrets, suffix_dedup, toxicity
+from kestrel.llm import (chat, decontam, embed_dedup, langid, minhash_dedup, mixing, quality, secrets, suffix_dedup,
+                         token_counts, toxicity)
 from kestrel.session import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -160,3 +162,8 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op11_token_counts")
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))

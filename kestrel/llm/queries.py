@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import (chat, decontam, embed_dedup, langid, minhash_dedup, mixing, quality, secrets, suffix_dedup,
-                         token_counts, toxicity)
+from kestrel.llm import (chat, decontam, embed_dedup, langid, minhash_dedup, mixing, prefix_trie, quality, secrets,
+                         suffix_dedup, token_counts, toxicity)
 from kestrel.session import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -167,3 +167,35 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_token_counts")
 def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op12_conversation_trie", """
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, m, length(text) AS chars, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, m) AS k
+      FROM (SELECT *, md5(length(role) || ':' || role || text) AS m FROM t)),
+z AS (SELECT list_transform(range(256), lambda b: list_reduce(list_concat([b], range(8)),
+             lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS crc),
+c AS (SELECT conv_id, conv_id - conv_id % 100 AS head, count(*) AS n,
+             xor(list_reduce(list_concat([4294967295], list_transform(range(1, length(conv_id::VARCHAR) + 1),
+                                         lambda i: ascii(substr(conv_id::VARCHAR, i::INT, 1))::BIGINT)),
+                             lambda x, y: xor(x >> 8, any_value(crc)[(1 + (xor(x, y) & 255))::INT])), 4294967295) % 6 AS h
+      FROM t, z GROUP BY conv_id),
+r AS (SELECT c.conv_id, o.k AS d, m, chars FROM c JOIN o ON o.conv_id = c.head AND o.k <= c.h
+      UNION ALL
+      SELECT c.conv_id, o.k - c.h + least(c.h, coalesce(b.n, 0)), m, chars
+      FROM c JOIN o ON o.conv_id = c.conv_id AND o.k > c.h LEFT JOIN c b ON b.conv_id = c.head),
+p AS (SELECT conv_id, d, chars, string_agg(m, '') OVER (PARTITION BY conv_id ORDER BY d) AS pre FROM r
+      UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+n AS (SELECT pre, max(d) AS d, min(conv_id) AS conv_id, count(*) AS n, max(chars) AS chars FROM p GROUP BY pre),
+k AS (SELECT left(pre, -32) AS pre, count(*) AS kids FROM n WHERE d > 0 GROUP BY 1),
+e AS (SELECT pre, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+      FROM (SELECT *, max(d) OVER (PARTITION BY conv_id) AS deepest FROM p) WHERE d = deepest GROUP BY pre),
+x AS (SELECT n.*, coalesce(kids, 0) AS kids, coalesce(ids, '') AS ids FROM n LEFT JOIN k USING (pre) LEFT JOIN e USING (pre)),
+s AS (SELECT left(pre, 32 * unnest(range(d + 1))::INT) AS pre, (n - 1) * chars AS own, (kids = 0)::INT AS leaf FROM x),
+u AS (SELECT pre, sum(own)::BIGINT AS saved, sum(leaf)::BIGINT AS leaves FROM s GROUP BY pre)
+SELECT x.conv_id, x.d::BIGINT AS depth, q.conv_id AS parent_conv_id, x.n AS n_convs, x.kids AS n_children, u.leaves AS n_leaves,
+       u.saved AS saved_tokens, sha256(x.ids) AS ends_sha256
+FROM x JOIN u USING (pre) LEFT JOIN n q ON x.d > 0 AND q.pre = left(x.pre, -32)""")
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(prefix_trie.rebuilt(read_table(spark, sf_dir, "conversations"),
+                                                       turns=prefix_trie.shared_opening()))

@@ -903,6 +903,22 @@ def bucket_rate_stream_q(spark, sf_dir):
     return read_current(spark, out)
 
 
+@register("greedy_bucket_rate", """
+WITH RECURSIVE t AS (SELECT DISTINCT ts FROM events WHERE ts IS NOT NULL),
+j AS (SELECT a.ts, min(b.ts) AS following FROM t a ASOF LEFT JOIN t b ON a.ts + INTERVAL 10 SECOND < b.ts GROUP BY a.ts),
+s(bucket, start) AS (
+  SELECT 1::BIGINT, min(ts) FROM t
+  UNION ALL
+  SELECT bucket + 1, j.following FROM s JOIN j ON j.ts = s.start WHERE j.following IS NOT NULL)
+SELECT s.bucket, s.start, count(*) AS rate FROM events e ASOF JOIN s ON e.ts >= s.start GROUP BY s.bucket, s.start
+""")
+def greedy_bucket_rate_q(spark, sf_dir):
+    """The rate over the producer's own buckets: one starts with the first
+    record more than ten seconds after the last start."""
+    from kestrel.operators.greedy import greedy_bucket_rate
+    return greedy_bucket_rate(_events(spark, sf_dir), "ts", 10.0)
+
+
 @register("latest_bucket_stream", f"""
 WITH r AS ({_rate_sql(3600)})
 SELECT window_start, rate FROM r WHERE window_start = (SELECT max(window_start) FROM r)

@@ -905,7 +905,8 @@ def bucket_rate_stream_q(spark, sf_dir):
 
 @register("greedy_bucket_rate", """
 WITH RECURSIVE t AS (SELECT DISTINCT ts FROM events WHERE ts IS NOT NULL),
-j AS (SELECT a.ts, min(b.ts) AS following FROM t a ASOF LEFT JOIN t b ON a.ts + INTERVAL 10 SECOND < b.ts GROUP BY a.ts),
+j AS MATERIALIZED (SELECT ts, min(ts) OVER (ORDER BY ts RANGE BETWEEN INTERVAL '10 seconds 1 microsecond' FOLLOWING
+                                            AND UNBOUNDED FOLLOWING) AS following FROM t),
 s(bucket, start) AS (
   SELECT 1::BIGINT, min(ts) FROM t
   UNION ALL

@@ -8,8 +8,8 @@ the operator (capping, head/tail samples, top-k).
 
 ``QUERIES[name](spark, sf_dir) -> DataFrame`` and ``ORACLE_SQL[name]`` (DuckDB
 SQL over the same tables) produce the same rows with the same column names.
-Of a model's output the SQL twin states what does not depend on partitions:
-the rows scored, their truth, and that each got a known label.
+Models are trained where one feature decides the label, so that the SQL twin
+states their predictions.
 """
 
 from __future__ import annotations
@@ -576,24 +576,27 @@ def csv_roundtrip_q(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- ML
-# Which label a forest predicts depends on partitions; that every labelled row is
-# scored once, with one of the labels, next to its truth, does not.
+# Among noise features one binary feature decides the label, so the predictions of
+# a forest that learned it are known by value, whatever the partitions.
+
+def _ml_features(ev, label="category"):
+    return ev.select("event_id", "user_id", "value", F.col("category").alias(label),
+                     F.hour("ts").alias("hour"), F.dayofweek("ts").alias("dow"),
+                     F.col("event_type").isin(EVENT_CATEGORIES["conversion"]).cast("int").alias("paid"))
+
 
 def _ml_events(spark, sf_dir):
-    ev = map_categories(_events(spark, sf_dir), "event_type", EVENT_CATEGORIES)
-    return ev.select("event_id", "user_id", "value", "category",
-                     F.hour("ts").alias("hour"), F.dayofweek("ts").alias("dow"))
+    return _ml_features(map_categories(_events(spark, sf_dir), "event_type", EVENT_CATEGORIES))
 
 
-_LABELS = list(EVENT_CATEGORIES)
 _SCORED_SQL = f"""
-SELECT event_id, truth, true AS known_label FROM (
-  SELECT event_id, {sql_category('event_type')} AS truth FROM events) t WHERE truth IS NOT NULL
+SELECT event_id, truth, CASE WHEN event_type IN ('purchase', 'signup') THEN 'conversion' ELSE 'engagement' END AS predicted
+FROM (SELECT event_id, event_type, {sql_category('event_type')} AS truth FROM events) t WHERE truth IS NOT NULL
 """
 
 
 def _scored(df):
-    return df.select("event_id", "truth", F.col("predicted").isin(_LABELS).alias("known_label"))
+    return df.select("event_id", "truth", "predicted")
 
 
 @register("rf_train_score", _SCORED_SQL)
@@ -604,21 +607,16 @@ def rf_train_score_q(spark, sf_dir):
 
 
 @register("rf_holdout_metrics", f"""
-SELECT count_if(category != 'engagement') AS positives, count_if(category = 'engagement') AS negatives,
-       true AS shares_are_valid
+SELECT count_if(category != 'engagement') AS tp, 0::BIGINT AS fp, count_if(category = 'engagement') AS tn, 0::BIGINT AS fn,
+       1.0 AS precision, 1.0 AS recall, 1.0 AS accuracy, 0.0 AS false_positive_rate
 FROM (SELECT event_id, {sql_category('event_type')} AS category FROM events) t
 WHERE category IS NOT NULL AND {H_EVENT} >= {TRAIN_EDGE}
 """)
 def rf_holdout_metrics_q(spark, sf_dir):
-    """Split by a hash of the id, fit, score the held-out side; its positives
-    and negatives are known, how many are found depends on the forest."""
+    """Split by a hash of the id, fit, score the held-out side."""
     ev = _ml_events(spark, sf_dir)
-    m = holdout_metrics(ev, label_col="category", negative="engagement", exclude=["event_id"],
-                        seed=SEED, split_keys=["event_id"])
-    shares = [F.coalesce(F.col(c), F.lit(0.0)).between(0.0, 1.0)
-              for c in ("precision", "recall", "accuracy", "false_positive_rate")]
-    return m.select((F.col("tp") + F.col("fn")).alias("positives"), (F.col("fp") + F.col("tn")).alias("negatives"),
-                    (shares[0] & shares[1] & shares[2] & shares[3]).alias("shares_are_valid"))
+    return holdout_metrics(ev, label_col="category", negative="engagement", exclude=["event_id"],
+                           seed=SEED, split_keys=["event_id"])
 
 
 def _score_to_table(spark, model, rows, name):
@@ -634,9 +632,7 @@ def rf_stream_score_q(spark, sf_dir):
     from kestrel.session import table_path
     model = train_model(_ml_events(spark, sf_dir), label_col="category", exclude=["event_id"])
     src = parquet_table_stream(spark, table_path(sf_dir, "events"))
-    rows = map_categories(src, "event_type", EVENT_CATEGORIES).select(
-        "event_id", "user_id", "value", F.col("category").alias("truth"),
-        F.hour("ts").alias("hour"), F.dayofweek("ts").alias("dow"))
+    rows = _ml_features(map_categories(src, "event_type", EVENT_CATEGORIES), "truth")
     return _score_to_table(spark, model, rows, "score")
 
 
@@ -648,12 +644,39 @@ def rf_stream_parse_score_q(spark, sf_dir):
     path = scratch_path(spark, "lines")
     render_delimited(_events(spark, sf_dir), [n for n, _ in _EVENT_FIELDS], sep=_SEP).write.text(path)
     events = parse_delimited(text_lines_stream(spark, path), "value", _EVENT_FIELDS, sep=_SEP)
-    rows = map_categories(events, "event_type", EVENT_CATEGORIES).select(
-        "event_id", "user_id", "value", F.col("category").alias("truth"),
-        F.hour("ts").alias("hour"), F.dayofweek("ts").alias("dow"))
+    rows = _ml_features(map_categories(events, "event_type", EVENT_CATEGORIES), "truth")
     return _score_to_table(spark, model, rows, "parse-score")
 
 
+@register("string_encode_rows", """
+WITH d AS (SELECT CAST(o_custkey AS VARCHAR) AS k, row_number() OVER (ORDER BY count(*) DESC, CAST(o_custkey AS VARCHAR)) - 1 AS idx
+           FROM orders WHERE o_custkey IS NOT NULL GROUP BY 1)
+SELECT c_custkey, CAST(coalesce(idx, (SELECT count(*) FROM d)) AS DOUBLE) AS c_custkey_index
+FROM customer LEFT JOIN d ON k = CAST(c_custkey AS VARCHAR)
+""")
+def string_encode_rows_q(spark, sf_dir):
+    """Customers numbered by how many orders they have; the dictionary is a
+    table, customers without orders get the reserved index.  The commonest 256
+    keys are broadcast, the others shuffled."""
+    from kestrel.operators.encode import encode_rows, fit_dictionaries
+    keys = read_table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    known = fit_dictionaries(keys, ["c_custkey"], scratch_path(spark, "dictionary"))
+    return encode_rows(read_table(spark, sf_dir, "customer").select("c_custkey"), known, hot_rows=256)
+
+
+@register("rf_encoded_train_score", f"""
+SELECT event_id, {sql_category('event_type')} AS predicted FROM events WHERE {sql_category('event_type')} IS NOT NULL
+""")
+def rf_encoded_train_score_q(spark, sf_dir):
+    """Forest over a dictionary-encoded categorical column, saved with its
+    dictionary, loaded and scored; the event type decides the category."""
+    from kestrel.operators.encode import load_encoded, train_encoded
+    ev = map_categories(_events(spark, sf_dir), "event_type", EVENT_CATEGORIES).select("event_id", "event_type", "value", "category")
+    path = scratch_path(spark, "encoded-model")
+    train_encoded(ev, path, ["event_type"], exclude=["event_id"])
+    return load_encoded(spark, path).predict(ev.drop("category"), out_col="predicted").select("event_id", "predicted")
+
+
 # -------------------------------------------------------------------- ledger
 
 _LEDGER_SQL = """(SELECT event_type AS file_name, 'user_' || CAST(user_id AS VARCHAR) AS function_name,
@@ -818,7 +841,7 @@ def batch_score_append_q(spark, sf_dir):
     save_model(train_model(ev, label_col="category", exclude=["event_id"]), model)
     rows = ev.withColumnRenamed("category", "truth")
     (rows.withColumn("predicted", F.lit(None).cast("string")).where("false")
-     .select("predicted", "event_id", "truth", "user_id", "value", "hour", "dow").write.parquet(done))
+     .select("predicted", "event_id", "truth", "user_id", "value", "hour", "dow", "paid").write.parquet(done))
     batch_score(model, rows, out_col="predicted", raw_path=raw, processed_path=done)
     return _scored(spark.read.parquet(done).join(spark.read.parquet(raw).select("event_id"), "event_id", "left_semi"))
 

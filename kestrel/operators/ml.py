@@ -93,6 +93,13 @@ _LABEL, _FEATURES = f"{WORK}label", f"{WORK}features"
 _RAW, _INDEX = f"{WORK}raw_", f"{WORK}index_"
 
 
+def forest(seed: int = 7) -> RandomForestClassifier:
+    """The default classifier, on the pipeline's working columns."""
+    return RandomForestClassifier(
+        featuresCol=_FEATURES, labelCol=_LABEL, predictionCol=f"{WORK}prediction",
+        probabilityCol=f"{WORK}probability", rawPredictionCol=f"{WORK}raw", seed=seed)
+
+
 def build_pipeline(df: DataFrame, label_col: str = "category",
                    categorical: Sequence[str] = ("protocol_type", "service", "flag"),
                    exclude: Sequence[str] = ("attack",),
@@ -117,9 +124,7 @@ def build_pipeline(df: DataFrame, label_col: str = "category",
     stages.append(VectorAssembler(inputCols=features, outputCol=_FEATURES, handleInvalid="keep"))
     clf = classifier
     if clf is None:
-        clf = RandomForestClassifier(
-            featuresCol=_FEATURES, labelCol=_LABEL, predictionCol=f"{WORK}prediction",
-            probabilityCol=f"{WORK}probability", rawPredictionCol=f"{WORK}raw", seed=seed)
+        clf = forest(seed)
         if use_categoricals and present_cats:
             sizes = df.agg(*[F.count_distinct(c) for c in present_cats]).first()
             clf.setMaxBins(max(clf.getMaxBins(), max(sizes) + 1))

@@ -846,6 +846,21 @@ def batch_score_append_q(spark, sf_dir):
     return _scored(spark.read.parquet(done).join(spark.read.parquet(raw).select("event_id"), "event_id", "left_semi"))
 
 
+@register("batch_score_runs", _SCORED_SQL)
+def batch_score_runs_q(spark, sf_dir):
+    """Scoring in two runs that share the middle third of the month, the second
+    one run twice: the table holds every event once."""
+    from kestrel.plans.training import batch_score_once
+    ev = _ml_events(spark, sf_dir)
+    model = train_model(ev, label_col="category", exclude=["event_id"])
+    events, day = map_categories(_events(spark, sf_dir), "event_type", EVENT_CATEGORIES), F.dayofmonth("ts")
+    table = scratch_path(spark, "scored-runs")
+    for run, part in (("first", day <= 20), ("second", day > 10), ("second", day > 10), ("third", day > 10)):
+        done = batch_score_once(model, _ml_features(events.where(part), "truth"), table, ["event_id"], run,
+                                out_col="predicted", buckets=8)
+    return _scored(done)
+
+
 @register("category_counts_join", ORACLE_SQL["category_counts"])
 def category_counts_join(spark, sf_dir):
     """The flagship with its label map as a table."""
@@ -943,6 +958,37 @@ def greedy_bucket_rate_q(spark, sf_dir):
     return greedy_bucket_rate(_events(spark, sf_dir), "ts", 10.0)
 
 
+def _in_files(spark, sf_dir, n: int) -> str:
+    """The events as ``n`` files, so that a stream of one file a batch has as many."""
+    path = scratch_path(spark, "event-files")
+    _events(spark, sf_dir).repartition(n, "event_id").write.parquet(path)
+    return path
+
+
+@register("events_stream_commits", "SELECT event_id, ts, user_id, event_type, value FROM events")
+def events_stream_commits_q(spark, sf_dir):
+    """A stream of several micro-batches, each one commit of the target table;
+    every third commit merges folders."""
+    from kestrel.sources.manifest import ManifestTable
+    from kestrel.streaming.sinks import run_append_commits
+    src = parquet_table_stream(spark, _in_files(spark, sf_dir, 5), max_files_per_trigger=1)
+    out = scratch_path(spark, "commits")
+    run_append_commits(src.select("event_id", "ts", "user_id", "event_type", "value"), out, scratch_path(spark, "commits-ckpt"), fan=3)
+    return ManifestTable(spark, out).read()
+
+
+@register("rate_10s_stream_update", _rate_sql(10))
+def rate_10s_stream_update_q(spark, sf_dir):
+    """The ten-second rate in Update mode: each micro-batch rewrites only the
+    buckets of the windows that it changed."""
+    from kestrel.sources.manifest import ManifestTable
+    from kestrel.streaming.sinks import run_update_commits
+    src = parquet_table_stream(spark, _in_files(spark, sf_dir, 3), max_files_per_trigger=1)
+    out = scratch_path(spark, "rate-update")
+    run_update_commits(window_rate(src, "ts", "10 seconds"), ["window_start"], out, scratch_path(spark, "rate-update-ckpt"), buckets=16)
+    return ManifestTable(spark, out).read()
+
+
 @register("latest_bucket_stream", f"""
 WITH r AS ({_rate_sql(3600)})
 SELECT window_start, rate FROM r WHERE window_start = (SELECT max(window_start) FROM r)

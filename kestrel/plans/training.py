@@ -47,6 +47,25 @@ def batch_score(model_path: str, rows: DataFrame, out_col: str = "category", raw
     return scored
 
 
+def batch_score_once(model, rows: DataFrame, table_path: str, keys, run: str, out_col: str = "category",
+                     invalid: str = "skip", buckets: int = 64) -> DataFrame:
+    """Score the rows whose ``keys`` the table at ``table_path`` does not hold
+    yet and commit them as one run; the table is returned.
+
+    Runs may overlap and may be repeated: a key is scored and stored once, a
+    run that is committed is skipped, one that died is simply run again.
+    ``model`` is a fitted pipeline, an ``EncodedModel``, or the path of a saved
+    pipeline.  Rows left out for invalid features are looked at again by the
+    next run that brings them."""
+    from kestrel.sources.manifest import ManifestTable
+    if isinstance(model, str):
+        model = load_model(model)
+    score = getattr(model, "predict", None) or (lambda df, **kw: predict(model, df, **kw))
+    table = ManifestTable(rows.sparkSession, table_path, buckets)
+    table.append_unseen(rows, keys, run, transform=lambda df: score(df, out_col=out_col, invalid=invalid))
+    return table.read()
+
+
 def aligned(df: DataFrame, schema: T.StructType) -> DataFrame:
     """``df`` with the columns of ``schema``."""
     extra = [c for c in df.columns if c not in schema.names]

@@ -126,3 +126,46 @@ def run_append_by_batch(rows: DataFrame, out_path: str, checkpoint: str,
     elif timeout:
         q.awaitTermination(timeout)
     return q
+
+
+def _query_id(batch: DataFrame) -> str:
+    """The stream's id, which its checkpoint keeps over restarts."""
+    return "stream-" + batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
+def _run(writer, available_now: bool, processing_time: str | None, timeout: float | None):
+    q = _trigger(writer, available_now, processing_time).start()
+    if available_now:
+        q.awaitTermination()
+    elif timeout:
+        q.awaitTermination(timeout)
+    return q
+
+
+def run_append_commits(rows: DataFrame, out_path: str, checkpoint: str, available_now: bool = True,
+                       processing_time: str | None = None, timeout: float | None = None, fan: int = 8):
+    """Stateless stream appended to a ``ManifestTable``: each micro-batch is one
+    commit, known by the stream's id and the batch's number, so a batch that is
+    repeated after a failure adds nothing, one that died before its commit
+    leaves nothing to see, and folders are merged in tiers as they come."""
+    from kestrel.sources.manifest import ManifestTable
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        ManifestTable(batch.sparkSession, out_path, fan=fan).append(batch, _query_id(batch), batch_id)
+
+    w = rows.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _run(w, available_now, processing_time, timeout)
+
+
+def run_update_commits(agg: DataFrame, keys, out_path: str, checkpoint: str, buckets: int = 64,
+                       available_now: bool = True, processing_time: str | None = None, timeout: float | None = None):
+    """Streaming aggregate in Update mode, merged into a ``ManifestTable`` by
+    ``keys``: a micro-batch brings only the groups that it changed, and only
+    their hash buckets are rewritten, in one commit."""
+    from kestrel.sources.manifest import ManifestTable
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        ManifestTable(batch.sparkSession, out_path, buckets).merge(batch, keys, _query_id(batch), batch_id)
+
+    w = agg.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _run(w, available_now, processing_time, timeout)

@@ -24,6 +24,7 @@ from kestrel.functions.categorize import category_of, map_categories
 from kestrel.functions.hashing import hash_key
 from kestrel.functions.parse import bytes_to_string, parse_delimited, render_delimited
 from kestrel.functions.text import strip_chars
+from kestrel.functions.times import ntz_as_utc
 from kestrel.operators.columns import (column_distinct_counts, column_profile,
                                        drop_constant_columns, table_shape)
 from kestrel.operators.dedup import distinct_rows, distinct_values, drop_duplicates
@@ -268,6 +269,24 @@ def column_distinct_counts_q(spark, sf_dir):
     return column_distinct_counts(_f_orders(spark, sf_dir), null_is_value=True)
 
 
+@register("distinct_counts_sketch", """
+SELECT column_name, (SELECT count(*) FROM events) AS n_rows, true AS within_3_percent
+FROM (VALUES ('event_id'), ('user_id'), ('event_type'), ('value'), ('props')) v(column_name)
+""")
+def distinct_counts_sketch_q(spark, sf_dir):
+    """Sketches per day, stored in two runs and merged, against exact counts."""
+    from kestrel.operators.sketches import merged_counts, store_slices
+    from kestrel.sources.manifest import ManifestTable
+    columns = ["event_id", "user_id", "event_type", "value", "props"]
+    ev = _events(spark, sf_dir).withColumn("day", F.to_date("ts"))
+    table = ManifestTable(spark, scratch_path(spark, "sketches"), buckets=4)
+    for run in ("dayofmonth(day) <= 20", "dayofmonth(day) > 20"):
+        store_slices(table, ev.where(run), "day", columns, run)
+    exact = column_distinct_counts(ev, columns).select("column_name", F.col("n_distinct").alias("n"))
+    near = F.abs(F.col("n_distinct") - F.col("n")) <= 0.03 * F.col("n")
+    return merged_counts(table.read()).join(exact, "column_name").select("column_name", "n_rows", near.alias("within_3_percent"))
+
+
 @register("drop_constant_columns", f"""
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, o_flag FROM {_F_ORDERS_SQL} f
 """)
@@ -359,6 +378,16 @@ def tail_sample_q(spark, sf_dir):
     return last_n(ev, TAIL_N, ["event_id"])
 
 
+@register("tail_by_position", f"""
+SELECT event_id, event_id AS position, event_type, value FROM events ORDER BY event_id DESC LIMIT {TAIL_N}
+""")
+def tail_by_position_q(spark, sf_dir):
+    """The last rows by their place in the file (the events' ids count them)."""
+    from kestrel.operators.position import tail_by_position
+    rows = tail_by_position(read_table(spark, sf_dir, "events"), TAIL_N)
+    return rows.select("event_id", "position", "event_type", "value")
+
+
 @register("relabel_majority", f"""
 SELECT event_id, {sql_pick(PICK_SEED, RELABEL_TARGETS, 'event_id')} AS event_type FROM (
   SELECT event_id FROM events WHERE event_type = '{CAP_LABEL}'
@@ -471,6 +500,52 @@ def parse_lines_malformed_q(spark, sf_dir):
 
 # ------------------------------------------------------------------ metrics
 
+_QUOTED_FIELDS = [("event_id", T.LongType()), ("value", T.DoubleType()), ("note", T.StringType())]
+
+
+def _quoted_lines(spark, sf_dir):
+    """Quoted lines whose last field holds separators and quotes; of every ten,
+    one is cut short, one has a bad number and one a field too many."""
+    from kestrel.functions.quoted import render_quoted
+    ev = _events(spark, sf_dir).withColumn("note", F.concat("event_type", F.lit(", said \""), "props", F.lit("\"")))
+    lines = render_quoted(ev, ["event_id", "value", "note"], keep=["event_id"])
+    kind, text = F.col("event_id") % 10, F.col("value")
+    return lines.select(F.when(kind == 3, F.regexp_replace(text, "^([^,]*,[^,]*),.*$", "$1"))
+                        .when(kind == 4, F.regexp_replace(text, "^([^,]*),[^,]*", "$1,none"))
+                        .when(kind == 5, F.concat(text, F.lit(",more"))).otherwise(text).alias("line"))
+
+
+_QUOTED_SQL = """
+SELECT event_id, CASE WHEN event_id % 10 <> 4 THEN value END AS value,
+       CASE WHEN event_id % 10 <> 3 THEN event_type || ', said "' || props || '"' END AS note,
+       event_id % 10 IN (3, 4, 5) AS is_corrupt
+FROM events
+"""
+
+
+@register("parse_quoted_lines", _QUOTED_SQL)
+def parse_quoted_lines_q(spark, sf_dir):
+    from kestrel.functions.quoted import CORRUPT, parse_quoted
+    parsed = parse_quoted(_quoted_lines(spark, sf_dir), "line", _QUOTED_FIELDS)
+    return parsed.withColumn("is_corrupt", F.col(CORRUPT).isNotNull()).drop(CORRUPT)
+
+
+@register("csv_malformed_scan", f"""
+SELECT event_id, CASE WHEN NOT is_corrupt THEN value END AS value, CASE WHEN NOT is_corrupt THEN note END AS note, is_corrupt
+FROM ({_QUOTED_SQL}) q
+""")
+def csv_malformed_scan_q(spark, sf_dir):
+    """The same lines as files: good rows typed, the others set apart as text
+    (of which the id is read back)."""
+    from kestrel.functions.quoted import read_quoted_csv, split_corrupt
+    path, bad = scratch_path(spark, "quoted-lines"), scratch_path(spark, "quarantine")
+    _quoted_lines(spark, sf_dir).write.text(path)
+    good = split_corrupt(read_quoted_csv(spark, path, _QUOTED_FIELDS), bad)
+    apart = spark.read.text(bad).select(F.substring_index("value", ",", 1).cast("long").alias("event_id"),
+                                        F.lit(None).cast("double").alias("value"), F.lit(None).cast("string").alias("note"))
+    return good.withColumn("is_corrupt", F.lit(False)).unionByName(apart.withColumn("is_corrupt", F.lit(True)))
+
+
 @register("binary_metrics", """
 WITH c AS (
   SELECT count_if(quality != 0 AND toxic != 0) AS tp,
@@ -989,6 +1064,26 @@ def rate_10s_stream_update_q(spark, sf_dir):
     return ManifestTable(spark, out).read()
 
 
+@register("bucket_rate_stream_expiring", """
+WITH b AS (SELECT CAST(floor(epoch_us(ts) / 3600000000) AS INTEGER) AS time_stamp FROM events WHERE event_type <> 'error')
+SELECT time_stamp, count(*) AS rate FROM b WHERE time_stamp < (SELECT max(time_stamp) FROM b) GROUP BY time_stamp
+""")
+def bucket_rate_stream_expiring_q(spark, sf_dir):
+    """Integer buckets (hours since the epoch) as event time: a bucket is
+    emitted once the next one is seen, and its state is dropped.  The events
+    come as three files in the order of time."""
+    from kestrel.streaming.expiring import expiring_bucket_rate
+    path, day = scratch_path(spark, "timed-files"), F.dayofmonth("ts")
+    hour = F.floor(F.unix_micros(ntz_as_utc(F.col("ts"))) / 3_600_000_000).cast("int")
+    marked = _events(spark, sf_dir).select(day.alias("day"), F.when(F.col("event_type") != "error", hour).alias("time_stamp"))
+    for part in ("day <= 10", "day > 10 and day <= 20", "day > 20"):
+        marked.where(part).select("time_stamp").coalesce(1).write.mode("append").parquet(path)
+    out = scratch_path(spark, "expiring-out")
+    run_append_by_batch(expiring_bucket_rate(parquet_table_stream(spark, path, max_files_per_trigger=1)), out,
+                        scratch_path(spark, "expiring-ckpt"))
+    return spark.read.parquet(out).drop("batch_id")
+
+
 @register("latest_bucket_stream", f"""
 WITH r AS ({_rate_sql(3600)})
 SELECT window_start, rate FROM r WHERE window_start = (SELECT max(window_start) FROM r)

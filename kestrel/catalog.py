@@ -802,6 +802,24 @@ def ledger_total(spark, sf_dir):
     return total_time(_ledger(spark, sf_dir), exclude_file="error")
 
 
+@register("ledger_append_read", f"""
+SELECT file_name, function_name, description, time_taken FROM {_LEDGER_SQL} l
+UNION ALL SELECT 'job', 'load', 'first', CAST(NULL AS DOUBLE) UNION ALL SELECT 'job', 'score', 'second', CAST(NULL AS DOUBLE)
+""")
+def ledger_append_read_q(spark, sf_dir):
+    """A ledger table that two stages of a running job are appended to, read
+    back; the measured times of the two are left out."""
+    from kestrel.plans.ledger import Ledger
+    path, ledger = scratch_path(spark, "ledger"), Ledger()
+    _ledger(spark, sf_dir).write.parquet(path)
+    for function, description in (("load", "first"), ("score", "second")):
+        with ledger.stage("job", function, description):
+            pass
+    ledger.append_to(spark, path)
+    known = (F.col("file_name") != "job") | (F.col("time_taken") < 0)
+    return spark.read.parquet(path).withColumn("time_taken", F.when(known, F.col("time_taken")))
+
+
 _PAIRS = [("user_1", "user_2"), ("user_3", "user_4")]
 
 
@@ -936,6 +954,41 @@ def batch_score_runs_q(spark, sf_dir):
     return _scored(done)
 
 
+@register("train_full_score", _SCORED_SQL)
+def train_full_score_q(spark, sf_dir):
+    """The training job over all rows (raw and processed tables written, model
+    saved), and the saved model's scores of the same rows."""
+    from kestrel.operators.ml import load_model
+    from kestrel.plans.training import train_on_full_data
+    raw = _events(spark, sf_dir).select("event_id", F.col("event_type").alias("attack"), "value", F.hour("ts").alias("hour"),
+                                        F.col("event_type").isin(EVENT_CATEGORIES["conversion"]).cast("int").alias("paid"))
+    model, before, after = (scratch_path(spark, n) for n in ("full-model", "full-raw", "full-processed"))
+    preset = EtlPreset(cap_label=None, mapping=EVENT_CATEGORIES, rebalance=False)
+    train_on_full_data(raw, model, preset, processed_path=after, raw_path=before)
+    rows = spark.read.parquet(after).withColumnRenamed("category", "truth")
+    return _scored(predict(load_model(model), rows, out_col="predicted"))
+
+
+@register("exploration_report", f"""
+WITH m AS (SELECT event_id, event_type, value, {sql_category('event_type')} AS category, CAST(event_type = 'purchase' AS INTEGER) AS paid FROM events),
+k AS (SELECT * FROM m WHERE category IS NOT NULL)
+SELECT 'shape' AS section, CAST(NULL AS VARCHAR) AS label, 'n_rows' AS measure, CAST(count(*) AS DOUBLE) AS value FROM k
+UNION ALL SELECT 'shape', NULL, 'n_cols', 5.0
+UNION ALL SELECT 'label_counts', event_type, 'n', count(*) FROM k GROUP BY event_type
+UNION ALL SELECT 'category_counts', category, 'n', count(*) FROM k GROUP BY category
+UNION ALL SELECT 'duration_by_category', category, unnest(['avg_value', 'nonnull_value', 'positive_value']),
+                 unnest([round(avg(value), 6), count(value), count_if(value > 0)]) FROM k GROUP BY category
+UNION ALL SELECT 'attempts_by_category', category, unnest(['avg_paid', 'nonnull_paid', 'positive_paid']),
+                 unnest([round(avg(paid), 6), count(paid), count_if(paid > 0)]) FROM k GROUP BY category
+""")
+def exploration_report_q(spark, sf_dir):
+    """All frames of the exploration report as one long table."""
+    from kestrel.plans.report import exploration_report, long_report
+    ev = map_categories(_events(spark, sf_dir), "event_type", EVENT_CATEGORIES).select(
+        "event_id", "event_type", "value", "category", (F.col("event_type") == "purchase").cast("int").alias("paid"))
+    return long_report(exploration_report(ev, "event_type", "category", "value", "paid"))
+
+
 @register("category_counts_join", ORACLE_SQL["category_counts"])
 def category_counts_join(spark, sf_dir):
     """The flagship with its label map as a table."""
@@ -1097,12 +1150,11 @@ def latest_bucket_stream_q(spark, sf_dir):
     agg = window_rate(src, "ts", "1 hour")
     out = scratch_path(spark, "latest-out")
 
-    def write_latest(batch: DataFrame, path: str) -> None:
-        with cached(batch):      # the stateful batch is evaluated once
-            latest_only(batch, "window_start").write.mode("overwrite").parquet(path)
+    def latest(batch: DataFrame) -> DataFrame:
+        return latest_only(batch, "window_start")
 
-    run_complete_overwrite(agg, out, scratch_path(spark, "latest-ckpt"), writer=write_latest)
-    return spark.read.parquet(out)
+    run_complete_overwrite(agg, out, scratch_path(spark, "latest-ckpt"), transform=latest)
+    return read_current(spark, out)
 
 
 # ----------------------------------------------- survey-named query variants

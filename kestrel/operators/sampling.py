@@ -17,8 +17,11 @@ caps, heads, tails and relabels use:
    that holds the n-th row, then the sub-bucket inside it (``key_bucket``,
    ``sub_bucket``).  Only code counts are shuffled, one row per populated
    bucket and task.  The cut is one row per group, applied as a filter (whole
-   table: scalar subqueries; groups: a broadcast of one row per group), and
-   about n rows per group survive to be ranked.
+   table: scalar subqueries; groups: a broadcast of one row per group).  About
+   n rows per group survive it, or more where many tie on the first order
+   column, or share its first seven bytes.  The survivors are range-partitioned
+   by the whole order, which is total, so that ties spread like other rows, and
+   counts per range tell which ranges are taken whole and where to cut.
 
 Which of the two runs depends on ``n`` alone, not on the data or its size.
 """
@@ -222,11 +225,13 @@ def first_n(df: DataFrame, n: int, order_by: Sequence[str], ascending: bool = Tr
     """
     order = _order(order_by, ascending)
     groups = [F.col(g) for g in partition_by]
+    large = n > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if prefilter is None:
-        prefilter = n > int(df.sparkSession.conf.get(
-            "spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+        prefilter = large
     if prefilter and mantissa_bits and ordinal(df, order_by[0]) is not None:
         df = _cutoff_filter(df, n, order_by[0], ascending, mantissa_bits, partition_by, sub_bits)
+    if large:
+        return _first_by_range(df, n, order, partition_by)
     # the first level merges sets of map tasks: any assignment gives the same rows
     buckets = _salt_buckets(df, salt_buckets)
     salted = df.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(buckets)))
@@ -240,6 +245,26 @@ def first_n(df: DataFrame, n: int, order_by: Sequence[str], ascending: bool = Tr
     return out.drop("__rn")
 
 
+def _first_by_range(df: DataFrame, n: int, order: list[Column], groups: Sequence[str]) -> DataFrame:
+    """The first ``n`` rows (per group) by a total order: rows are sorted into
+    ranges of groups and order, written once (so that the counts and the rows
+    speak of the same ranges), and cut by running counts of the ranges, one row
+    per range and group."""
+    from kestrel.session import scratch_path
+    columns, path = df.columns, scratch_path(df.sparkSession, "ranked")
+    ranges = df.repartitionByRange(*[F.col(g) for g in groups], *order).withColumn("__part", F.spark_partition_id())
+    schema = ranges.schema
+    ranges.write.parquet(path)
+    ranges = df.sparkSession.read.schema(schema).parquet(path)
+    before = Window.partitionBy(*groups).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = (ranges.groupBy("__part", *groups).agg(F.count(F.lit(1)).alias("__c"))
+              .withColumn("__before", F.coalesce(F.sum("__c").over(before), F.lit(0))).where(F.col("__before") < n))
+    starts = _renamed(counts, groups, "__k", F.col("__part").alias("__kpart"), "__before")
+    taken = ranges.join(starts, (F.col("__part") == F.col("__kpart")) & _group_eq(groups, "__k"))
+    place = F.row_number().over(Window.partitionBy("__part", *groups).orderBy(*order))
+    return (taken.withColumn("__rn", place).where(F.col("__rn") + F.col("__before") <= n).select(*[F.col(f"`{c}`") for c in columns]))
+
+
 def last_n(df: DataFrame, n: int, order_by: Sequence[str], salt_buckets: int | None = None) -> DataFrame:
     """The last ``n`` rows by ``order_by`` (all columns descending)."""
     return first_n(df, n, order_by, ascending=False, salt_buckets=salt_buckets)

@@ -9,10 +9,13 @@ the output it wrote the first time.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import nullcontext
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.session import cached
+
 
 def _trigger(writer, available_now: bool, processing_time: str | None):
     if available_now:
@@ -67,12 +70,14 @@ def read_current(spark, out_path: str) -> DataFrame:
 def run_complete_overwrite(agg: DataFrame, out_path: str, checkpoint: str,
                            available_now: bool = True, processing_time: str | None = None,
                            writer: Callable[[DataFrame, str], None] | None = None,
-                           timeout: float | None = None, state_store: str | None = None):
+                           timeout: float | None = None, state_store: str | None = None,
+                           transform: Callable[[DataFrame], DataFrame] | None = None):
     """Complete-mode aggregate; each micro-batch replaces the whole result
     (naturally idempotent).  A batch is written to a folder of its own,
     ``out_path/version=<batch id>``, so a reader never meets a half-written or
     missing result: read it with ``read_current``.  The version before the
-    last is removed.  ``writer(df, path)`` may target a table instead.
+    last is removed.  ``transform`` turns a batch (evaluated once) into what is
+    kept of it.  ``writer(df, path)`` may target a table instead.
 
     ``state_store='rocksdb'`` selects the RocksDB state store (see
     ``use_rocksdb_state``) for aggregates keyed by something that grows with
@@ -88,7 +93,8 @@ def run_complete_overwrite(agg: DataFrame, out_path: str, checkpoint: str,
         if writer is not None:
             writer(batch, out_path)
         else:
-            batch.write.mode("overwrite").parquet(f"{out_path}/version={batch_id}")
+            with cached(batch) if transform else nullcontext():
+                (transform(batch) if transform else batch).write.mode("overwrite").parquet(f"{out_path}/version={batch_id}")
             for old in versions(batch.sparkSession, out_path)[:-2]:
                 _path(batch.sparkSession, f"{out_path}/version={old}", delete=True)
 

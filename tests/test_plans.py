@@ -13,9 +13,9 @@ MODEL = {"rf_train_score", "rf_holdout_metrics", "rf_stream_score", "model_save_
 FORBIDDEN = ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython",
              "ArrowEvalPython")
 # Windows without PARTITION BY run only over tables bounded by construction:
-# the per-partition counts of global_index and the bucket / sub-bucket
-# histograms of a global first_n cut.
-BOUNDED_ORDER_KEYS = {"__part", "__b", "__s"}
+# the per-partition counts of global_index, the bucket / sub-bucket histograms
+# of a global first_n cut, and a row per file split of with_position.
+BOUNDED_ORDER_KEYS = {"__part", "__b", "__s", "__place_file"}
 UNPARTITIONED = re.compile(r"windowspecdefinition\((\w+)#\d+L? (?:ASC|DESC)")
 
 

@@ -96,3 +96,35 @@ def test_heavy_set_bound_is_checked(spark, skewed):
     df, _ = skewed
     with pytest.raises(ValueError):
         drop_rare_values(df, "label", min_count=5, max_heavy=10**9)
+
+
+@pytest.mark.parametrize("kind", ["ties", "prefix"])
+@pytest.mark.parametrize("groups", [[], ["g"]])
+def test_large_heads_spread_ties_over_ranges(spark, kind, groups):
+    """A third of all rows tie on the first order column, or share its first
+    bytes: the result is exact, and no range holds much more than its share."""
+    from pyspark.sql import functions as F
+
+    from kestrel.operators import sampling
+    rows = 24_000
+    i = F.col("id")
+    tie = F.when(i % 3 == 0, F.lit("http://same.example/")).otherwise(F.concat(F.lit("http://x.example/"), i % 977))
+    df = spark.range(0, rows, 1, 6).select(
+        "id", (tie if kind == "ties" else F.concat(F.lit("http://long.example/"), F.lpad(F.xxhash64("id").cast("string"), 25, "0"))).alias("url"),
+        F.when(i % 50 < 40, "hot").when(i % 50 < 45, F.concat(F.lit("g"), i % 7)).alias("g"))
+    made = []
+    import kestrel.session as session
+    old = session.scratch_path
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    session.scratch_path = lambda s, name: made.append(old(s, name)) or made[-1]
+    try:
+        got = sampling.first_n(df, 1500, ["url", "id"], partition_by=groups)
+        ids = sorted(r["id"] for r in got.select("id").collect())
+    finally:
+        session.scratch_path = old
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    pdf = df.toPandas().sort_values(["url", "id"])
+    want = pdf.groupby("g", dropna=False).head(1500) if groups else pdf.head(1500)
+    assert ids == sorted(want["id"]) and got.columns == df.columns
+    sizes = [r["count"] for r in spark.read.parquet(made[0]).groupBy("__part").count().collect()]
+    assert len(sizes) >= 4 and max(sizes) <= 4 * sum(sizes) / len(sizes)

@@ -31,7 +31,7 @@ WITH t AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE co
 p AS (SELECT conv_id, turn, '<|' || coalesce(role, 'unknown') || '|>' || chr(10) || coalesce(text, '') || chr(10) AS line,
              md5(coalesce(role, chr(0)) || chr(1) || coalesce(text, chr(0))) AS h,
              row_number() OVER w AS n, lead(turn) OVER w IS NULL AS last
-      FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+      FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS LAST, role NULLS FIRST, md5(text) NULLS FIRST)),
 q AS (SELECT *, string_agg(h, ',') OVER (PARTITION BY conv_id ORDER BY n ROWS UNBOUNDED PRECEDING) AS pre FROM p),
 e AS (SELECT pre, min(conv_id) AS conv_id, max(n) AS n_turns, count(*) AS n_copies FROM q WHERE last GROUP BY pre),
 m AS (SELECT * FROM e WHERE pre NOT IN (SELECT pre FROM q WHERE NOT last))

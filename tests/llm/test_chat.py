@@ -37,5 +37,24 @@ def test_long_texts_and_many_copies(spark):
     assert len(got[59][2]) > len(long)
 
 
+def test_ties_go_by_role_then_digest(spark):
+    import hashlib
+    texts = ["b", "a", "c", "", None]
+    rows = [(1, 0, role, t) for role in ("y", None, "x") for t in texts] + [(2, None, None, t) for t in texts]
+    got = rendered(chat.format_chats(table(spark, rows)))
+    order = sorted(texts, key=lambda t: "" if t is None else hashlib.md5(t.encode()).hexdigest())
+    part = {r: "".join(f"<|{r or 'unknown'}|>\n{t or ''}\n" for t in order) for r in (None, "x", "y")}
+    assert got == {1: (15, 1, part[None] + part["x"] + part["y"])}      # the second is a prefix of the first
+
+
+def test_a_turn_logged_many_times_is_held_once(spark):
+    rows = table(spark, [(1, 0, "user", "again " * 200), (1, 1, "bot", "end"), (2, 0, "user", "other")])
+    many = rows.unionByName(rows.where("turn = 0 and conv_id = 1").join(spark.range(100_000), how="cross").drop("id"))
+    assert rendered(chat.format_chats(many)) == rendered(chat.format_chats(rows))
+    out = chat.format_chats(many)
+    sets = out._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in sets and "partial_collect_set" in sets      # combined before the shuffle
+
+
 def test_empty_table(spark):
     assert chat.format_chats(table(spark, [])).collect() == []

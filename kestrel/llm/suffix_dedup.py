@@ -29,7 +29,10 @@ are first dealt out such that equal windows meet:
 4. Repeats go back to their documents as spans, and the bytes are cut out.
 
 All steps take bounded memory: long documents are worked through in overlapping
-pieces, and the number of buckets grows with the text.
+pieces, and the number of buckets grows with the text.  Cutting holds a
+document's bytes twice.  Entries that need no bucket in particular (settled
+spans, anchors known to be shared) are dealt out from a place that depends on
+the task, so that no bucket gets what every task begins with.
 
 Defined results: a null text is empty; a document without id comes after all
 others and doesn't repeat one without id; rows with the same id don't repeat
@@ -58,9 +61,10 @@ SEGMENT_BUCKET_BYTES = 4 << 20
 #: text worked on at a time, segments held back before they are shipped, and
 #: windows sorted at a time (an anchor has fewer)
 CHUNK_BYTES, HELD_BYTES, SORTED_WINDOWS = 1 << 20, 6 << 20, 1 << 18
-#: an anchor with more windows is hot; hot anchors are listed on the driver, 8
-#: bytes for at least so many windows
-HOT_WINDOWS = 1 << 16
+#: an anchor with more windows is hot; at most ``HOT_LISTED`` of them, those
+#: with the most windows, are listed on the driver and broadcast (8 bytes each);
+#: further ones, each less than the text's size over ``HOT_LISTED``, keep a bucket
+HOT_WINDOWS, HOT_LISTED = 1 << 16, 1 << 22
 _LAST = np.iinfo(np.int64).max        # stands for a missing id
 _MANY = np.iinfo(np.int64).min        # an anchor that several documents of a chunk have
 
@@ -103,6 +107,13 @@ def _sizes(heads: np.ndarray, n: int) -> np.ndarray:
     return np.diff(np.concatenate((heads, [n])))
 
 
+def _first_turn() -> int:
+    """Where a task begins to deal out its entries: spread over all buckets."""
+    from pyspark import TaskContext
+    context = TaskContext.get()
+    return int(mix(np.array([context.partitionId() + 1 if context else 1], np.uint64))[0] >> np.uint64(1))
+
+
 def _keys(anchor: np.ndarray) -> np.ndarray:
     """48 bits of an anchor; a chance agreement only costs work later."""
     return (anchor >> np.uint64(16)).astype(np.int64)
@@ -116,7 +127,7 @@ def _announce(window: int, n_buckets: int):
     (``_MANY`` for several, whose rows follow as ``known`` to share) and the
     number of their windows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        turn = 0
+        turn = _first_turn()
         for batch in batches:
             for part, buf, off, _ in _pieces(batch, window):
                 anchor, _, n_win, doc = segments(buf, off, window, GRAM, PrefixHashes(buf))
@@ -162,7 +173,8 @@ def _announced(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 def _shared(hot_windows: int):
     """(rid, key) for the anchors of a bucket that more than one entry has, and
-    for those known to be shared; hot anchors also come without rid."""
+    for those known to be shared; hot anchors also come without rid, with the
+    number of their windows."""
     def run(table: pa.Table) -> pa.Table:
         known = table.column("known")
         first = table.filter(pc.invert(known))
@@ -175,20 +187,33 @@ def _shared(hot_windows: int):
         size = _sizes(head, len(key))
         several = np.repeat(size > 1, size)
         take = several & (row != _MANY)
-        hot = key[head][np.add.reduceat(n_win, head) > hot_windows] if len(head) else key
+        of_key = np.add.reduceat(n_win, head) if len(head) else n_win
+        hot, of_hot = key[head][of_key > hot_windows], of_key[of_key > hot_windows]
         more_key, more_row = _announced(table.filter(known))
         rid = np.concatenate((row[take], more_row, np.zeros(len(hot), np.int64)))
         none = np.arange(len(rid)) >= len(rid) - len(hot)
-        return pa.table({"rid": pa.array(rid, mask=none), "key": np.concatenate((key[take], more_key, hot))})
+        windows = np.concatenate((np.zeros(len(rid) - len(hot), np.int64), of_hot))
+        return pa.table({"rid": pa.array(rid, mask=none), "key": np.concatenate((key[take], more_key, hot)),
+                         "windows": pa.array(windows, mask=~none)})
     return run
 
 
-def shared_anchors(base: DataFrame, window: int, n_buckets: int, hot_windows: int = HOT_WINDOWS) -> DataFrame:
-    """(rid, keys): the anchors of each row that other rows have too; the row
-    without rid has the hot ones."""
-    return (base.select("rid", "text").mapInArrow(_announce(window, n_buckets), _ANNOUNCED)
-            .groupBy("bucket").applyInArrow(_shared(hot_windows), "rid long, key long")
-            .groupBy("rid").agg(F.collect_list("key").alias("keys")))
+def announced(base: DataFrame, window: int, n_buckets: int) -> DataFrame:
+    return base.select("rid", "text").mapInArrow(_announce(window, n_buckets), _ANNOUNCED)
+
+
+def shared_anchors(base: DataFrame, window: int, n_buckets: int, hot_windows: int = HOT_WINDOWS,
+                   hot_listed: int = HOT_LISTED) -> tuple[DataFrame, np.ndarray]:
+    """((rid, keys), hot): the anchors of each row that other rows have too, and
+    the hot ones, sorted."""
+    found = written(announced(base, window, n_buckets).groupBy("bucket")
+                    .applyInArrow(_shared(hot_windows), "rid long, key long, windows long"), "shared-anchors")
+    hot = found.where("rid is null")
+    if hot.count() > hot_listed:
+        hot = hot.orderBy(F.desc("windows"), "key").limit(hot_listed)
+    listed = hot.select("key").toArrow().column("key")
+    return (found.where("rid is not null").groupBy("rid").agg(F.collect_list("key").alias("keys")),
+            np.unique(listed.to_numpy()))
 
 
 _OFFERED = "bucket int, n int, size long, meta binary, body binary, hot boolean"
@@ -254,7 +279,7 @@ def _hot_windows(buf: np.ndarray, start: np.ndarray, length: np.ndarray, rid: np
     return settled, whole[one], [row[one], ids, begin, end], body[pos[one][:, None] + np.arange(window)]
 
 
-def _offer(window: int, n_buckets: int, hot: np.ndarray):
+def _offer(window: int, n_buckets: int, hot):
     """doc_id, rid, text, keys -> per portion and bucket the segments of shared
     anchors and the windows of ``hot`` ones; a row without ``size`` holds spans
     that are settled already."""
@@ -278,7 +303,7 @@ def _offer(window: int, n_buckets: int, hot: np.ndarray):
         settle(_merged(rid[later], ident[later], at[later], (at + length)[later]))
         stay = np.ones(len(key), bool)
         stay[later] = False
-        apart = np.isin(key, hot) & stay
+        apart = np.isin(key, hot.value) & stay
         apart, stay = np.flatnonzero(apart), np.flatnonzero(stay & ~apart)
         bucket = key % n_buckets
         stay = stay[np.argsort(bucket[stay], kind="stable")]
@@ -305,7 +330,7 @@ def _offer(window: int, n_buckets: int, hot: np.ndarray):
                                           names=["bucket", "n", "size", "meta", "body", "hot"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, turn = [], 0, 0
+        held, size, turn = [], 0, _first_turn()
         for batch in batches:
             for part, buf, off, base in _pieces(batch, window):
                 hashes = PrefixHashes(buf)
@@ -434,7 +459,7 @@ def _class_repeats(hashes: PrefixHashes, start: np.ndarray, ident: np.ndarray, a
 _RESULT = "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary"
 
 
-def _cut() :
+def _cut():
     """doc_id, rid, text, spans -> the texts without their spans."""
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
@@ -452,14 +477,12 @@ def _cut() :
                     text = buf[off[i]:off[i + 1]]
                     mine = slice(edge[i], edge[i + 1])
                     own = owner[mine] == ident[i]
-                    step = np.zeros(len(text) + 1, np.int64)
-                    np.add.at(step, start[mine][own], 1)
-                    np.add.at(step, end[mine][own], -1)
-                    gone = np.cumsum(step[:-1]) > 0
-                    turn = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0))
-                    removed.append(int(gone.sum()))
-                    spans.append([{"start": a, "end": b} for a, b in turn.reshape(-1, 2).tolist()])
-                    kept.append(text[~gone].tobytes() if removed[-1] else text.tobytes())
+                    none = np.zeros(int(own.sum()), np.int64)
+                    _, _, a, b = _merged(none, none, start[mine][own], end[mine][own])
+                    removed.append(int((b - a).sum()))
+                    spans.append([{"start": x, "end": y} for x, y in zip(a.tolist(), b.tolist())])
+                    gaps = zip([0, *b.tolist()], [*a.tolist(), len(text)])
+                    kept.append(b"".join(text[x:y].tobytes() for x, y in gaps if y > x))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(np.diff(off)), pa.array(removed, pa.int64()), pa.array(spans, kind),
                      pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "spans", "kept"])
@@ -471,10 +494,8 @@ def offered(base: DataFrame, window: int = WINDOW, hot_windows: int = HOT_WINDOW
     windows of anchors that several rows have."""
     n_bytes = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     least = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    anchors = shared_anchors(base, window, max(least, n_bytes // ANCHOR_BUCKET_BYTES), hot_windows)
-    anchors = written(anchors, "shared-anchors")
-    hot = anchors.where("rid is null").first()
-    hot = np.unique(np.array(hot["keys"] if hot else [], np.int64))
+    anchors, hot = shared_anchors(base, window, max(least, n_bytes // ANCHOR_BUCKET_BYTES), hot_windows)
+    hot = base.sparkSession.sparkContext.broadcast(hot)
     n_buckets = max(least, n_bytes // SEGMENT_BUCKET_BYTES)
     return (base.join(anchors, "rid").select("doc_id", "rid", "text", "keys")
             .mapInArrow(_offer(window, n_buckets, hot), _OFFERED))

@@ -96,6 +96,44 @@ def test_hot_anchors_of_odd_documents(spark, hot_windows):
     assert order(result(suffix_dedup.remove_repeats(docs, hot_windows=hot_windows))) == order(brute_force(rows))
 
 
+def test_no_bucket_gets_what_every_task_begins_with(spark):
+    """All entries of both shuffles, settled ones too, over many partitions."""
+    common = prose(77, 30)
+    texts = [f"{prose(k, 20)} {common} {prose(k // 2 + 9000, 30)}" for k in range(1200)]
+    base = documents(spark, texts).selectExpr("doc_id", "xxhash64(doc_id, text) rid", "cast(text as binary) text").repartition(48, "rid")
+    base = spark.createDataFrame(base.collect(), base.schema).repartition(48, "rid")
+    width = 32
+
+    def spread(rows, kind):
+        n = {}
+        for r in rows:
+            if kind(r):
+                n[r.bucket] = n.get(r.bucket, 0) + r.n
+        return [n.get(b, 0) for b in range(width)]
+
+    known = spread(suffix_dedup.announced(base, 50, width).collect(), lambda r: r.known)
+    assert sum(known) > 1000 and max(known) <= 4 * sum(known) / width
+    spark.conf.set("spark.sql.shuffle.partitions", str(width))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = suffix_dedup.offered(base).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    everything = spread(rows, lambda r: True)
+    assert max(everything) <= 4 * sum(everything) / width
+    settled = [r.bucket for r in rows if r["size"] is None]
+    assert len(settled) >= 20 and max(settled.count(b) for b in settled) <= 6
+
+
+def test_the_hottest_anchors_are_listed(spark):
+    texts = [f"{prose(k, 12)} {HOT_LINE if k % 3 == 0 else ''} {prose(k + 5000, 12)}" for k in range(300)]
+    base = documents(spark, texts).selectExpr("doc_id", "xxhash64(doc_id, text) rid", "cast(text as binary) text")
+    _, all_hot = suffix_dedup.shared_anchors(base, 50, 8, 40)
+    _, two = suffix_dedup.shared_anchors(base, 50, 8, 40, hot_listed=2)
+    assert len(all_hot) > 2 and len(two) == 2 and set(two) <= set(all_hot)
+
+
 def test_query_on_the_small_table(spark):
     sf = "/root/testdata/sf0.001"
     got = [tuple(r[c] for c in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"))

@@ -14,13 +14,16 @@ their shingles.
 A document becomes a candidate of an item when any bin agrees.  Candidates are
 verified by exact containment of the item's shingle set in the document's.
 
+An item of fewer words than a shingle is one shingle of just its words: it is
+contained in every document that has these words in a row, wherever they stand,
+and is looked up among the document's shingles of that many words.
+
 Items travel to the documents in blocks of bounded size (one pass over the
-documents per block); documents are never shuffled.
+documents per block, and one index per task); documents are never shuffled.
 
 Defined results: null or blank texts contain nothing and are contained in
-nothing; an item of fewer words than a shingle is one shingle of its own and is
-found only in a document that is just that; rows that repeat an item id report
-their highest containment; empty tables give no rows.
+nothing; rows that repeat an item id report their highest containment; empty
+tables give no rows.
 """
 
 from __future__ import annotations
@@ -63,21 +66,31 @@ class ItemIndex:
     def __init__(self, ids: list, texts: pa.Array, width: int):
         word, doc, _ = words(*utf8_bytes(texts))
         hashes, owner = shingles(word, doc, width)
-        self.ids, self.sets = [], []
-        for i, h in zip(ids, per_document(hashes, owner, len(ids))):
+        lengths = np.bincount(doc, minlength=len(ids))
+        self.ids, self.sets, below = [], [], []
+        for i, h, n in zip(ids, per_document(hashes, owner, len(ids)), lengths.tolist()):
             if len(h):
                 self.ids.append(i)
                 self.sets.append(np.unique(h))
+                below.append(n if n < width else 0)
+        # items shorter than a shingle, by their number of words: (hashes, items)
+        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for k in sorted(set(below) - {0}):
+            item = np.array([i for i, n in enumerate(below) if n == k], np.int64)
+            hashed = np.array([self.sets[i][0] for i in item], np.uint64)
+            order = np.argsort(hashed, kind="stable")
+            self.short[k] = hashed[order], item[order]
+        self.long = [i for i, n in enumerate(below) if not n]
         self.gate = np.zeros(_GATE, bool)
-        for s in self.sets:
-            self.gate[s & np.uint64(_GATE - 1)] = True
+        for i in self.long:
+            self.gate[self.sets[i] & np.uint64(_GATE - 1)] = True
         self.classes: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def of_class(self, c: int) -> tuple[np.ndarray, np.ndarray]:
         if c not in self.classes:
-            sketch = [s if len(s) < SMALL_ITEM else bin_minima(s, c) for s in self.sets]
+            sketch = [s if len(s) < SMALL_ITEM else bin_minima(s, c) for s in (self.sets[i] for i in self.long)]
             hashes = np.concatenate(sketch) if sketch else np.zeros(0, np.uint64)
-            item = np.repeat(np.arange(len(sketch)), [len(s) for s in sketch])
+            item = np.repeat(np.array(self.long, np.int64), [len(s) for s in sketch])
             order = np.argsort(hashes, kind="stable")
             self.classes[c] = hashes[order], item[order]
         return self.classes[c]
@@ -103,20 +116,30 @@ class ItemIndex:
     def small_gate(self) -> np.ndarray:
         if not hasattr(self, "_small_gate"):
             self._small_gate = np.zeros(_GATE, bool)
-            for s in self.sets:
+            for s in (self.sets[i] for i in self.long):
                 if len(s) < SMALL_ITEM:
                     self._small_gate[s & np.uint64(_GATE - 1)] = True
         return self._small_gate
 
+    def short_items(self, word: np.ndarray, doc: np.ndarray) -> list[tuple[int, int]]:
+        """(document, item) for the short items whose words stand in a row there."""
+        out = set()
+        for k, (known, item) in self.short.items():
+            hashes, owner = shingles(word, doc, k)
+            lo, hi = np.searchsorted(known, hashes, "left"), np.searchsorted(known, hashes, "right")
+            for at in np.flatnonzero(hi > lo):
+                out.update((int(owner[at]), int(i)) for i in item[lo[at]:hi[at]])
+        return sorted(out)
+
 
 def _matches(index: ItemIndex, part: pa.RecordBatch, buf: np.ndarray, off: np.ndarray, width: int,
              least: float) -> list[tuple[int, int, int]]:
     """(row, item, shared shingles) for items contained in a row's text."""
     word, doc, _ = words(buf, off)
     hashes, owner = shingles(word, doc, width)
-    out = []
+    out = [(row, item, 1) for row, item in index.short_items(word, doc)]
     for row, h in enumerate(per_document(hashes, owner, part.num_rows)):
-        if len(h):
+        if len(h) and index.long:
             h = np.unique(h)
             for item in index.candidates(h):
                 wanted = index.sets[item]
@@ -171,9 +194,12 @@ def contained_items(docs: DataFrame, items: DataFrame, width: int = 5, least: fl
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, width: int = 5, least: float = 0.8,
                       block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` without the rows that contain an item; no shuffle."""
+    """``docs`` without the rows that contain an item; no shuffle.  What a block
+    of items leaves is written before the next one comes, so a task holds one
+    block's index however many there are."""
     spark = docs.sparkSession
-    for block in _blocks(items, width, block_bytes):
+    for k, block in enumerate(_blocks(items, width, block_bytes)):
+        docs = written(docs, "decontaminated") if k else docs
         shared = spark.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

@@ -88,23 +88,26 @@ def source_cuts(placed: DataFrame, weights: Sequence[float] = (5, 2, 1), share:
     units = written(units, "units")
     n = units.count()
     bits = max(0, (max(1, n) // rows_per_range).bit_length())
-    units = units.withColumn("__range", F.shiftright("__key", KEY_BITS - bits))
-    ranges = units.groupBy("__nosrc", "__src", "__range").agg(F.sum("__words").alias("__words"))
+    units = units.withColumn("__part", F.shiftright("__key", KEY_BITS - bits))
+    ranges = units.groupBy("__nosrc", "__src", "__part").agg(F.sum("__words").alias("__words"))
     sizes = ranges.groupBy("__nosrc", "__src").agg(F.sum("__words").alias("source_size"))
     targets = written(source_targets(sizes, weights, share, most), "targets").withColumns({
         "__epochs": F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size")))
         .otherwise(F.lit(0)).cast("long")})
     targets = targets.withColumn("__rest", (F.floor("target") - F.col("__epochs") * F.col("source_size")).cast("long"))
-    w = (Window.partitionBy("__nosrc", "__src").orderBy("__range")
-         .rowsBetween(Window.unboundedPreceding, -1))
-    starts = ranges.withColumn("__start", F.coalesce(F.sum("__words").over(w), F.lit(0)))
+    # summed in the order of all sources, so that no task holds all ranges of a source
+    upto = written(running_sums(ranges, ["__nosrc", "__src", "__part"], {"__upto": "__words"})
+                   .withColumn("__start", F.col("__upto") - F.col("__words")), "starts")
+    first = upto.groupBy("__nosrc", "__src").agg(F.min("__start").alias("__first"))
+    starts = (upto.join(targets.join(first, ["__nosrc", "__src"]), ["__nosrc", "__src"])
+              .withColumn("__start", F.col("__start") - F.col("__first")))
     # only the range in which the budget ends is looked at row by row
-    last = (starts.join(targets, ["__nosrc", "__src"])
-            .where((F.col("__start") < F.col("__rest")) & (F.col("__start") + F.col("__words") >= F.col("__rest")))
-            .select("__nosrc", "__src", "__range", "__start", "__rest"))
-    w = (Window.partitionBy("__nosrc", "__src", "__range").orderBy(*_PLACE)
+    last = (starts.where((F.col("__start") < F.col("__rest"))
+                         & (F.col("__start") + F.col("__words") >= F.col("__rest")))
+            .select("__nosrc", "__src", "__part", "__start", "__rest"))
+    w = (Window.partitionBy("__nosrc", "__src", "__part").orderBy(*_PLACE)
          .rowsBetween(Window.unboundedPreceding, -1))
-    ends = (units.join(last, ["__nosrc", "__src", "__range"])
+    ends = (units.join(last, ["__nosrc", "__src", "__part"])
             .withColumn("__before", F.col("__start") + F.coalesce(F.sum("__words").over(w), F.lit(0)))
             .where("__before < __rest")
             .groupBy("__nosrc", "__src")

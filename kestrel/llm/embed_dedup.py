@@ -14,8 +14,8 @@ the pairs.  Vectors that are equal in every component form one class first, so
 a group of copies of any size is one row here.
 
 Defined results: a vector that is null, empty, zero, or holds a null or
-non-finite component, a null label, or a null id is linked with nothing;
-vectors of different length are never linked; rows that share an id are one
+non-finite component, a null label, or a null id is linked with nothing; very
+large and very small components don't overflow; vectors of different length are never linked; rows that share an id are one
 vector with all their links; other columns are ignored; empty input gives no
 rows.
 """
@@ -54,6 +54,10 @@ def fit_cells(vectors: np.ndarray, cells: int, rounds: int = 8, seed: int = 5) -
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
+    """Rows of length 1; each row is first scaled by a power of two, which
+    changes no digit, so that no square over- or underflows."""
+    _, exponent = np.frexp(np.abs(x).max(axis=1, keepdims=True, initial=0.0))
+    x = np.ldexp(x, -exponent)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 

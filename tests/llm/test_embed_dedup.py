@@ -74,6 +74,14 @@ def test_odd_rows(spark):
         ("1", 1, True), ("2", 1, False), ("2", 1, False), ("None", None, True)]
 
 
+def test_no_square_overflows(spark):
+    rows = [(1, [1e200, 2e200], 1), (2, [1.01e200, 2e200], 1), (3, [1e-200, 2e-200], 1), (4, [2e-200, -1e-200], 1),
+            (5, [1e308, -1e308], 1), (6, [5e-324, 0.0], 1), (7, [3.0, 0.0], 1), (8, [1e-310, 1e-318], 1)]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    assert result(embed_dedup.near_duplicate_vectors(docs)) == {
+        1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (0, 4), 5: (0, 5), 6: (2, 6), 7: (2, 6), 8: (2, 6)}
+
+
 def test_empty_table(spark):
     assert embed_dedup.near_duplicate_vectors(table(spark, [])).collect() == []
     assert len(embed_dedup.near_duplicate_vectors(table(spark, [(1, None, None)])).collect()) == 1

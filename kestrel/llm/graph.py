@@ -1,8 +1,9 @@
 """Connected components of a link table, by alternating star contractions.
 
-Each round reduces to per-node minima (combined map-side) and one join; no
-node's neighbours are gathered in one row.  Rounds are logarithmic in the
-longest path, and each round's links are written to the shared folder.
+Each round reduces to per-node minima (combined map-side) and a join with them;
+no node's neighbours are gathered in one row or, for a hub, in one task.  Rounds
+are logarithmic in the longest path, and each round's links are written to the
+shared folder.
 """
 
 from __future__ import annotations
@@ -13,17 +14,34 @@ from pyspark.sql import functions as F
 from kestrel.llm.scratch import written
 
 
+#: a node that holds at least one in so many of all link ends is a hub
+HUB_SHARE = 1_000
+
+
+def _with_low(rows: DataFrame, low: DataFrame) -> DataFrame:
+    """``rows`` (a, b) with the ``low`` of their a.  ``low`` (a, low, degree) is
+    one row per node.  Hubs, at most ``HUB_SHARE`` nodes whatever the input, are
+    broadcast and their rows stay where they are; the others are shuffled."""
+    low = written(low, "low")
+    ends = low.agg(F.sum("degree")).first()[0] or 0
+    hub = F.col("degree") * HUB_SHARE >= ends
+    hubs = F.broadcast(low.where(hub).select("a", F.col("low").alias("hub_low")))
+    tagged = rows.join(hubs, "a", "left")
+    others = tagged.where("hub_low is null").select("a", "b").join(low.where(~hub).select("a", "low"), "a")
+    return others.union(tagged.where("hub_low is not null").select("a", "b", F.col("hub_low").alias("low")))
+
+
 def _star(links: DataFrame, large: bool) -> DataFrame:
     """Large star: every larger neighbour of u points to the smallest of u and
     its neighbours.  Small star: u and its smaller neighbours do."""
     if large:
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("low"))
-        out = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
+        low = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("low"), F.count("*").alias("degree"))
+        out = _with_low(both.where("b > a"), low).select(F.col("b").alias("a"), F.col("low").alias("b"))
         return out.where("a <> b")
     down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    low = down.groupBy("a").agg(F.min("b").alias("low"))
-    out = (down.join(low, "a")
+    low = down.groupBy("a").agg(F.min("b").alias("low"), F.count("*").alias("degree"))
+    out = (_with_low(down, low)
            .select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("low").alias("b")),
                                      F.struct(F.col("a"), F.col("low").alias("b")))).alias("e"))
            .select("e.a", "e.b"))
@@ -46,7 +64,7 @@ def components(links: DataFrame) -> DataFrame:
     links = written(links.select(F.greatest("a", "b").cast("long").alias("a"), F.least("a", "b").cast("long").alias("b"))
                     .where("a <> b").distinct(), "links")
     while not _is_star_forest(links):
-        links = written(_star(_star(links, True), False), "links")
+        links = written(_star(written(_star(links, True), "links"), False), "links")
     roots = links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return links.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)
 

@@ -2,7 +2,9 @@ import random
 
 import pytest
 
-from kestrel.llm.graph import components, shared_id_links
+from pyspark.sql import functions as F
+
+from kestrel.llm.graph import _with_low, components, shared_id_links
 
 
 def brute_force(links):
@@ -36,6 +38,20 @@ def test_components(spark, name):
     assert {r.node: r.root for r in rows} == brute_force(GRAPHS[name]) and len(rows) == len({r.node for r in rows})
 
 
+def test_a_hub_is_not_shuffled(spark):
+    """The rows of a hub stay in the partitions where they lie."""
+    rows = [(0, k) for k in range(1, 3001)] + [(5000 + 2 * k, 5001 + 2 * k) for k in range(2000)]
+    links = spark.createDataFrame(rows, "a long, b long")
+    low = links.groupBy("a").agg(F.min("b").alias("low"), F.count("*").alias("degree"))
+    out = _with_low(links, low)
+    got = {(r.a, r.b): r.low for r in out.collect()}
+    assert len(got) == len(rows) and got == {(a, b): 1 if a == 0 else b for a, b in rows}
+    lie = [sorted(r["count"] for r in df.where("a = 0").groupBy(F.spark_partition_id()).count().collect())
+           for df in (links, out)]
+    assert lie[0] == lie[1] and len(lie[0]) > 1
+    assert {r.node: r.root for r in components(links).collect()} == brute_force(rows)
+
+
 def test_shared_ids(spark):
     members = spark.createDataFrame([(1, 10), (1, 11), (1, 12), (2, 12), (3, 13), (3, 13)], "id long, node long")
     assert sorted((r.a, r.b) for r in shared_id_links(members).collect()) == [(11, 10), (12, 10)]

@@ -65,7 +65,8 @@ v AS (SELECT doc_id, source, rank, kind, m, e - length(m) AS s, e,
       FROM r WHERE m IS NOT NULL),
 w AS (SELECT * FROM v WHERE (rank = 1 AND length(val) >= 12) OR rank IN (2, 3)
         OR (rank = 4 AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[a-z]') AND regexp_matches(m, '[0-9]'))),
-o AS (SELECT val, count(DISTINCT source) < {secrets.EXAMPLE_OWNERS} AS live FROM w GROUP BY val),
+o AS (SELECT val, count(DISTINCT source) < {secrets.EXAMPLE_OWNERS}
+                    OR count(DISTINCT doc_id) < {secrets.EXAMPLE_REPOSITORIES} AS live FROM w GROUP BY val),
 x AS (SELECT doc_id, rank, kind, s, kind || ':' || s::BIGINT || ':' || e::BIGINT AS span, live FROM w JOIN o USING (val)
       WHERE rank < 4 OR live),
 y AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,

@@ -2,8 +2,9 @@
 
 Pattern matches give candidate strings with their spans.  Each candidate is
 hashed and counted over the corpus: in how many repositories and by how many
-owners it occurs.  A string that many owners share is a copied example; one
-that few owners hold looks live.  Long mixed-character strings outside the
+owners it occurs.  A string that several owners hold in several repositories is
+a copied example; one of few owners, or of one repository that many share, looks
+live.  Long mixed-character strings outside the
 patterns are reported only when they look live (kind ``opaque``).
 
 DataFrame functions only.  The texts are scanned where they are; only
@@ -45,8 +46,11 @@ BASE: Mapping[str, tuple[str, int, int]] = {
 }
 OPAQUE = r"[A-Za-z0-9+/_-]{20,}"
 KINDS = [*BASE, "opaque"]
-#: a string held by at least so many owners is a copied example
+#: a string held by at least so many owners, in at least so many repositories, is a copied example
 EXAMPLE_OWNERS = 3
+EXAMPLE_REPOSITORIES = 3
+#: code points of the pieces that a text to be redacted is cut into
+PIECE = 1_024
 
 
 def _found(text: Column, kind: str, pattern: str) -> Column:
@@ -100,13 +104,14 @@ def ownership(found: DataFrame) -> DataFrame:
 
 
 def scan_spans(docs: DataFrame, owner: str = "source", repository: str = "doc_id",
-               example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
+               example_owners: int = EXAMPLE_OWNERS,
+               example_repositories: int = EXAMPLE_REPOSITORIES) -> DataFrame:
     """One row per document that has candidates (__id, __tie): ``__found``, an
-    array of (start, rank, kind, end, live, n_owners, n_repos) in order.  Owners
-    alone decide what is live; the repositories are counted for the reader."""
+    array of (start, rank, kind, end, live, n_owners, n_repos) in order.  What
+    falls short of either count is live."""
     found = written(candidates(docs, owner, repository), "candidates")
     owned = written(ownership(found), "ownership")
-    live = F.col("n_owners") < example_owners
+    live = (F.col("n_owners") < example_owners) | (F.col("n_repos") < example_repositories)
     rank = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
     return (found.join(owned, "hash")
             .where((F.col("kind") != "opaque") | live)
@@ -116,9 +121,10 @@ def scan_spans(docs: DataFrame, owner: str = "source", repository: str = "doc_id
 
 
 def scan_secrets(docs: DataFrame, owner: str = "source", repository: str = "doc_id",
-                 example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
+                 example_owners: int = EXAMPLE_OWNERS,
+                 example_repositories: int = EXAMPLE_REPOSITORIES) -> DataFrame:
     """``docs`` with ``__found`` (see ``scan_spans``; empty array for none)."""
-    spans = scan_spans(docs, owner, repository, example_owners)
+    spans = scan_spans(docs, owner, repository, example_owners, example_repositories)
     return (_keyed(docs).join(spans, ["__id", "__tie"], "left").drop("__id", "__tie")
             .withColumn("__found", F.coalesce("__found", F.array().cast(spans.schema["__found"].dataType))))
 
@@ -138,24 +144,50 @@ def digest(scanned: DataFrame) -> DataFrame:
         count(lambda s: s["live"]).alias("n_live"), count(lambda s: ~s["live"]).alias("n_example"))
 
 
+def _between(pieces: Column, lo: Column, hi: Column) -> Column:
+    """Code points [lo, hi) of the text whose pieces these are: at most the two
+    pieces at the ends are cut, so the cost is what is copied, not the place."""
+    def piece(at: Column) -> Column:
+        return F.coalesce(F.get(pieces, at.cast("int")), F.lit(""))
+    first, last = F.floor(lo / PIECE), F.floor(hi / PIECE)
+    lo, hi = lo - first * PIECE, hi - last * PIECE
+    inner = F.slice(pieces, (first + 2).cast("int"), F.greatest(last - first - 1, F.lit(0)).cast("int"))
+    return (F.when(first == last, F.substring(piece(first), (lo + 1).cast("int"), (hi - lo).cast("int")))
+            .otherwise(F.concat(F.substring(piece(first), (lo + 1).cast("int"), F.lit(PIECE)), F.array_join(inner, ""),
+                                F.substring(piece(last), F.lit(1), hi.cast("int")))))
+
+
 def redact(docs: DataFrame, owner: str = "source", repository: str = "doc_id",
-           example_owners: int = EXAMPLE_OWNERS, mark: str = "[SECRET]") -> DataFrame:
+           example_owners: int = EXAMPLE_OWNERS, example_repositories: int = EXAMPLE_REPOSITORIES,
+           mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every live-looking span of ``text`` replaced by ``mark``
-    (overlapping spans by one) and ``n_chars``, if there, counted again."""
-    scanned = scan_secrets(docs, owner, repository, example_owners)
-    live = F.filter("__found", lambda s: s["live"])
-    kind = "struct<pos:int,out:string>"
-    # walk the spans in order: copy what lies between them, write the mark once per run
-    walked = F.aggregate(
-        live, F.struct(F.lit(0).alias("pos"), F.lit("").alias("out")).cast(kind),
-        lambda a, s: F.struct(
-            F.greatest(a["pos"], s["end"]).cast("int").alias("pos"),
-            F.when(s["start"] >= a["pos"],
-                   F.concat(a["out"], F.substring("text", a["pos"] + 1, s["start"] - a["pos"]), F.lit(mark)))
-            .otherwise(a["out"]).alias("out")).cast(kind),
-        lambda a: F.concat(a["out"], F.substring("text", a["pos"] + 1, F.length("text"))))
-    text = F.when(F.size(live) > 0, walked).otherwise(F.col("text"))
-    out = scanned.withColumn("__text", text)
+    (overlapping spans by one) and ``n_chars``, if there, counted again.
+
+    Spans that overlap are joined to runs in a row per span, ordered by a window;
+    a document's runs and the text between them are put together once."""
+    spans = scan_spans(docs, owner, repository, example_owners, example_repositories)
+    live = (spans.select("__id", "__tie", F.explode(F.filter("__found", lambda s: s["live"])).alias("s"))
+            .select("__id", "__tie", "s.start", "s.end"))
+    order = Window.partitionBy("__id", "__tie").orderBy("start", "end")
+    upto = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = (upto.isNull() | (F.col("start") >= upto)).cast("int")
+    runs = (live.withColumn("opens", opens)
+            .withColumn("run", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+            .groupBy("__id", "__tie", "run").agg(F.min("start").alias("start"), F.max("end").alias("end")))
+    # the text before each run, and after the last: [end of the one before, start of this)
+    one = Window.partitionBy("__id", "__tie").orderBy("start")
+    gaps = (runs.withColumn("lo", F.coalesce(F.lag("end").over(one), F.lit(0)))
+            .groupBy("__id", "__tie")
+            .agg(F.array_sort(F.collect_list(F.struct("lo", F.col("start").alias("hi")))).alias("__gaps"),
+                 F.max("end").alias("__last")))
+    scanned = _keyed(docs).join(gaps, ["__id", "__tie"], "left").withColumn(
+        "__pieces", F.when(F.col("__gaps").isNotNull(),
+                           F.regexp_extract_all("text", F.lit("(?s).{1,%d}" % PIECE), F.lit(0))))
+    pieces = F.col("__pieces")
+    kept = F.concat(F.transform("__gaps", lambda g: _between(pieces, g["lo"], g["hi"])),
+                    F.array(_between(pieces, F.col("__last"), F.length("text"))))
+    out = scanned.withColumn("__text", F.when(F.col("__gaps").isNotNull(), F.array_join(kept, mark))
+                             .otherwise(F.col("text")))
     names = docs.columns
     cols = {"text": F.col("__text")}
     if "n_chars" in names:

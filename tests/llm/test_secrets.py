@@ -1,8 +1,10 @@
 import hashlib
 import re
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from kestrel.llm import secrets
 from tests.llm.data import documents, odd_texts
@@ -63,6 +65,29 @@ def test_ownership_separates_examples_from_live(spark):
     assert out == {0: texts[0], 1: texts[1], 2: f"c {example} [SECRET] [SECRET]", 3: "d [SECRET]"}
 
 
+def test_one_shared_repository_makes_no_example(spark):
+    """Owners and repositories both decide: six owners of one repository hold a live string."""
+    shared, example = "deadbeefdeadbeef0001", "cafebabecafebabe0002"
+    docs = documents(spark, [f"{k} {shared} {example if k < 3 else ''}" for k in range(6)],
+                     sources=[f"o{k}" for k in range(6)]).withColumn("repo", F.when(F.col("doc_id") < 3, F.col("doc_id")))
+    docs = docs.withColumn("one", F.lit("r"))
+    for repository, n in (("one", 1), ("repo", 4)):
+        found = [s for r in secrets.scan_secrets(docs, repository=repository).collect() for s in r["__found"]]
+        assert len(found) == 9 and {s.n_repos for s in found if s.n_owners == 6} == {n}
+        assert {s.live for s in found} == {repository == "one"}
+
+
+@pytest.mark.parametrize("gap", [0, 1, 700, 1023, 1024, 1025, 3000])
+def test_redacting_long_texts(spark, gap):
+    """Runs of spans at and across the edges of pieces, with wide code points between."""
+    secret = "token=Zx9kQ2mN7pL4vB8sT1wY6"
+    between = ("\U0001f600\né" * gap)[:gap]
+    texts = [between + f"{between}; ".join([secret] * 40) + between, secret, between, f"{secret} {secret}" + between]
+    out = {r.doc_id: (r.text, r.n_chars) for r in secrets.redact(documents(spark, texts)).collect()}
+    plain = [t.replace(secret, "[SECRET]") for t in texts]
+    assert out == {k: (t, len(t)) for k, t in enumerate(plain)}
+
+
 def test_spans_carry_both_counts(spark):
     copied = "deadbeefdeadbeef0001"
     docs = documents(spark, [f"{k} {copied}" for k in range(6)] + ["none"], sources=["o1", "o2"] * 3 + ["o1"])

@@ -8,10 +8,11 @@ also sent there as a visitor, and no link between cells is missed: recall is
 exact whatever the centroids.
 
 Inside a cell, residents are cut into blocks; a block meets each block of
-residents and visitors in a task of its own, as one matrix product.  Tasks
-return a count per vector and a spanning star of the links they found, never
-the pairs.  Vectors that are equal in every component form one class first, so
-a group of copies of any size is one row here.
+residents and visitors in a task of its own, as matrix products of a slice of
+rows with the other block.  Tasks return a count per vector and a spanning star
+of the links they found, never the pairs.  Vectors that are equal in every
+component form one class first, so a group of copies of any size is one row
+here.
 
 Defined results: a vector that is null, empty, zero, or holds a null or
 non-finite component, a null label, or a null id is linked with nothing; very
@@ -37,6 +38,8 @@ from kestrel.llm.scratch import written
 SAMPLE_ROWS = 20_000
 CELL_ROWS = 1_000
 BLOCK_ROWS = 1_024
+#: rows of a block that are compared with the other block at once
+SLICE_ROWS = 256
 MAX_CELLS = 1_024
 
 
@@ -129,13 +132,18 @@ def _assign(classes: DataFrame, centre: dict[int, np.ndarray], reach: float) ->
     return classes.select("label", "dim", "node", "rows", "v").mapInArrow(run, schema)
 
 
-def _stars(links: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(node, smallest linked-to node reached) for a symmetric link matrix."""
-    root = nodes.copy()
+def _stars(links: np.ndarray, first: np.ndarray, second: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+    """Smallest of ``nodes`` that each row reaches over ``links``, a matrix
+    between the rows ``first`` and ``second``."""
+    root, top = nodes.copy(), np.iinfo(np.int64).max
     while True:
-        low = np.minimum(root, np.where(links, root[None, :], np.iinfo(np.int64).max).min(axis=1))
+        low = root.copy()
+        for at in range(0, len(first), SLICE_ROWS):
+            part, rows = links[at:at + SLICE_ROWS], first[at:at + SLICE_ROWS]
+            low[rows] = np.minimum(low[rows], np.where(part, root[second], top).min(axis=1))
+            low[second] = np.minimum(low[second], np.where(part, root[rows][:, None], top).min(axis=0))
         if (low == root).all():
-            return nodes, root
+            return root
         root = low
 
 
@@ -145,24 +153,29 @@ def _compare(least: float):
         x = _unit(np.stack(pdf["v"].to_numpy()).astype(np.float64))
         node, rows = pdf["node"].to_numpy(np.int64), pdf["rows"].to_numpy(np.int64)
         home, cell, block = pdf["home"].to_numpy(), pdf["cell"].to_numpy(), pdf["block"].to_numpy()
-        links = x @ x.T >= least
         resident = home == cell
-        # a pair counts once: residents in their block pair, a resident and a
-        # visitor in the lower of the two cells where they meet
-        pair = resident[:, None] & resident[None, :]
         visits = pdf["visits"].to_numpy()
         goes = np.zeros((len(x), int(max(home.max(), cell.max(), *[max(v, default=0) for v in visits])) + 1), bool)
         goes[np.repeat(np.arange(len(x)), [len(v) for v in visits]), np.concatenate(visits).astype(np.int64)] = True
-        guest = np.flatnonzero(~resident)
-        meets = np.zeros((len(x), len(x)), bool)
-        meets[guest] = resident & ((cell[guest] < home[guest])[:, None] | ~goes[:, home[guest]].T)
-        pair |= meets | meets.T
-        if own != other:
-            pair &= block[:, None] != block[None, :]
-        links &= pair
-        np.fill_diagonal(links, False)
-        n_links = links @ rows
-        node, root = _stars(links, node)
+        first, second = np.flatnonzero(block == own), np.flatnonzero(block == other)
+        links = np.zeros((len(first), len(second)), bool)
+        for at in range(0, len(first), SLICE_ROWS):
+            a = first[at:at + SLICE_ROWS]
+            # a pair counts once: residents in their block pair, a resident and a
+            # visitor in the lower of the two cells where they meet
+            here, there = resident[a][:, None], resident[second]
+            left = (cell[a] < home[a])[:, None] | ~goes[np.ix_(second, home[a])].T
+            right = (cell[second] < home[second]) | ~goes[np.ix_(a, home[second])]
+            meets = (here & there) | (here & ~there & right) | (~here & there & left)
+            links[at:at + SLICE_ROWS] = meets & (x[a] @ x[second].T >= least)
+        n_links = np.zeros(len(x), np.int64)
+        if own == other:
+            np.fill_diagonal(links, False)
+            links |= links.T.copy()
+        else:
+            n_links[second] = rows[first] @ links
+        n_links[first] = links @ rows[second]
+        root = _stars(links, first, second, node)
         hit = n_links > 0
         return pd.DataFrame({"node": node[hit], "n_links": n_links[hit], "root": root[hit]})
     return run

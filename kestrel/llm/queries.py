@@ -45,6 +45,11 @@ def _sql(pattern: str) -> str:
     return pattern.replace("'", "''")
 
 
+#: the words of ``text``, A-Z lower-cased
+_WORD_LIST = (r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+              r"'[^\x20\x09-\x0D]+')")
+
+
 @query("op3_secret_scans", f"""
 WITH d AS (SELECT doc_id, coalesce(source, chr(0)) AS source, coalesce(text, '') AS t FROM documents),
 k(kind, rank, pat) AS (VALUES ('assign', 1, '{_sql(secrets.ASSIGN)}'), ('access', 2, '{secrets.BASE["access"][0]}'),
@@ -129,12 +134,36 @@ def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicate_vectors(read_table(spark, sf_dir, "embeddings"), 0.98)
 
 
-@query("op6_minhash_near_dedup")
+@query("op6_minhash_near_dedup", f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_WORD_LIST} AS ws FROM documents),
+g AS (SELECT doc_id, CASE WHEN len(ws) > 1 THEN list_sort(list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])))
+                          ELSE coalesce(ws, []) END AS s FROM w),
+c AS (SELECT min(doc_id) AS id, s, len(s) AS n FROM g WHERE len(s) > 0 GROUP BY s),
+e AS (SELECT id, n, unnest(s) AS x FROM c),
+l AS (SELECT a.id AS a, b.id AS b FROM e a JOIN e b ON a.x = b.x AND a.id <> b.id AND least(a.n, b.n) * 100 >= greatest(a.n, b.n) * 80
+      GROUP BY a.id, b.id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+m AS (SELECT a AS id, least(a, min(b)) AS root FROM r GROUP BY a)
+SELECT g.doc_id, len(g.s)::BIGINT AS n_shingles, coalesce(m.root, c.id, g.doc_id) AS component_id,
+       g.doc_id = coalesce(m.root, c.id, g.doc_id) AS kept
+FROM g LEFT JOIN c ON c.s = g.s LEFT JOIN m ON m.id = c.id""")
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents"), width=2, percent=80).drop("tie")
 
 
-@query("op7_benchmark_decontamination")
+@query("op7_benchmark_decontamination", f"""
+WITH d AS (SELECT doc_id, {_WORD_LIST} AS ws FROM documents),
+i AS (SELECT DISTINCT item_id, {_WORD_LIST} AS ws FROM benchmark),
+q AS (SELECT *, row_number() OVER () AS r, least(5, len(ws)) AS k,
+             list_distinct(list_transform(range(1, len(ws) - least(5, len(ws)) + 2), lambda j: ws[j:j + least(5, len(ws)) - 1])) AS s
+      FROM i WHERE len(ws) > 0),
+x AS (SELECT r, item_id, len(s) AS n, unnest(s) AS g FROM q),
+y AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(ws) - k + 2), lambda j: ws[j:j + k - 1])) AS g
+      FROM d, (SELECT DISTINCT k FROM q) WHERE len(ws) >= k),
+m AS (SELECT doc_id, item_id, n AS n_shingles, count(*) AS n_shared FROM x JOIN y USING (g) GROUP BY doc_id, r, item_id, n
+      HAVING 100 * count(*) >= 80 * n)
+SELECT *, n_shared / n_shingles AS containment FROM m
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_shared / n_shingles DESC, n_shingles DESC) = 1""")
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contained_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -158,7 +187,20 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("score") >= 0.7).cast("int").alias("predicted")))
 
 
-@query("op1_suffix_dedup")
+@query("op1_suffix_dedup", """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS (SELECT doc_id, p, b[p:p + 49] AS g FROM (SELECT doc_id, b, unnest(range(1, octet_length(b) - 48)) AS p FROM d)),
+f AS (SELECT g, min(doc_id) AS low FROM w GROUP BY g HAVING min(doc_id) < max(doc_id)),
+m AS (SELECT doc_id, p, p > lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 50 AS gap FROM w JOIN f USING (g) WHERE doc_id > low),
+i AS (SELECT doc_id, p, count(*) FILTER (gap) OVER (PARTITION BY doc_id ORDER BY p) AS k FROM m),
+s AS (SELECT doc_id, min(p) AS lo, max(p) + 50 AS hi FROM i GROUP BY doc_id, k),
+l AS (SELECT doc_id, lo, coalesce(lag(hi) OVER o, 1) AS since, hi, lead(lo) OVER o IS NULL AS last FROM s WINDOW o AS (PARTITION BY doc_id ORDER BY lo)),
+r AS (SELECT doc_id, sum(hi - lo) AS n_removed, count(*) AS n_spans,
+             string_agg(hex(b[since:lo - 1]), '' ORDER BY lo) || max(CASE WHEN last THEN hex(b[hi:octet_length(b)]) ELSE '' END) AS kept
+      FROM l JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       CASE WHEN n_spans IS NULL THEN sha256(b) ELSE sha256(unhex(kept)) END AS kept_sha256
+FROM d LEFT JOIN r USING (doc_id)""")
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),

@@ -31,6 +31,18 @@ def _with_low(rows: DataFrame, low: DataFrame) -> DataFrame:
     return others.union(tagged.where("hub_low is not null").select("a", "b", F.col("hub_low").alias("low")))
 
 
+def hub_join(rows: DataFrame, table: DataFrame, key: str, weight: str) -> DataFrame:
+    """Inner join of ``rows`` with ``table`` (written; one row per ``key``, with
+    the number ``weight`` of rows that hold it).  Keys of at least one in
+    ``HUB_SHARE`` of these rows, so ``HUB_SHARE`` keys at most, are broadcast and
+    their rows stay where they are; the others are shuffled."""
+    total = table.agg(F.sum(weight)).first()[0] or 0
+    hub = F.col(weight) * HUB_SHARE >= total
+    hubs = table.where(hub)
+    others = rows.join(F.broadcast(hubs.select(key)), key, "left_anti")
+    return rows.join(F.broadcast(hubs), key).union(others.join(table.where(~hub), key))
+
+
 def _star(links: DataFrame, large: bool) -> DataFrame:
     """Large star: every larger neighbour of u points to the smallest of u and
     its neighbours.  Small star: u and its smaller neighbours do."""

@@ -10,6 +10,8 @@
 3. In every bucket the class that shares most buckets with others is the
    centre; only (centre, member) pairs become candidates, so a bucket of m
    classes gives m - 1 pairs.  The pairs' full shingle sets are compared.
+   Members of large buckets meet their centre by a broadcast of the few such
+   centres, so no bucket is gathered in one task.
 4. Buckets whose members fell into one component are done.  In the others the
    shingle sets of different components are intersected in bounded blocks (a
    matrix product per block pair), and only pairs that reach the similarity
@@ -35,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.graph import components, shared_id_links
+from kestrel.llm.graph import components, hub_join, shared_id_links
 from kestrel.llm.scratch import written
 from kestrel.llm.text import chunks, mix, per_document, shingles, words
 
@@ -215,7 +217,7 @@ def _open_buckets(members: DataFrame, roots: DataFrame) -> DataFrame:
     rooted = written(rooted, "rooted")
     split = (rooted.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
                                         F.count("*").alias("m")).where("lo <> hi").select("band", "m"))
-    return written(rooted.drop("m").join(split, "band"), "open")
+    return written(hub_join(rooted.drop("m"), written(split, "split"), "band", "m"), "open")
 
 
 def duplicate_classes(docs: DataFrame, width: int = 5, percent: int = 80, bins: int = 128, rows: int = 4,
@@ -229,13 +231,13 @@ def duplicate_classes(docs: DataFrame, width: int = 5, percent: int = 80, bins:
                               "rep.bands"), "classes")
     entries = classes.select("id", "t", "n", F.explode("bands").alias("band"))
     shared = written(entries.groupBy("band").agg(F.count("*").alias("m")).where("m > 1"), "shared")
-    members = written(entries.join(shared, "band"), "members")
+    members = written(hub_join(entries, shared, "band", "m"), "members")
     degree = members.groupBy("id", "t").agg(F.sum(F.col("m") - 1).alias("degree"))
     centre = (members.join(degree, ["id", "t"]).groupBy("band")
               .agg(F.max(F.struct("degree", (-F.col("id")).alias("low"), F.col("id").alias("b"),
-                                  F.col("t").alias("tb"), F.col("n").alias("nb"))).alias("c"))
-              .select("band", "c.b", "c.tb", "c.nb"))
-    star = (members.join(written(centre, "centres"), "band")
+                                  F.col("t").alias("tb"), F.col("n").alias("nb"))).alias("c"), F.count("*").alias("m"))
+              .select("band", "c.b", "c.tb", "c.nb", "m"))
+    star = (hub_join(members.drop("m"), written(centre, "centres"), "band", "m")
             .where(~((F.col("id") == F.col("b")) & (F.col("t") == F.col("tb"))) & _close("n", "nb", percent))
             .select(F.col("id").alias("a"), F.col("t").alias("ta"), "b", "tb").distinct())
     links = confirm(star, docs, width, percent)

@@ -4,7 +4,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from kestrel.llm.graph import _with_low, components, shared_id_links
+from kestrel.llm.graph import _with_low, components, hub_join, shared_id_links
 
 
 def brute_force(links):
@@ -55,3 +55,15 @@ def test_a_hub_is_not_shuffled(spark):
 def test_shared_ids(spark):
     members = spark.createDataFrame([(1, 10), (1, 11), (1, 12), (2, 12), (3, 13), (3, 13)], "id long, node long")
     assert sorted((r.a, r.b) for r in shared_id_links(members).collect()) == [(11, 10), (12, 10)]
+
+
+def test_hub_join_is_a_join_and_leaves_hubs_in_place(spark):
+    rows = spark.range(20_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 4_001).alias("k"), "id").union(
+        spark.range(5).select(F.lit(None).cast("long"), "id"))
+    table = rows.groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("high")).where("k <> 11")
+    got = hub_join(rows, table, "k", "n")
+    want = rows.join(table, "k")
+    assert got.columns == want.columns and got.count() == want.count() and got.exceptAll(want).isEmpty()
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("strategy=broadcast") == 2
+    assert hub_join(rows, table.where("n < 0"), "k", "n").isEmpty()

@@ -217,7 +217,7 @@ def _open_buckets(members: DataFrame, roots: DataFrame) -> DataFrame:
     rooted = written(rooted, "rooted")
     split = (rooted.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
                                         F.count("*").alias("m")).where("lo <> hi").select("band", "m"))
-    return written(hub_join(rooted.drop("m"), written(split, "split"), "band", "m"), "open")
+    return written(rooted.drop("m").join(written(split, "split"), "band"), "open")
 
 
 def duplicate_classes(docs: DataFrame, width: int = 5, percent: int = 80, bins: int = 128, rows: int = 4,
@@ -231,7 +231,8 @@ def duplicate_classes(docs: DataFrame, width: int = 5, percent: int = 80, bins:
                               "rep.bands"), "classes")
     entries = classes.select("id", "t", "n", F.explode("bands").alias("band"))
     shared = written(entries.groupBy("band").agg(F.count("*").alias("m")).where("m > 1"), "shared")
-    members = written(hub_join(entries, shared, "band", "m"), "members")
+    # written as joined: AQE splits the partitions of large buckets, and entries that share no band need no pass for hubs
+    members = written(entries.join(shared, "band"), "members")
     degree = members.groupBy("id", "t").agg(F.sum(F.col("m") - 1).alias("degree"))
     centre = (members.join(degree, ["id", "t"]).groupBy("band")
               .agg(F.max(F.struct("degree", (-F.col("id")).alias("low"), F.col("id").alias("b"),

@@ -66,6 +66,24 @@ def test_family_that_only_meets_at_its_base(spark):
         assert got == brute_force(list(enumerate(texts)), 2)
 
 
+def test_only_members_of_shared_buckets_are_dealt_by_hubs(spark, monkeypatch):
+    """Bands of documents that are like no other meet no hub."""
+    rng = random.Random(3)
+    base = prose(4, 200).split()
+    texts = [f"{k} " + " ".join(f"w{rng.randrange(10**9)}" for _ in range(30)) for k in range(300)]
+    texts += [edited(base, 2, rng) for _ in range(40)]
+    seen, join = [], minhash_dedup.hub_join
+
+    def counted(rows, *args):
+        seen.append(rows.count())
+        return join(rows, *args)
+
+    monkeypatch.setattr(minhash_dedup, "hub_join", counted)
+    got = minhash_dedup.near_duplicates(documents(spark, texts), 2)
+    assert result(got) == brute_force(list(enumerate(texts)), 2)
+    assert seen and max(seen) <= 40 * 32
+
+
 def test_random_near_copies_of_all_sizes(spark):
     rng = random.Random(2)
     texts = []

@@ -3,7 +3,8 @@
 Each round reduces to per-node minima (combined map-side) and a join with them;
 no node's neighbours are gathered in one row or, for a hub, in one task.  Rounds
 are logarithmic in the longest path, and each round's links are written to the
-shared folder.
+shared folder.  Where the nodes fit ``BROADCAST_NODES`` their minima are
+broadcast, so that links don't move and a round is one query.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 from kestrel.llm.scratch import written
 
 
+#: minima of so many nodes (16 bytes each) may be broadcast
+BROADCAST_NODES = 200_000
 #: a node that holds at least one in so many of all link ends is a hub
 HUB_SHARE = 1_000
 
@@ -60,13 +63,24 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     return out.where("a <> b").distinct()
 
 
+def _broadcast_round(links: DataFrame) -> DataFrame:
+    """A large star and a small star over ``links`` (b < a), by broadcasts of the
+    nodes' minima.  Every link gives one link; repeats stay."""
+    both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    low = both.groupBy("a").agg(F.least("a", F.min("b")).alias("low"))
+    large = links.join(F.broadcast(low.toDF("b", "low")), "b").select("a", F.col("low").alias("b"))
+    low = large.groupBy("a").agg(F.min("b").alias("low"))
+    return (large.join(F.broadcast(low), "a")
+            .select(F.when(F.col("b") == F.col("low"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("low").alias("b")))
+
+
 def _is_star_forest(links: DataFrame) -> bool:
     """Whether every node points to one other node at most, and to none that
-    points on (one aggregate)."""
-    ends = (links.select(F.col("a").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("target"))
-            .union(links.select("b", F.lit(0), F.lit(1))))
-    node = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("target").alias("target"))
-    return node.where("out > 1 or (out = 1 and target = 1)").isEmpty()
+    points on (one aggregate); repeated links count once."""
+    ends = (links.select(F.col("a").alias("node"), F.col("b").alias("to"), F.lit(0).alias("target"))
+            .union(links.select("b", F.lit(None).cast("long"), F.lit(1))))
+    node = ends.groupBy("node").agg(F.min("to").alias("lo"), F.max("to").alias("hi"), F.max("target").alias("target"))
+    return node.where("lo <> hi or (lo is not null and target = 1)").isEmpty()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -74,11 +88,21 @@ def components(links: DataFrame) -> DataFrame:
     reaches.  ``links`` has bigint columns a, b; direction and repeats don't
     matter; loops and nulls are ignored.  No links give no rows."""
     links = written(links.select(F.greatest("a", "b").cast("long").alias("a"), F.least("a", "b").cast("long").alias("b"))
-                    .where("a <> b").distinct(), "links")
-    while not _is_star_forest(links):
-        links = written(_star(written(_star(links, True), "links"), False), "links")
-    roots = links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
-    return links.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)
+                    .where("a <> b"), "links")
+    ends = 2 * links.count()
+    if ends > BROADCAST_NODES:
+        links = written(links.distinct(), "links")
+        ends = 2 * links.count()
+    while ends:
+        if ends <= BROADCAST_NODES:
+            links = written(_broadcast_round(links), "links")
+        else:
+            links = written(_star(written(_star(links, True), "links"), False), "links")
+            ends = 2 * links.count()
+        if _is_star_forest(links):
+            break
+    return (links.select(F.col("a").alias("node"), F.col("b").alias("root"))
+            .union(links.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct())
 
 
 def shared_id_links(members: DataFrame) -> DataFrame:

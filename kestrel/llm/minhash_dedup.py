@@ -12,8 +12,9 @@
    classes gives m - 1 pairs.  The pairs' full shingle sets are compared.
    Members of large buckets meet their centre by a broadcast of the few such
    centres, so no bucket is gathered in one task.
-4. Buckets whose members fell into one component are done.  In the others the
-   shingle sets of different components are intersected in bounded blocks (a
+4. Buckets whose members fell into one component are done, and so are those of
+   two members, whose one pair was compared.  In the others the shingle sets of
+   different components are intersected in bounded blocks (a
    matrix product per block pair), and only pairs that reach the similarity
    leave the block.  No pair of one bucket is given up for its bucket's size,
    and none is emitted unseen.
@@ -105,15 +106,18 @@ def signatures(docs: DataFrame, width: int, bins: int, rows: int) -> DataFrame:
     return slim.mapInArrow(run, "doc_id long, tie long, n long, s1 long, s2 long, bands array<long>")
 
 
-def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, t, text) of the rows named by ``ids`` (id, t: id and text hash).  Up
-    to ``BROADCAST_IDS`` of them are broadcast, so that other texts don't move;
-    beyond that the tables are joined by a shuffle."""
+def _texts(docs: DataFrame, ids: DataFrame, at_most: int) -> DataFrame:
+    """(id, t, text) of the rows named by ``ids`` (id, t: id and text hash;
+    ``at_most`` rows).  Up to ``BROADCAST_IDS`` of them are broadcast, so that
+    other texts don't move; beyond that the tables are joined by a shuffle."""
     text = docs.where("doc_id is not null").select(
         F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("t"),
         F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    ids = written(ids.select("id", "t").distinct(), "ids")
-    return text.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, ["id", "t"], "left_semi")
+    ids = ids.select("id", "t").distinct()
+    if at_most > BROADCAST_IDS:
+        ids = written(ids, "ids")
+        at_most = ids.count()
+    return text.join(F.broadcast(ids) if at_most <= BROADCAST_IDS else ids, ["id", "t"], "left_semi")
 
 
 def _hash_sets(texts: DataFrame, width: int) -> DataFrame:
@@ -195,9 +199,12 @@ def confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Data
             yield pa.RecordBatch.from_arrays([a.filter(pa.array(ok)), b.filter(pa.array(ok))], names=["a", "b"])
 
     pairs = written(pairs, "pairs")
+    n = pairs.count()
+    if not n:
+        return pairs.select("a", "b")
     ends = pairs.select(F.col("a").alias("id"), F.col("ta").alias("t")).union(pairs.select("b", "tb"))
-    text = _texts(docs, ends)
-    if pairs.count() <= BROADCAST_IDS:
+    text = _texts(docs, ends, 2 * n)
+    if n <= BROADCAST_IDS:
         pairs = F.broadcast(pairs)
     left = text.toDF("a", "ta", "text_a")
     right = text.toDF("b", "tb", "text_b")
@@ -211,12 +218,13 @@ def _close(x: str, y: str, percent: int):
 
 
 def _open_buckets(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members, with their component, of buckets that hold several components."""
+    """Members, with their component, of buckets that hold several components
+    and more members than the centre and one that was compared with it."""
     rooted = (members.join(roots.withColumnRenamed("node", "id"), "id", "left")
               .withColumn("root", F.coalesce("root", "id")))
     rooted = written(rooted, "rooted")
     split = (rooted.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
-                                        F.count("*").alias("m")).where("lo <> hi").select("band", "m"))
+                                        F.count("*").alias("m")).where("lo <> hi and m > 2").select("band", "m"))
     return written(rooted.drop("m").join(written(split, "split"), "band"), "open")
 
 
@@ -242,16 +250,15 @@ def duplicate_classes(docs: DataFrame, width: int = 5, percent: int = 80, bins:
             .where(~((F.col("id") == F.col("b")) & (F.col("t") == F.col("tb"))) & _close("n", "nb", percent))
             .select(F.col("id").alias("a"), F.col("t").alias("ta"), "b", "tb").distinct())
     links = confirm(star, docs, width, percent)
-    several = written(sig.where("n > 0 and doc_id is not null").groupBy("doc_id")
-                      .agg(F.min("s1").alias("lo"), F.max("s1").alias("hi")).where("lo <> hi").select("doc_id"), "several")
+    several = (sig.where("n > 0 and doc_id is not null").groupBy("doc_id")
+               .agg(F.min("s1").alias("lo"), F.max("s1").alias("hi")).where("lo <> hi").select("doc_id"))
     if not several.isEmpty():      # an id with several texts: its classes belong together
         own = sig.join(several, "doc_id", "left_semi").join(classes, ["s1", "s2", "n"])
         links = links.union(shared_id_links(own.select(F.col("doc_id").alias("id"), F.col("id").alias("node"))))
-    links = written(links.distinct(), "star-links")
     roots = written(components(links), "roots")
     open_ = _open_buckets(members, roots)
     blocks = F.ceil(F.col("m") / block_rows).cast("int")
-    dealt = (open_.join(_hash_sets(_texts(docs, open_), width), ["id", "t"])
+    dealt = (open_.join(_hash_sets(_texts(docs, open_, open_.count()), width), ["id", "t"])
              .withColumn("own", F.pmod(F.xxhash64("id", "t"), blocks).cast("int"))
              .withColumn("o", F.explode(F.sequence(F.lit(0), blocks - 1)))
              .withColumns({"x": F.least("own", "o"), "y": F.greatest("own", "o")}))
@@ -259,10 +266,14 @@ def duplicate_classes(docs: DataFrame, width: int = 5, percent: int = 80, bins:
             .select(*[F.when(F.col("a") < F.col("b"), F.col(p)).otherwise(F.col(q)).alias(p)
                       for p, q in (("a", "b"), ("ta", "tb"), ("b", "a"), ("tb", "ta"))]).distinct())
     more = written(confirm(rest, docs, width, percent).distinct(), "more-links")
-    if not more.isEmpty():
-        roots = written(components(links.union(more)), "roots")
     out = (classes.select("s1", "s2", "n", "id").join(roots.withColumnRenamed("node", "id"), "id", "left")
            .select("s1", "s2", "n", F.coalesce("root", "id").alias("component_id")))
+    if not more.isEmpty():      # they join whole components: only roots are contracted again
+        across = (more.join(roots.toDF("a", "ra"), "a", "left").join(roots.toDF("b", "rb"), "b", "left")
+                  .select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")))
+        upper = written(components(across), "upper-roots")
+        out = (out.join(upper.withColumnRenamed("node", "component_id"), "component_id", "left")
+               .select("s1", "s2", "n", F.coalesce("root", "component_id").alias("component_id")))
     return sig, written(out, "class-components")
 
 

@@ -4,6 +4,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
+from kestrel.llm import graph
 from kestrel.llm.graph import _with_low, components, hub_join, shared_id_links
 
 
@@ -32,6 +33,26 @@ GRAPHS = {
 }
 
 
+@pytest.mark.parametrize("name", ["none", "loops and nulls", "star of the largest", "random", "repeats"])
+def test_components_beyond_the_broadcast_bound(spark, name, monkeypatch):
+    monkeypatch.setattr(graph, "BROADCAST_NODES", 0)
+    rows = components(spark.createDataFrame(GRAPHS[name], "a long, b long")).collect()
+    assert {r.node: r.root for r in rows} == brute_force(GRAPHS[name]) and len(rows) == len({r.node for r in rows})
+
+
+def test_a_round_of_few_links_is_one_written_table(spark, monkeypatch):
+    seen, write = [], graph.written
+
+    def counted(df, name):
+        seen.append(name)
+        return write(df, name)
+
+    monkeypatch.setattr(graph, "written", counted)
+    links = GRAPHS["star of the largest"] * 3
+    assert {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()} == brute_force(links)
+    assert len(seen) <= 2
+
+
 @pytest.mark.parametrize("name", list(GRAPHS))
 def test_components(spark, name):
     rows = components(spark.createDataFrame(GRAPHS[name], "a long, b long")).collect()

@@ -84,6 +84,32 @@ def test_only_members_of_shared_buckets_are_dealt_by_hubs(spark, monkeypatch):
     assert seen and max(seen) <= 40 * 32
 
 
+def test_buckets_of_two_are_not_compared_again(spark, monkeypatch):
+    """Their one pair is a centre and its member; larger ones stay whole."""
+    rng = random.Random(5)
+    texts = []
+    for k in range(60):
+        base = prose(2000 + k, 100).split()
+        texts += [" ".join(base)] + [edited(base, 8, rng) for _ in range(1 if k < 50 else 6)]
+    seen, found = [], minhash_dedup._open_buckets
+
+    def counted(members, roots):
+        out = found(members, roots)
+        seen.extend((r.m, r["count"]) for r in out.groupBy("band", "m").count().collect())
+        return out
+
+    monkeypatch.setattr(minhash_dedup, "_open_buckets", counted)
+    assert result(minhash_dedup.near_duplicates(documents(spark, texts), 2)) == brute_force(list(enumerate(texts)), 2)
+    assert seen and all(m == count > 2 for m, count in seen)
+
+
+def test_no_pairs_read_no_texts(spark):
+    """``docs`` without the columns that a join would need."""
+    pairs = spark.createDataFrame([], "a long, ta long, b long, tb long")
+    got = minhash_dedup.confirm(pairs, spark.range(3), 2, 80)
+    assert got.columns == ["a", "b"] and got.isEmpty()
+
+
 def test_random_near_copies_of_all_sizes(spark):
     rng = random.Random(2)
     texts = []
